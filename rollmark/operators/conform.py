@@ -32,7 +32,10 @@ def conform_enriched(
         "DATE_CREATE": _store_time(F.col("DATE_CREATE"), zone),
         **{c: in_range(F.col(c), *bounds) for c, bounds in STORE_RANGES.items()},
     }
-    typed = enriched.select(*[special.get(c, F.col(c)).alias(c) for c in OUTPUT_COLUMNS])
+    # Through inline() every value is converted once; a plain projection would be repeated in the
+    # filters below.
+    row = F.struct(*[special.get(c, F.col(c)).alias(c) for c in OUTPUT_COLUMNS])
+    typed = enriched.select(F.inline(F.array(row)))
     reason = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(c)) for c in REQUIRED])
     checked = typed.withColumn("reason", reason)
     return (

@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollmark.functions.scalars import age_on, micros_text, stable_id
+from rollmark.functions.scalars import age_on, stable_id
 from rollmark.operators import admit, arbitrate, latest, reports
 from rollmark.operators.conform import conform_enriched
 from rollmark.operators.dedupe import dedupe_events, duplicate_report
@@ -48,7 +48,7 @@ def group_marks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _enriched(spark: SparkSession, d: str) -> DataFrame:
-    return enrich_events(c.valid_marks(c.raw_events(spark, d)), *c.people(spark, d))
+    return enrich_events(c.valid_marks(c.raw_events(spark, d)), **c.lookups(spark, d))
 
 
 def _mart(spark: SparkSession, d: str) -> DataFrame:
@@ -99,15 +99,15 @@ def age_at_date(spark, d):
 
 
 def enrich_students(spark, d):
-    return enrich_events(c.raw_events(spark, d), *c.people(spark, d)).select(*RAW_COLUMNS, *STUDENT_COLUMNS)
+    return enrich_events(c.raw_events(spark, d), **c.lookups(spark, d)).select(*RAW_COLUMNS, *STUDENT_COLUMNS)
 
 
 def enrich_teachers(spark, d):
-    return enrich_events(c.raw_events(spark, d), *c.people(spark, d)).select(*RAW_COLUMNS, *TEACHER_COLUMNS)
+    return enrich_events(c.raw_events(spark, d), **c.lookups(spark, d)).select(*RAW_COLUMNS, *TEACHER_COLUMNS)
 
 
 def enrich_full(spark, d):
-    return enrich_events(c.raw_events(spark, d), *c.people(spark, d))
+    return enrich_events(c.raw_events(spark, d), **c.lookups(spark, d))
 
 
 def missing_ids(spark, d):
@@ -115,7 +115,7 @@ def missing_ids(spark, d):
 
 
 def hit_counts(spark, d):
-    return enrichment_hits(c.raw_events(spark, d), *c.people(spark, d))
+    return enrichment_hits(c.raw_events(spark, d), **c.lookups(spark, d))
 
 
 def stage_counts(spark, d):
@@ -123,7 +123,7 @@ def stage_counts(spark, d):
     rows, received = observe_stage(_doubled(c.raw_events(spark, d)))
     rows, unique = observe_stage(dedupe_events(rows))
     rows, written = observe_stage(
-        enrich_events(rows, *c.people(spark, d)),
+        enrich_events(rows, **c.lookups(spark, d)),
         with_student=F.count("STUDENT_FIO"), with_teacher=F.count("TEACHER_FIO"),
     )
     rows.write.format("noop").mode("overwrite").save()
@@ -208,25 +208,22 @@ def merge_latest(spark, d):
     return latest.to_mart(latest.merge_latest(latest.latest_rows(rows.filter(odd)), rows.filter(~odd)))
 
 
-def _as_text(enriched: DataFrame) -> DataFrame:
-    """Enriched events as they come out of a message."""
-    return enriched.withColumns(
-        {
-            "LESSON_DATE": F.date_format("LESSON_DATE", "yyyy-MM-dd"),
-            "DATE_CREATE": micros_text(F.col("DATE_CREATE")),
-        }
-    )
+def _received(enriched: DataFrame) -> DataFrame:
+    """Enriched events as the store receives them: sent as messages and read again."""
+    return decode_enriched(to_messages(enriched))
 
 
 def _store_input(spark: SparkSession, d: str) -> DataFrame:
     """Enriched events with UUID ids, and some values the store cannot hold."""
     n = F.col("ID").cast("bigint")
-    return _as_text(_enriched(spark, d)).withColumns(
-        {
-            "ID": F.when(n % 60 == 0, F.col("ID")).otherwise(stable_id(F.col("ID"))),
-            "MARKED_BY": F.when(n % 40 == 0, -1).otherwise(F.col("MARKED_BY")),
-            "NUMBER_CERT": F.when(n % 7 == 0, 300).otherwise((n % 200).cast("int")),
-        }
+    return _received(
+        _enriched(spark, d).withColumns(
+            {
+                "ID": F.when(n % 60 == 0, F.col("ID")).otherwise(stable_id(F.col("ID"))),
+                "MARKED_BY": F.when(n % 40 == 0, -1).otherwise(F.col("MARKED_BY")),
+                "NUMBER_CERT": F.when(n % 7 == 0, 300).otherwise((n % 200).cast("int")),
+            }
+        )
     )
 
 
@@ -241,7 +238,7 @@ def conform_rejects(spark, d):
 
 
 def history_by_month(spark, d):
-    rows, _ = conform_enriched(_as_text(_enriched(spark, d)), uuid_ids=False)
+    rows, _ = conform_enriched(_received(_enriched(spark, d)), uuid_ids=False)
     path = scratch_path(spark, "history")
     history_sink.write_history(rows, path)
     return history_sink.read_history(spark, path).groupBy("lesson_month").agg(
@@ -251,7 +248,7 @@ def history_by_month(spark, d):
 
 def mart_upsert(spark, d):
     """The mart kept in a table: three merges, the second of them done twice."""
-    rows, _ = conform_enriched(_as_text(_enriched(spark, d)), uuid_ids=False)
+    rows, _ = conform_enriched(_received(_enriched(spark, d)), uuid_ids=False)
     path = scratch_path(spark, "latest")
     part = F.col("ID").cast("bigint") % 3
     for p in (2, 0, 0, 1):
@@ -261,9 +258,7 @@ def mart_upsert(spark, d):
 
 def message_rows(spark, d):
     messages = to_messages(_enriched(spark, d))
-    return messages.select("key", F.inline(F.array(F.from_json("value", ENRICHED_EVENT)))).select(
-        "key", *OUTPUT_COLUMNS
-    )
+    return messages.select("key", F.inline(F.array(F.from_json("value", ENRICHED_EVENT))))
 
 
 # --- reports ----------------------------------------------------------------------------------
@@ -299,7 +294,7 @@ def _message_stream(spark: SparkSession, d: str) -> DataFrame:
 def _written_stream(spark: SparkSession, d: str) -> DataFrame:
     """Enriched messages written to files in three parts, as a stream of those files."""
     path = scratch_path(spark, "enriched")
-    write_messages(to_messages(_as_text(_enriched(spark, d))).repartition(3, "key"), "parquet", path=path)
+    write_messages(to_messages(_enriched(spark, d)).repartition(3, "key"), "parquet", path=path)
     return read_messages(spark, "parquet", stream=True, path=path, maxFilesPerTrigger="1")
 
 

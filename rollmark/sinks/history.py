@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollmark.functions.scalars import lesson_month
@@ -53,14 +54,17 @@ def append_new(rows: DataFrame, path: str) -> None:
     at most as many months as the calendar has.
     """
     spark = rows.sparkSession
-    if exists(spark, path):
-        dated = _with_month(rows)
+    if not exists(spark, path):
+        write_history(rows, path)
+        return
+    dated = _with_month(rows).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
         months = [r[MONTH] for r in dated.select(MONTH).distinct().collect()]
-        if not months:
-            return
-        kept = spark.read.schema(HISTORY).parquet(path).filter(F.col(MONTH).isin(months)).select(MONTH, "ID")
-        rows = dated.join(kept, [MONTH, "ID"], "left_anti")
-    write_history(rows, path)
+        if months:
+            kept = spark.read.schema(HISTORY).parquet(path).filter(F.col(MONTH).isin(months))
+            write_history(dated.join(kept.select(MONTH, "ID"), [MONTH, "ID"], "left_anti"), path)
+    finally:
+        dated.unpersist()
 
 
 def compact_month(spark: SparkSession, path: str, month: str) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollmark.operators.latest import latest_rows, merge_latest, to_mart
@@ -29,11 +30,15 @@ def upsert_latest(rows: DataFrame, path: str) -> None:
     """
     spark = rows.sparkSession
     finish_replacement(spark, path, STORE, DAY)
-    changes = latest_rows(rows.select(*STORE_COLUMNS))
-    if exists(spark, path):
+    changes = latest_rows(rows.select(*STORE_COLUMNS)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
         # The days of one batch are at most as many as the calendar has.
-        days = [r[DAY] for r in rows.select(DAY).distinct().collect()]
+        days = [r[DAY] for r in changes.select(DAY).distinct().collect()]
         if not days:
             return
-        changes = merge_latest(read_state(spark, path).filter(F.col(DAY).isin(days)), changes)
-    replace_partitions(changes.hint("rebalance", DAY), path, STORE, DAY)
+        merged = changes
+        if exists(spark, path):
+            merged = merge_latest(read_state(spark, path).filter(F.col(DAY).isin(days)), changes)
+        replace_partitions(merged.hint("rebalance", DAY), path, STORE, DAY)
+    finally:
+        changes.unpersist()

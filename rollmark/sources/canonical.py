@@ -9,21 +9,32 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rollmark.functions.scalars import micros_text
 from rollmark.operators.admit import School
 from rollmark.operators.directory import flatten_directory, student_view, teacher_view
+from rollmark.plans.sizing import fits_broadcast
 from rollmark.schemas import RAW_COLUMNS
 from rollmark.sources.directory import parse_documents
 
 AS_OF = date(2024, 2, 1)
-EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+# The columns of the test tables that are used here.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream of files."""
     return (
-        spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+        spark.readStream.schema(TABLES["events"]).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     )
 
 
@@ -131,15 +142,22 @@ def directory_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return students.unionByName(employees)
 
 
-def flat_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten_directory(parse_documents(directory_documents(spark, sf_dir)), AS_OF)
-
-
 def people(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    flat = flat_directory(spark, sf_dir)
+    """Student and teacher view of the directory."""
+    flat = flatten_directory(parse_documents(directory_documents(spark, sf_dir)), AS_OF)
     return student_view(flat), teacher_view(flat)
 
 
+def lookups(spark: SparkSession, sf_dir: str) -> dict:
+    """Both views as arguments for enrichment. A view has at most one row per document and only
+    attributes found in it, so the size of the documents bounds both, at less cost than
+    measuring the views."""
+    documents = directory_documents(spark, sf_dir)
+    flat = flatten_directory(parse_documents(documents), AS_OF)
+    (fits,) = fits_broadcast(documents)
+    return {"students": student_view(flat), "teachers": teacher_view(flat), "broadcast": (fits, fits)}
+
+
 def lessons(raw: DataFrame) -> DataFrame:
     """Lessons the events name, with one in 23 left out and one in 17 blocked."""
     number = F.col("ID")

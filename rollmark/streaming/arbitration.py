@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BooleanType, StringType, StructType
 
@@ -37,24 +36,20 @@ class MarkArbiter(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._stands = handle.getValueState("stands", STATE)
 
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        newest = initialState.sort_values(["DATE_CREATE", "ID"]).iloc[-1]
-        self._stands.update((int(newest.MARKED_BY), int(newest.MARKED_BY_ROLE), int(newest.ATTENDANCE_MARK)))
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        row = initialState
+        self._stands.update((row.MARKED_BY, row.MARKED_BY_ROLE, row.ATTENDANCE_MARK))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["DATE_CREATE", "ID"])
-        before = stands = tuple(self._stands.get()) if self._stands.exists() else None
-        reasons = []
-        for by, role, mark in zip(batch.MARKED_BY, batch.MARKED_BY_ROLE, batch.ATTENDANCE_MARK):
-            reason = verdict(stands, by, role, mark)
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        before = stands = self._stands.get()
+        for row in sorted(rows, key=lambda r: (r.DATE_CREATE, r.ID)):
+            request = (row.MARKED_BY, row.MARKED_BY_ROLE, row.ATTENDANCE_MARK)
+            reason = verdict(stands, *request)
             if reason is None:
-                stands = (int(by), int(role), int(mark))
-            reasons.append(reason)
+                stands = request
+            yield Row(**row.asDict(), accepted=reason is None, reject_reason=reason)
         if stands != before:
             self._stands.update(stands)
-        batch["accepted"] = [r is None for r in reasons]
-        batch["reject_reason"] = pd.Series(reasons, index=batch.index, dtype=object)
-        yield batch
 
     def close(self) -> None:
         pass
@@ -69,7 +64,7 @@ def arbitrate_stream(requests: DataFrame, history: DataFrame | None = None) -> D
     the latest accepted marks to start from, one row per key, such as ``read_state`` gives.
     """
     out = StructType([*requests.schema.fields]).add("accepted", BooleanType()).add("reject_reason", StringType())
-    return requests.groupBy(*MARK_KEY).transformWithStateInPandas(
+    return requests.groupBy(*MARK_KEY).transformWithState(
         statefulProcessor=MarkArbiter(),
         outputStructType=out,
         outputMode="append",

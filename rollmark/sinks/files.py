@@ -15,35 +15,35 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    fs, target = _fs(spark, path)
-    fs.delete(target, True)
-
-
 def staging_of(path: str) -> str:
     return path.rstrip("/") + "__staging"
 
 
-def finish_replacement(spark: SparkSession, path: str, schema: str, by: str) -> bool:
-    """Complete a replacement whose new partitions were written but perhaps not put in place."""
-    staging = staging_of(path)
-    if not exists(spark, f"{staging}/_SUCCESS"):
+def finish_replacement(spark: SparkSession, path: str) -> bool:
+    """Put completely staged partitions in place. May be called again at any point: what was
+    moved before is no longer staged, the rest is moved now."""
+    fs, staging = _fs(spark, staging_of(path))
+    if not exists(spark, f"{staging_of(path)}/_SUCCESS"):
         return False
-    (
-        spark.read.schema(schema).parquet(staging).hint("rebalance", by)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(by).parquet(path)
-    )
-    _remove(spark, staging)
+    table = _fs(spark, path)[1]
+    fs.mkdirs(table)
+    for status in fs.listStatus(staging):
+        name = status.getPath().getName()
+        if status.isDirectory() and "=" in name:
+            target = _fs(spark, f"{path}/{name}")[1]
+            fs.delete(target, True)
+            if not fs.rename(status.getPath(), target):
+                raise OSError(f"could not put {name} in place below {path}")
+    fs.delete(staging, True)
     return True
 
 
-def replace_partitions(df: DataFrame, path: str, schema: str, by: str) -> None:
+def replace_partitions(df: DataFrame, path: str, by: str) -> None:
     """Replace the partitions that occur in ``df``; others stay.
 
     The rows are first written beside the table, since ``df`` may read the table itself and
-    since putting them in place is not atomic. If that is interrupted, the next call finishes it.
+    since putting them in place is not atomic. If that is interrupted, the next call finishes it
+    before anything reads the table.
     """
-    spark = df.sparkSession
     df.write.mode("overwrite").partitionBy(by).parquet(staging_of(path))
-    finish_replacement(spark, path, schema, by)
+    finish_replacement(df.sparkSession, path)

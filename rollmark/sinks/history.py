@@ -74,7 +74,7 @@ def compact_month(spark: SparkSession, path: str, month: str) -> None:
     """
     from rollmark.operators.dedupe import dedupe_events
 
-    finish_replacement(spark, path, HISTORY, MONTH)
+    finish_replacement(spark, path)
     rows = dedupe_events(spark.read.schema(HISTORY).parquet(path).filter(F.col(MONTH) == month))
     spread = rows.repartitionByRange(*SORT, "DATE_CREATE", "ID").sortWithinPartitions(*SORT)
-    replace_partitions(spread, path, HISTORY, MONTH)
+    replace_partitions(spread, path, MONTH)

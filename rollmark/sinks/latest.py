@@ -29,7 +29,7 @@ def upsert_latest(rows: DataFrame, path: str) -> None:
     There is one writer per table. Only the days the batch touches are read and rewritten.
     """
     spark = rows.sparkSession
-    finish_replacement(spark, path, STORE, DAY)
+    finish_replacement(spark, path)
     changes = latest_rows(rows.select(*STORE_COLUMNS)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # The days of one batch are at most as many as the calendar has.
@@ -39,6 +39,6 @@ def upsert_latest(rows: DataFrame, path: str) -> None:
         merged = changes
         if exists(spark, path):
             merged = merge_latest(read_state(spark, path).filter(F.col(DAY).isin(days)), changes)
-        replace_partitions(merged.hint("rebalance", DAY), path, STORE, DAY)
+        replace_partitions(merged.hint("rebalance", DAY), path, DAY)
     finally:
         changes.unpersist()

@@ -13,6 +13,7 @@ from rollmark.operators.conform import conform_enriched
 from rollmark.operators.dedupe import dedupe_events, duplicate_report
 from rollmark.operators.enrich import enrich_events, enrichment_hits, lookup_ids, missing_lookup_ids
 from rollmark.operators.metrics import observe_stage
+from rollmark.plans.pipelines import admit_and_settle
 from rollmark.plans.session import scratch_path
 from rollmark.schemas import (
     ENRICHED_EVENT, MARK_KEY, OUTPUT_COLUMNS, RAW_COLUMNS, STORE, STUDENT_COLUMNS,
@@ -25,6 +26,7 @@ from rollmark.sources import canonical as c
 from rollmark.sources.messages import MESSAGE, decode_events, read_messages
 from rollmark.streaming.arbitration import arbitrate_stream
 from rollmark.streaming.enrichment import dedupe_stream, start_enrichment
+from rollmark.streaming.settlement import start_settlement
 from rollmark.streaming.run import start_batches
 from rollmark.streaming.snapshot import DirectorySnapshot
 from rollmark.streaming.store import decode_enriched, start_history, start_mart
@@ -181,8 +183,7 @@ def arbitrate_on_history(spark, d):
 
 def admission(spark, d):
     """Requests judged, made events and arbitrated."""
-    judged = admit.validate_marks(c.requests(spark, d), c.school(spark, d))
-    settled = arbitrate.arbitrate_marks(admit.to_events(judged))
+    settled = admit_and_settle(c.requests(spark, d), c.school(spark, d))
     return settled.select(
         *MARK_KEY, "ATTENDANCE_MARK", "MARKED_BY", "MARKED_BY_ROLE", "DATE_CREATE", "accepted", "reject_reason"
     )
@@ -358,6 +359,24 @@ def stream_arbitrate(spark, d):
     return spark.read.schema("ID string, accepted boolean, reject_reason string").parquet(out).drop("batch_id")
 
 
+def stream_settle(spark, d):
+    """As ``stream_arbitrate``, with the standing marks in a table."""
+    out = scratch_path(spark, "stream-settled")
+
+    def sink(accepted: DataFrame, rejected: DataFrame, batch_id: int) -> None:
+        both = accepted.select("ID", F.lit(None).cast("string").alias("reject_reason")).unionByName(
+            rejected.select("ID", "reject_reason")
+        )
+        write_messages(both, "parquet", batch_id=batch_id, path=out)
+
+    start_settlement(
+        c.valid_marks(c.to_raw_events(c.event_stream(spark, d))), scratch_path(spark, "standing"), sink,
+        scratch_path(spark, "stream-settle-checkpoint"),
+    ).awaitTermination()
+    settled = spark.read.schema("ID string, reject_reason string").parquet(out)
+    return settled.select("ID", F.col("reject_reason").isNull().alias("accepted"), "reject_reason")
+
+
 QUERIES: dict[str, Query] = {
     "group_marks": group_marks,
     "decode_props": decode_props,
@@ -401,4 +420,5 @@ QUERIES: dict[str, Query] = {
     "stream_latest": stream_latest,
     "stream_history": stream_history,
     "stream_arbitrate": stream_arbitrate,
+    "stream_settle": stream_settle,
 }

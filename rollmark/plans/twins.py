@@ -341,6 +341,7 @@ FROM counts""",
     "stream_enrich": f"WITH {_enriched('raw')} SELECT {_TEXT_ALL} FROM enriched WHERE n % 50 <> 0",
     "stream_dedupe": f"WITH {_RAW} SELECT ID, STUDENT_ID, DATE_CREATE FROM raw",
     "stream_arbitrate": _ARBITRATE,
+    "stream_settle": _ARBITRATE,
 }
 
 _STORED_MART = _mart(_STORE_TIME)

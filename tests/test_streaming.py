@@ -16,6 +16,7 @@ from rollmark.sources.messages import MESSAGE, read_messages
 from rollmark.streaming.arbitration import arbitrate_stream
 from rollmark.streaming.enrichment import dedupe_stream, start_enrichment, start_rejects
 from rollmark.streaming.run import start_batches
+from rollmark.streaming.settlement import settle_batch, start_settlement
 from rollmark.streaming.snapshot import DirectorySnapshot
 from rollmark.streaming.store import decode_enriched, start_history, start_mart
 from rows import EVENT, as_dicts, enriched, event, frame, message, random_events
@@ -164,3 +165,43 @@ def test_arbitration_starts_from_history(spark):
     rows = random_events(52, 60, keys=4)
     old = [event(f"h{k}", at=-100, by=k % 3, role=k % 4, student=k) for k in range(3)]
     assert arbitrate_files(spark, [rows], frame(spark, old)) == models.arbitrate(rows, old)
+
+
+def settle_files(spark, parts, rows_per_task=5_000_000, state=None):
+    path, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+    for part in parts:
+        frame(spark, part).coalesce(1).write.mode("append").parquet(path)
+
+    def sink(accepted, rejected, batch_id):
+        rows = accepted.selectExpr("ID", "CAST(NULL AS STRING) AS reject_reason").unionByName(
+            rejected.select("ID", "reject_reason")
+        )
+        rows.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    start_settlement(
+        source(spark, path, EVENT), state or scratch_path(spark, "standing"), sink, scratch_path(spark, "cp"),
+        rows_per_task=rows_per_task,
+    ).awaitTermination()
+    return {r.ID: r.reject_reason for r in spark.read.parquet(out).collect()}
+
+
+@pytest.mark.parametrize("rows_per_task", [5_000_000, 15])
+def test_settlement_in_one_or_many_files(spark, rows_per_task):
+    rows = sorted(random_events(53, 120, keys=5), key=lambda r: (r["DATE_CREATE"], r["ID"]))
+    want = models.arbitrate(rows)
+    assert settle_files(spark, [rows], rows_per_task) == want
+    assert settle_files(spark, [rows[:50], rows[50:90], rows[90:]], rows_per_task) == want
+
+
+def test_settling_a_batch_again_gives_the_same(spark):
+    rows = sorted(random_events(54, 90, keys=4), key=lambda r: (r["DATE_CREATE"], r["ID"]))
+    want, state, got = models.arbitrate(rows), scratch_path(spark, "standing"), {}
+
+    def sink(accepted, rejected, batch_id):
+        got.update({r.ID: None for r in accepted.collect()})
+        got.update({r.ID: r.reject_reason for r in rejected.collect()})
+
+    for batch_id, part in ((0, rows[:40]), (1, rows[40:70]), (1, rows[40:70]), (2, rows[70:]), (2, rows[70:])):
+        settle_batch(frame(spark, part), state, batch_id, sink)
+        assert all(want[k] == v for k, v in got.items())
+    assert got == want

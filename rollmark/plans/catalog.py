@@ -11,6 +11,7 @@ from rollmark.functions.scalars import age_on, stable_id
 from rollmark.operators import admit, arbitrate, latest, reports
 from rollmark.operators.conform import conform_enriched
 from rollmark.operators.dedupe import dedupe_events, duplicate_report
+from rollmark.operators.directory import restrict_view
 from rollmark.operators.enrich import enrich_events, enrichment_hits, lookup_ids, missing_lookup_ids
 from rollmark.operators.metrics import observe_stage
 from rollmark.plans.pipelines import admit_and_settle
@@ -117,6 +118,13 @@ def missing_ids(spark, d):
     return missing_lookup_ids(c.raw_events(spark, d), *c.people(spark, d))
 
 
+def requested_students(spark, d):
+    """The student view, restricted to students the events refer to."""
+    students, _ = c.people(spark, d)
+    ids = lookup_ids(c.raw_events(spark, d)).filter(F.col("kind") == "student")
+    return restrict_view(students, ids.select("id"))
+
+
 def hit_counts(spark, d):
     return enrichment_hits(c.raw_events(spark, d), **c.lookups(spark, d))
 
@@ -390,6 +398,7 @@ QUERIES: dict[str, Query] = {
     "enrich_students": enrich_students,
     "enrich_teachers": enrich_teachers,
     "enrich_full": enrich_full,
+    "requested_students": requested_students,
     "missing_lookup_ids": missing_ids,
     "enrichment_hit_counts": hit_counts,
     "stage_counts": stage_counts,

@@ -263,6 +263,8 @@ FROM orders""",
     "enrich_students": f"WITH {_enriched('raw')} SELECT {_RAW_LIST}, {', '.join(_STUDENT_COLS)} FROM enriched",
     "enrich_teachers": f"WITH {_enriched('raw')} SELECT {_RAW_LIST}, {', '.join(_TEACHER_COLS)} FROM enriched",
     "enrich_full": f"WITH {_enriched('raw')} SELECT {_ALL} FROM enriched",
+    "requested_students": f"""WITH {_RAW},{_PEOPLE}
+SELECT * FROM students WHERE ENRICHED_STUDENT_ID IN (SELECT CAST(STUDENT_ID AS VARCHAR) FROM raw)""",
     "missing_lookup_ids": f"""WITH {_RAW},{_PEOPLE},
 wanted AS (
   SELECT DISTINCT 'student' AS kind, CAST(STUDENT_ID AS VARCHAR) AS id FROM raw

@@ -8,6 +8,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollmark.functions.scalars import lesson_month
+from rollmark.operators.dedupe import dedupe_events
+from rollmark.plans.sizing import fits_broadcast
 from rollmark.schemas import STORE, STORE_COLUMNS
 from rollmark.sinks.files import exists, finish_replacement, replace_partitions
 
@@ -50,8 +52,8 @@ def append_new(rows: DataFrame, path: str) -> None:
     """Append the rows whose ID the history does not have yet. A batch that runs again, even
     after it was partly written, adds nothing twice. ``rows`` must be unique by ID.
 
-    Only the months the batch touches are searched, and of those only the ID column; there are
-    at most as many months as the calendar has.
+    Only the ID column of the months the batch touches is read, and where the batch's ids are
+    few enough to broadcast it is not shuffled.
     """
     spark = rows.sparkSession
     if not exists(spark, path):
@@ -59,21 +61,36 @@ def append_new(rows: DataFrame, path: str) -> None:
         return
     dated = _with_month(rows).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        # There are at most as many months as the calendar has.
         months = [r[MONTH] for r in dated.select(MONTH).distinct().collect()]
-        if months:
-            kept = spark.read.schema(HISTORY).parquet(path).filter(F.col(MONTH).isin(months))
-            write_history(dated.join(kept.select(MONTH, "ID"), [MONTH, "ID"], "left_anti"), path)
+        if not months:
+            return
+        ids = dated.select(MONTH, "ID")
+        (few,) = fits_broadcast(ids)
+        kept = spark.read.schema(HISTORY).parquet(path).filter(F.col(MONTH).isin(months)).select(MONTH, "ID")
+        there = kept.join(F.broadcast(ids) if few else ids, [MONTH, "ID"], "left_semi")
+        write_history(dated.join(there, [MONTH, "ID"], "left_anti"), path)
     finally:
         dated.unpersist()
 
 
+def find_mark(
+    spark: SparkSession, path: str, *, journal_id: int, student_id: int, lesson_id: int, day: date
+) -> DataFrame:
+    """The latest mark of one key with TYPE_MARK 0, as at most one row."""
+    rows = read_history(spark, path, day, day).filter(
+        (F.col("JOURNAL_ID") == journal_id) & (F.col("STUDENT_ID") == student_id)
+        & (F.col("LESSON_ID") == lesson_id) & (F.col("TYPE_MARK") == 0)
+    )
+    newest = rows.orderBy(F.col("DATE_CREATE").desc(), F.col("ID").desc()).limit(1)
+    return newest.select("ID", "MARKED_BY", "ATTENDANCE_MARK", "MARKED_BY_ROLE", "DATE_CREATE")
+
+
 def compact_month(spark: SparkSession, path: str, month: str) -> None:
     """Rewrite one month into sorted files that do not overlap, dropping copies of an ID.
 
     Range partitioning splits the month evenly by the sort order, whatever its size.
     """
-    from rollmark.operators.dedupe import dedupe_events
-
     finish_replacement(spark, path)
     rows = dedupe_events(spark.read.schema(HISTORY).parquet(path).filter(F.col(MONTH) == month))
     spread = rows.repartitionByRange(*SORT, "DATE_CREATE", "ID").sortWithinPartitions(*SORT)

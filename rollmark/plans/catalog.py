@@ -12,10 +12,13 @@ from rollmark.operators import admit, arbitrate, latest, reports
 from rollmark.operators.conform import conform_enriched
 from rollmark.operators.dedupe import dedupe_events, duplicate_report
 from rollmark.operators.directory import restrict_view
-from rollmark.operators.enrich import enrich_events, enrichment_hits, lookup_ids, missing_lookup_ids
+from rollmark.operators.enrich import (
+    STUDENT_KEY, enrich_events, enrichment_hits, lookup_ids, missing_lookup_ids,
+)
 from rollmark.operators.metrics import observe_stage
 from rollmark.plans.pipelines import admit_and_settle
 from rollmark.plans.session import scratch_path
+from rollmark.plans.skew import lookup_join
 from rollmark.schemas import (
     ENRICHED_EVENT, MARK_KEY, OUTPUT_COLUMNS, RAW_COLUMNS, STORE, STUDENT_COLUMNS,
     TEACHER_COLUMNS,
@@ -28,7 +31,7 @@ from rollmark.sources.messages import MESSAGE, decode_events, read_messages
 from rollmark.streaming.arbitration import arbitrate_stream
 from rollmark.streaming.enrichment import dedupe_stream, start_enrichment
 from rollmark.streaming.settlement import start_settlement
-from rollmark.streaming.run import start_batches
+from rollmark.streaming.run import start_batches, use_rocksdb
 from rollmark.streaming.snapshot import DirectorySnapshot
 from rollmark.streaming.store import decode_enriched, start_history, start_mart
 
@@ -42,13 +45,17 @@ def group_marks(spark: SparkSession, d: str) -> DataFrame:
     """Marks per group and value, latest state only. Reduces to the latest mark before looking
     anyone up, so only one row per key carries attributes."""
     marks = latest.latest_rows(c.valid_marks(c.raw_events(spark, d)))
-    students, _ = c.people(spark, d)
-    keyed = marks.join(
-        students.select(F.col("ENRICHED_STUDENT_ID"), F.col("GROUP_SHORT_TITLE").alias("group_short_title")),
-        F.col("STUDENT_ID").cast("string") == F.col("ENRICHED_STUDENT_ID"),
-        "left",
-    ).withColumnRenamed("ATTENDANCE_MARK", "attendance_mark")
-    return reports.marks_by_group(keyed)
+    people = c.lookups(spark, d)
+    groups = people["students"].select(
+        STUDENT_KEY, F.col("GROUP_SHORT_TITLE").alias("group_short_title")
+    )
+    keyed = marks.select(
+        "ID", F.col("ATTENDANCE_MARK").alias("attendance_mark"),
+        F.col("STUDENT_ID").cast("string").alias(STUDENT_KEY),
+    )
+    return reports.marks_by_group(
+        lookup_join(keyed, groups, [STUDENT_KEY], broadcast=people["broadcast"][0], row_id=["ID"])
+    )
 
 
 def _enriched(spark: SparkSession, d: str) -> DataFrame:
@@ -356,6 +363,7 @@ def stream_history(spark, d):
 
 
 def stream_arbitrate(spark, d):
+    use_rocksdb(spark)
     out = scratch_path(spark, "stream-arbitrated")
     settled = arbitrate_stream(c.valid_marks(c.to_raw_events(c.event_stream(spark, d))))
     query = start_batches(

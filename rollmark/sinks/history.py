@@ -86,12 +86,15 @@ def find_mark(
     return newest.select("ID", "MARKED_BY", "ATTENDANCE_MARK", "MARKED_BY_ROLE", "DATE_CREATE")
 
 
-def compact_month(spark: SparkSession, path: str, month: str) -> None:
+def compact_month(spark: SparkSession, path: str, month: str, n_files: int | None = None) -> None:
     """Rewrite one month into sorted files that do not overlap, dropping copies of an ID.
 
-    Range partitioning splits the month evenly by the sort order, whatever its size.
+    Range partitioning splits the month evenly by the sort order, whatever its size. Without
+    ``n_files`` the session's shuffle partitions and adaptive sizes decide.
     """
     finish_replacement(spark, path)
     rows = dedupe_events(spark.read.schema(HISTORY).parquet(path).filter(F.col(MONTH) == month))
-    spread = rows.repartitionByRange(*SORT, "DATE_CREATE", "ID").sortWithinPartitions(*SORT)
+    order = [*SORT, "DATE_CREATE", "ID"]
+    spread = rows.repartitionByRange(n_files, *order) if n_files else rows.repartitionByRange(*order)
+    spread = spread.sortWithinPartitions(*SORT)
     replace_partitions(spread, path, MONTH)

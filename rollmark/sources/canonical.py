@@ -42,7 +42,7 @@ def to_raw_events(events: DataFrame) -> DataFrame:
     """Rows of the events table to raw event columns; DATE_CREATE stays a timestamp."""
     k = F.get_json_object("props", "$.k").cast("int")
     r = F.col("event_id") % 4
-    day_number = F.date_format("ts", "yyyyMMdd").cast("bigint")
+    day_number = (F.year("ts") * 10000 + F.month("ts") * 100 + F.day("ts")).cast("bigint")
     return events.select(
         F.col("event_id").cast("string").alias("ID"),
         (F.col("user_id") % 10).cast("int").alias("JOURNAL_ID"),
@@ -89,10 +89,11 @@ def _fields(quote: bool) -> list[Column]:
 
 
 def directory_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as student documents and suppliers as employee documents, one JSON text each."""
-    nation = table(spark, sf_dir, "nation").join(
-        F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey")
-    )  # 25 and 5 rows at every scale
+    """Customers as student documents and suppliers as employee documents, one JSON text each.
+    Every seventh student document lacks its id, so some events have no student."""
+    # Nation and region have 25 and 5 rows at every scale.
+    nation = F.broadcast(table(spark, sf_dir, "nation"))
+    region = F.broadcast(table(spark, sf_dir, "region"))
     c, s = F.col("c_custkey"), F.col("s_suppkey")
 
     def birth(key: Column) -> Column:
@@ -103,7 +104,7 @@ def directory_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     student = F.struct(
         F.struct(
             F.col("c_name").alias("fullname"), F.lit("student").alias("type"),
-            c.cast("string").alias("BITRIX_USER_ID"), birth(c).alias("birthdate"),
+            F.when(c % 7 != 3, c.cast("string")).alias("BITRIX_USER_ID"), birth(c).alias("birthdate"),
             F.when(c % 2 == 0, "m").otherwise("f").alias("sex"),
         ).alias("PERSONAL"),
         F.array(
@@ -130,13 +131,14 @@ def directory_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("WORK"),
     )
     students = (
-        table(spark, sf_dir, "customer").filter(c % 7 != 3)
-        .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+        table(spark, sf_dir, "customer")
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(F.to_json(student).alias("document"))
     )
     employees = (
         table(spark, sf_dir, "supplier")
-        .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(F.to_json(employee).alias("document"))
     )
     return students.unionByName(employees)

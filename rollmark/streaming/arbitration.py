@@ -61,7 +61,8 @@ def arbitrate_stream(requests: DataFrame, history: DataFrame | None = None) -> D
     Rows of one micro-batch are taken in order of (DATE_CREATE, ID); across batches the order of
     arrival counts. Limit the size of a micro-batch at the source (``maxOffsetsPerTrigger``,
     ``maxFilesPerTrigger``): that also limits the rows of one key a task holds. ``history`` are
-    the latest accepted marks to start from, one row per key, such as ``read_state`` gives.
+    the latest accepted marks to start from, one row per key, such as ``read_state`` gives. The
+    session must keep streaming state in RocksDB (``use_rocksdb``).
     """
     out = StructType([*requests.schema.fields]).add("accepted", BooleanType()).add("reject_reason", StringType())
     return requests.groupBy(*MARK_KEY).transformWithState(

@@ -4,9 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from rollmark.plans.session import SETTINGS
+
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB: off the JVM heap, and needed by ``arbitrate_stream``. Applies
+    to queries started afterwards."""
+    spark.conf.set(_STATE_STORE, SETTINGS[_STATE_STORE])
+
 
 def start_batches(
     stream: DataFrame,

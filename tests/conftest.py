@@ -11,7 +11,7 @@ from rollmark.plans.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = local_session(
-        4, "tests", **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))}
+        4, "tests", **{"spark.sql.shuffle.partitions": "2"}, **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))}
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -16,7 +16,7 @@ HEADLINE = [
     "group_marks", "decode_props", "dedupe_events", "enrich_full", "validate_marks", "arbitrate_marks",
     "mark_admission", "latest_marks", "latest_non_null", "merge_latest", "conform_enriched",
     "history_by_month", "kafka_rows", "student_attendance", "teacher_attendance_pct",
-    "stream_enrich", "stream_latest", "stream_arbitrate",
+    "stream_enrich", "stream_latest", "stream_arbitrate", "stream_settle",
 ]
 
 

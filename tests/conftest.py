@@ -10,9 +10,11 @@ from rollmark.plans.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(
-        4, "tests", **{"spark.sql.shuffle.partitions": "2"}, **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))}
-    )
+    settings = {
+        "spark.sql.shuffle.partitions": "2",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+    }
+    session = local_session(4, "tests", **settings)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

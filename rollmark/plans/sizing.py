@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def _row_bytes(df: DataFrame) -> Column:
-    texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns]
-    return reduce(lambda a, b: a + b, texts, F.lit(16 * len(df.columns)))
+def _row_bytes(df: DataFrame) -> str:
+    """SQL for the size of a row: its values as text, plus a fixed part per column."""
+    texts = [f"coalesce(octet_length(CAST(`{c}` AS STRING)), 0)" for c in df.columns]
+    return " + ".join([*texts, str(16 * len(df.columns))])
 
 
 def fits_broadcast(
@@ -26,7 +27,7 @@ def fits_broadcast(
         d.agg(
             F.lit(i).alias("dim"),
             F.count(F.lit(1)).alias("rows"),
-            F.coalesce(F.sum(_row_bytes(d).cast("bigint")), F.lit(0)).alias("bytes"),
+            F.expr(f"coalesce(sum(CAST({_row_bytes(d)} AS BIGINT)), 0)").alias("bytes"),
         )
         for i, d in enumerate(dims)
     ]

@@ -40,24 +40,21 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def to_raw_events(events: DataFrame) -> DataFrame:
     """Rows of the events table to raw event columns; DATE_CREATE stays a timestamp."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    r = F.col("event_id") % 4
-    day_number = (F.year("ts") * 10000 + F.month("ts") * 100 + F.day("ts")).cast("bigint")
-    return events.select(
-        F.col("event_id").cast("string").alias("ID"),
-        (F.col("user_id") % 10).cast("int").alias("JOURNAL_ID"),
-        F.col("user_id").cast("int").alias("STUDENT_ID"),
-        F.to_date("ts").alias("LESSON_DATE"),
-        F.when(F.col("event_type") == "view", 1).when(F.col("event_type") == "click", 0)
-        .when(F.col("event_type") == "purchase", 2).when(F.col("event_type") == "signup", 3)
-        .otherwise(9).alias("ATTENDANCE_MARK"),
-        F.when(r >= 2, F.col("event_id") % 120).when(r == 1, F.col("user_id") + 1)
-        .otherwise(F.col("user_id")).cast("int").alias("MARKED_BY"),
-        F.col("ts").alias("DATE_CREATE"),
-        (day_number * 10 + 1 + k % 3).alias("LESSON_ID"),
-        F.lit(0).alias("TYPE_MARK"),
-        F.lit(None).cast("int").alias("NUMBER_CERT"),
-        r.cast("int").alias("MARKED_BY_ROLE"),
+    return events.selectExpr(
+        "CAST(event_id AS STRING) AS ID",
+        "CAST(user_id % 10 AS INT) AS JOURNAL_ID",
+        "CAST(user_id AS INT) AS STUDENT_ID",
+        "CAST(ts AS DATE) AS LESSON_DATE",
+        "CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 0 WHEN 'purchase' THEN 2"
+        " WHEN 'signup' THEN 3 ELSE 9 END AS ATTENDANCE_MARK",
+        "CAST(CASE WHEN event_id % 4 >= 2 THEN event_id % 120"
+        " WHEN event_id % 4 = 1 THEN user_id + 1 ELSE user_id END AS INT) AS MARKED_BY",
+        "ts AS DATE_CREATE",
+        "CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS BIGINT) * 10 + 1"
+        " + CAST(get_json_object(props, '$.k') AS INT) % 3 AS LESSON_ID",
+        "0 AS TYPE_MARK",
+        "CAST(NULL AS INT) AS NUMBER_CERT",
+        "CAST(event_id % 4 AS INT) AS MARKED_BY_ROLE",
     )
 
 
@@ -94,52 +91,38 @@ def directory_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Nation and region have 25 and 5 rows at every scale.
     nation = F.broadcast(table(spark, sf_dir, "nation"))
     region = F.broadcast(table(spark, sf_dir, "region"))
-    c, s = F.col("c_custkey"), F.col("s_suppkey")
 
-    def birth(key: Column) -> Column:
-        day = F.date_add(F.lit(date(1985, 1, 1)), (key % 6000).cast("int"))
-        text = F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T00:00:00Z"))
-        return F.when(key % 11 == 0, "unknown").when(key % 13 != 0, text)
-
-    student = F.struct(
-        F.struct(
-            F.col("c_name").alias("fullname"), F.lit("student").alias("type"),
-            F.when(c % 7 != 3, c.cast("string")).alias("BITRIX_USER_ID"), birth(c).alias("birthdate"),
-            F.when(c % 2 == 0, "m").otherwise("f").alias("sex"),
-        ).alias("PERSONAL"),
-        F.array(
-            F.struct(
-                F.struct(F.col("c_mktsegment").alias("short_title")).alias("department"),
-                F.struct(F.col("n_name").alias("title")).alias("specialization"),
-                F.when(c % 5 == 0, "20x").otherwise((2015 + c % 8).cast("string")).alias("edu_year"),
-                (c % 6).cast("string").alias("edu_course"),
-            )
-        ).alias("EDUCATION"),
-    )
-    employee = F.struct(
-        F.struct(
-            F.col("s_name").alias("fullname"), F.lit("employee").alias("type"),
-            s.alias("ID_DECANAT"), birth(s).alias("birthdate"), F.lit("staff").alias("WORK_POSITION"),
-        ).alias("PERSONAL"),
-        F.array(
-            F.struct(
-                F.when(s % 3 != 0, F.concat(F.lit("position "), (s % 3).cast("string"))).alias("job_title"),
-                F.struct(
-                    F.col("r_name").alias("FACULTY_NAME_DECANAT"), F.col("n_name").alias("title")
-                ).alias("department"),
-            )
-        ).alias("WORK"),
-    )
-    students = (
-        table(spark, sf_dir, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(F.to_json(student).alias("document"))
-    )
+    def birth(key: str) -> str:
+        return (
+            f"CASE WHEN {key} % 11 = 0 THEN 'unknown' WHEN {key} % 13 <> 0 THEN"
+            f" concat(CAST(date_add(DATE'1985-01-01', CAST({key} % 6000 AS INT)) AS STRING), 'T00:00:00Z') END"
+        )
+
+    student = f"""to_json(named_struct(
+      'PERSONAL', named_struct(
+        'fullname', c_name, 'type', 'student',
+        'BITRIX_USER_ID', CASE WHEN c_custkey % 7 <> 3 THEN CAST(c_custkey AS STRING) END,
+        'birthdate', {birth('c_custkey')}, 'sex', CASE WHEN c_custkey % 2 = 0 THEN 'm' ELSE 'f' END),
+      'EDUCATION', array(named_struct(
+        'department', named_struct('short_title', c_mktsegment),
+        'specialization', named_struct('title', n_name),
+        'edu_year', CASE WHEN c_custkey % 5 = 0 THEN '20x' ELSE CAST(2015 + c_custkey % 8 AS STRING) END,
+        'edu_course', CAST(c_custkey % 6 AS STRING))))) AS document"""
+    employee = f"""to_json(named_struct(
+      'PERSONAL', named_struct(
+        'fullname', s_name, 'type', 'employee', 'ID_DECANAT', s_suppkey,
+        'birthdate', {birth('s_suppkey')}, 'WORK_POSITION', 'staff'),
+      'WORK', array(named_struct(
+        'job_title', CASE WHEN s_suppkey % 3 <> 0 THEN concat('position ', CAST(s_suppkey % 3 AS STRING)) END,
+        'department', named_struct('FACULTY_NAME_DECANAT', r_name, 'title', n_name))))) AS document"""
+    students = table(spark, sf_dir, "customer").join(
+        nation, F.col("c_nationkey") == F.col("n_nationkey")
+    ).selectExpr(student)
     employees = (
         table(spark, sf_dir, "supplier")
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(F.to_json(employee).alias("document"))
+        .selectExpr(employee)
     )
     return students.unionByName(employees)
 
@@ -192,19 +175,16 @@ def school(spark: SparkSession, sf_dir: str) -> School:
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as mark requests in text form. Some lack a field, some name a wrong day."""
-    raw = raw_events(spark, sf_dir)
-    number = F.col("ID").cast("bigint")
-    text = lambda c: F.col(c).cast("string")
-    return raw.select(
-        F.col("ID").alias("request_id"),
-        F.when(number % 101 != 0, text("JOURNAL_ID")).alias("journalId"),
-        F.when(number % 103 == 0, "none").otherwise(text("STUDENT_ID")).alias("userId"),
-        text("LESSON_ID").alias("lessonId"),
-        text("ATTENDANCE_MARK").alias("attendance"),
-        F.when(number % 10 == 7, F.date_format(F.date_add("LESSON_DATE", 1), "yyyy-MM-dd"))
-        .when(number % 3 == 0, F.date_format("LESSON_DATE", "yyyy-MM-dd")).alias("lessonDate"),
-        F.col("MARKED_BY").cast("bigint").alias("requester_id"),
-        F.col("MARKED_BY").cast("bigint").alias("requester_dean_id"),
-        F.when(F.col("MARKED_BY_ROLE") >= 2, "employee").otherwise("student").alias("requester_kind"),
-        F.col("DATE_CREATE").alias("requested_at"),
+    return raw_events(spark, sf_dir).withColumn("n", F.col("ID").cast("bigint")).selectExpr(
+        "ID AS request_id",
+        "CASE WHEN n % 101 <> 0 THEN CAST(JOURNAL_ID AS STRING) END AS journalId",
+        "CASE WHEN n % 103 = 0 THEN 'none' ELSE CAST(STUDENT_ID AS STRING) END AS userId",
+        "CAST(LESSON_ID AS STRING) AS lessonId",
+        "CAST(ATTENDANCE_MARK AS STRING) AS attendance",
+        "CASE WHEN n % 10 = 7 THEN CAST(date_add(LESSON_DATE, 1) AS STRING)"
+        " WHEN n % 3 = 0 THEN CAST(LESSON_DATE AS STRING) END AS lessonDate",
+        "CAST(MARKED_BY AS BIGINT) AS requester_id",
+        "CAST(MARKED_BY AS BIGINT) AS requester_dean_id",
+        "CASE WHEN MARKED_BY_ROLE >= 2 THEN 'employee' ELSE 'student' END AS requester_kind",
+        "DATE_CREATE AS requested_at",
     )

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rollmark.llm import language, neighbours, packing, page_text, secret_scan, toxicity, url_templates
 from rollmark.llm.near_duplicates import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,10 +16,74 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def _remainder(key: str, divisor: int):
+    return F.crc32(F.col(key).cast("string").cast("binary")) % divisor
+
+
+def op2_language(spark: SparkSession, d: str) -> DataFrame:
+    docs = _table(spark, d, "documents")
+    model = language.learn_from_documents(docs)
+    rows = docs.select("doc_id", (_remainder("doc_id", 3) == 1).alias("held_out"), "text")
+    return language.identify(rows, "text", model).drop("text")
+
+
+def op3_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    vectors = _table(spark, d, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
+URL_RULES = [
+    url_templates.Rule("allow", "com", "/"), url_templates.Rule("block", "example.com", "/en/"),
+    url_templates.Rule("allow", "www.example.com", "/en/"), url_templates.Rule("block", "net", "/es/"),
+    url_templates.Rule("block", "net", "/fr/"),
+]
+
+
+def op5_url_templates(spark: SparkSession, d: str) -> DataFrame:
+    return url_templates.judge(_table(spark, d, "pages").select("page_id", "url"), URL_RULES).drop("url")
+
+
+def op6_page_text(spark: SparkSession, d: str) -> DataFrame:
+    return page_text.extract_pages(_table(spark, d, "pages"))
+
+
+def op7_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(_table(spark, d, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op8_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates(_table(spark, d, "documents"), words=2, similarity=0.8)
 
 
+def op9_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = _table(spark, d, "documents")
+    model = toxicity.learn_from_labels(docs, _table(spark, d, "labels"))
+    rows = docs.select("doc_id", (_remainder("doc_id", 5) == 0).alias("held_out"), "text")
+    return toxicity.score(rows, "text", model).drop("text")
+
+
+def op10_secrets(spark: SparkSession, d: str) -> DataFrame:
+    found = secret_scan.find_secrets(_table(spark, d, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["kind"] != "guess")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), count("guess"),
+                        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_language": op2_language,
+    "op3_neighbours": op3_neighbours,
+    "op5_url_templates": op5_url_templates,
+    "op6_page_text": op6_page_text,
+    "op7_packing": op7_packing,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_toxicity": op9_toxicity,
+    "op10_secrets": op10_secrets,
 }

@@ -16,15 +16,17 @@ import pyarrow.compute as pc
 #: Bytes of text worked on at once; a longer text makes a slice of its own.
 SLICE_BYTES = 1 << 21
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: White space and ASCII punctuation.
+PUNCTUATION = SPACE.copy()
+PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64)
 _BYTE = (_BYTE << np.uint64(1)) | np.uint64(1)
-_BYTE[_SPACE] = 0
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -58,13 +60,15 @@ def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int
         i = j
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where each word begins and ends, and its text's number. Words are runs of anything but
-    space, tab, line feed, vertical tab, form feed and carriage return."""
+    separators: by default space, tab, line feed, vertical tab, form feed and carriage return."""
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, none
-    inside = ~_SPACE[data]
+    inside = ~separators[data]
     border = np.zeros(len(data) + 1, bool)
     border[offsets] = True
     first, last = inside.copy(), inside.copy()
@@ -74,21 +78,24 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, np.flatnonzero(last) + 1, np.searchsorted(offsets, starts, "right") - 1
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def word_hashes(data: np.ndarray, starts: np.ndarray, separators: np.ndarray = SPACE) -> np.ndarray:
     """A 64-bit hash of each word, with A-Z lower-cased."""
+    value = np.where(separators, np.uint64(0), _BYTE)
     if not len(starts):
         return np.zeros(0, np.uint64)
     tail = data[starts[0] :]
     starts = starts - starts[0]
     place = np.arange(len(tail)) - np.repeat(starts, np.diff(np.append(starts, len(tail))))
     powers = np.cumprod(np.full(int(place.max()) + 1, _BASE))
-    return mix(np.add.reduceat(_BYTE[LOWER[tail]] * powers[place], starts))
+    return mix(np.add.reduceat(value[LOWER[tail]] * powers[place], starts))
 
 
-def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def hashed_words(
+    data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray]:
     """(hash, text number) of every word, in order."""
-    starts, _, text = word_spans(data, offsets)
-    return word_hashes(data, starts), text
+    starts, _, text = word_spans(data, offsets, separators)
+    return word_hashes(data, starts, separators), text
 
 
 def shingles(words: np.ndarray, text: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollmark.llm import language, neighbours, packing, page_text, secret_scan, toxicity, url_templates
+from rollmark.llm import (
+    attention_lm, decontamination, language, neighbours, packing, page_text, secret_scan, toxicity, url_templates,
+)
 from rollmark.llm.near_duplicates import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +22,10 @@ def _remainder(key: str, divisor: int):
     return F.crc32(F.col(key).cast("string").cast("binary")) % divisor
 
 
+def op1_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontamination.leaks(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
+
+
 def op2_language(spark: SparkSession, d: str) -> DataFrame:
     docs = _table(spark, d, "documents")
     model = language.learn_from_documents(docs)
@@ -39,6 +45,10 @@ URL_RULES = [
 ]
 
 
+def op4_attention_lm(spark: SparkSession, d: str) -> DataFrame:
+    return attention_lm.score(_table(spark, d, "documents"), training=_remainder("doc_id", 7) != 2)
+
+
 def op5_url_templates(spark: SparkSession, d: str) -> DataFrame:
     return url_templates.judge(_table(spark, d, "pages").select("page_id", "url"), URL_RULES).drop("url")
 
@@ -78,8 +88,10 @@ def op10_secrets(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_decontamination": op1_decontamination,
     "op2_language": op2_language,
     "op3_neighbours": op3_neighbours,
+    "op4_attention_lm": op4_attention_lm,
     "op5_url_templates": op5_url_templates,
     "op6_page_text": op6_page_text,
     "op7_packing": op7_packing,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rollmark.plans.session import scratch_path
+from rollmark.llm.stored import stored
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -27,13 +27,10 @@ def components(links: DataFrame) -> DataFrame:
     A node with very many links costs no task more than others: minima are combined before the
     shuffle, and joins split the rows of such a node. Each round is a table in the shared folder.
     """
-    spark = links.sparkSession
     now = links.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     seen = None
     while True:
-        path = scratch_path(spark, "links")
-        _small_star(_large_star(now)).write.parquet(path)
-        now = spark.read.parquet(path)
+        now = stored(_small_star(_large_star(now)), "links")
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

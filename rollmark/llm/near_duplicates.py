@@ -11,13 +11,14 @@
    of them also share one of the first `coordinates - matches + 1`. Postings that only one class
    has can only be skipped over, so most documents fall out here, and passages that many documents
    share stand at the end of the order and are not joined at all.
-4. Skip: a collision in the prefix is confirmed by counting equal coordinates of both signatures
-   directly, never by merging the long lists.
+4. Skip: the long lists are never merged. Where two classes collide in the prefix, their equal
+   coordinates are counted from four bits of each, which travel with the posting: the count is never
+   too small, and a pair below the threshold goes at once.
 5. Pairs above the threshold are confirmed on the full sets.
 
 Within a posting not all pairs are made. All its classes are first compared with one of them; what
-is linked becomes one component. After a few such rounds with different centres, only classes that
-still are in different components are compared with each other, all of them, so no component is
+is linked becomes one component. Then a few more centres are tried for what is left. At last all
+classes that still are in different components are compared with each other, so no component is
 missed, while a large group of near copies costs about its size instead of its square.
 """
 
@@ -29,21 +30,22 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import IntegerType, LongType
+from pyspark.sql.types import LongType
 
 from rollmark.llm import text as t
 from rollmark.llm.components import components
-from rollmark.plans.session import scratch_path
+from rollmark.llm.stored import stored
 
 WORDS, SIMILARITY = 5, 0.8
 COORDINATES, MATCHES = 64, 36
-STAR_ROUNDS = 3
+#: In each round, so many centres of every posting are compared with all its classes.
+CENTRES = (1, 16)
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+def _four_bits(least: np.ndarray) -> np.ndarray:
+    """Four bits of each minimum, sixteen to a number."""
+    bits = (t.mix(least) & np.uint64(15)).reshape(len(least), -1, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))
+    return np.bitwise_or.reduce(bits, axis=2).view(np.int64)
 
 
 def _signed(size: int, coordinates: int, full: bool):
@@ -86,6 +88,9 @@ def _signed(size: int, coordinates: int, full: bool):
                     columns["postings"] = pa.ListArray.from_arrays(
                         np.arange(j - i + 1, dtype=np.int32) * coordinates, least.view(np.int64).ravel()
                     )
+                    columns["sketch"] = pa.ListArray.from_arrays(
+                        np.arange(j - i + 1, dtype=np.int32) * (coordinates // 16), _four_bits(least).ravel()
+                    )
                 yield pa.RecordBatch.from_pydict(columns)
 
     return run
@@ -94,9 +99,10 @@ def _signed(size: int, coordinates: int, full: bool):
 def signatures(docs: DataFrame, words: int, coordinates: int = COORDINATES) -> DataFrame:
     """(doc_id, n_shingles, set_lo, set_hi, postings) of each row of (doc_id, text). The two set
     marks are sums over the hashed set: equal for equal sets, and as good as never otherwise."""
-    if coordinates & (coordinates - 1):
-        raise ValueError("coordinates must be a power of two")
-    schema = "doc_id bigint, n_shingles bigint, set_lo bigint, set_hi bigint, postings array<bigint>"
+    if coordinates & (coordinates - 1) or coordinates < 16:
+        raise ValueError("coordinates must be a power of two from 16 on")
+    schema = ("doc_id bigint, n_shingles bigint, set_lo bigint, set_hi bigint, postings array<bigint>, "
+              "sketch array<bigint>")
     return docs.mapInArrow(_signed(words, coordinates, False), schema)
 
 
@@ -105,11 +111,13 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(_signed(words, 2, True), schema)
 
 
-@F.pandas_udf(IntegerType())
-def _equal_coordinates(a: pd.Series, b: pd.Series) -> pd.Series:
-    if not len(a):
-        return pd.Series([], dtype="int32")
-    return pd.Series((np.stack(a.to_numpy()) == np.stack(b.to_numpy())).sum(axis=1).astype("int32"))
+def _unequal(coordinates: int) -> str:
+    """SQL for the number of coordinates whose four bits differ, of the sketches s and s_2."""
+    each = []
+    for k in range(coordinates // 16):
+        x = f"(s[{k}] ^ s_2[{k}])"
+        each.append(f"bit_count(({x} | shiftright({x}, 1) | shiftright({x}, 2) | shiftright({x}, 3)) & 1229782938247303441L)")
+    return " + ".join(each)
 
 
 @F.pandas_udf(LongType())
@@ -129,91 +137,87 @@ def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
         .groupBy("rep", "set_lo", "n").agg(F.sort_array(F.collect_list(F.struct("lists", "posting"))).alias("p"))
         .filter(F.size("p") >= matches)
     )
-    return kept.select("rep", "n", F.explode(F.slice("p", 1, F.size("p") - matches + 1)).alias("p")).select(
-        "rep", "n", F.col("p.posting").alias("posting")
-    )
+    sketches = classes.select("rep", "set_lo", F.col("sketch").alias("s"))
+    return kept.join(sketches, ["rep", "set_lo"]).select(
+        "rep", "n", "s", F.explode(F.slice("p", 1, F.size("p") - matches + 1)).alias("p")
+    ).select("rep", "n", "s", F.col("p.posting").alias("posting"))
 
 
 class _Confirm:
-    """Which of the pairs (a, b) of classes are linked."""
-
-    def __init__(self, classes: DataFrame, sets: DataFrame, similarity: float, matches: int):
-        self.classes, self.sets, self.matches = classes, sets, matches
-        self.percent = round(100 * similarity)
+    """Which of the pairs (a, b) of classes are linked. A class's whole set is made when a pair has
+    it for the first time."""
+
+    def __init__(self, docs: DataFrame, words: int, percent: int):
+        self.docs, self.words, self.percent = docs, words, percent
+        self.sets: DataFrame | None = None
+
+    def _add(self, pairs: DataFrame) -> None:
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+        if self.sets is not None:
+            nodes = stored(nodes.join(self.sets, "rep", "left_anti"), "nodes")
+            if nodes.isEmpty():
+                return
+        texts = self.docs.join(nodes, self.docs["doc_id"] == nodes["rep"], "left_semi")
+        new = stored(
+            full_sets(texts, self.words).select(F.col("doc_id").alias("rep"), "shingles").distinct(), "sets"
+        )
+        self.sets = new if self.sets is None else self.sets.unionByName(new)
 
     def __call__(self, pairs: DataFrame) -> DataFrame:
-        def side(table, name, value):
-            return table.select(F.col("rep").alias(name), F.col(value).alias(f"{value}_{name}"))
-
-        close = (
-            pairs.join(side(self.classes, "a", "postings"), "a").join(side(self.classes, "b", "postings"), "b")
-            .filter(_equal_coordinates("postings_a", "postings_b") >= self.matches).select("a", "b")
-        )
-        close = _stored(close.distinct(), "close")
-        both = close.join(side(self.sets, "a", "shingles"), "a").join(side(self.sets, "b", "shingles"), "b")
+        self._add(pairs)
+        side = [self.sets.select(F.col("rep").alias(c), F.col("shingles").alias(f"shingles_{c}")) for c in "ab"]
+        both = pairs.join(side[0], "a").join(side[1], "b").withColumn("both", _in_both("shingles_a", "shingles_b"))
         union = (F.length("shingles_a") + F.length("shingles_b")) / 8 - F.col("both")
-        linked = both.withColumn("both", _in_both("shingles_a", "shingles_b")).filter(
-            F.col("both") * 100 >= union * self.percent
-        )
-        return linked.select(F.col("a").alias("u"), F.col("b").alias("v"))
+        return both.filter(F.col("both") * 100 >= union * self.percent).select(
+            F.col("a").alias("u"), F.col("b").alias("v"))
 
 
 def class_components(
-    docs: DataFrame, signed: DataFrame, words: int, similarity: float, matches: int
+    docs: DataFrame, signed: DataFrame, words: int, similarity: float, coordinates: int, matches: int
 ) -> tuple[DataFrame, DataFrame]:
     """(set_lo, set_hi, rep) of every class, and (node, component) of the linked ones."""
-    spark = docs.sparkSession
-    classes = _stored(
+    spark, percent = docs.sparkSession, round(100 * similarity)
+    classes = stored(
         signed.filter("n_shingles > 0 and doc_id is not null").groupBy("set_lo", "set_hi").agg(
             F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"),
-            F.first("postings").alias("postings"),
+            F.first("postings").alias("postings"), F.first("sketch").alias("sketch"),
         ), "classes",
     )
-    prefix = _stored(_prefixes(classes, matches), "prefix")
-    nodes = prefix.select("rep").distinct()
-    members = _stored(classes.join(nodes, "rep").select("rep", "set_lo", "set_hi", "postings"), "members")
-    texts = docs.join(nodes, docs["doc_id"] == nodes["rep"], "left_semi")
-    sets = _stored(
-        full_sets(texts, words).select(F.col("doc_id").alias("rep"), "shingles").distinct(), "sets"
-    )
-    confirm = _Confirm(members, sets, similarity, matches)
-    links = spark.createDataFrame([], "u bigint, v bigint")
-    found, tried = None, None
-    for turn in range(STAR_ROUNDS + 1):
+    prefix = stored(_prefixes(classes, matches), "prefix")
+    confirm = _Confirm(docs, words, percent)
+    close = F.expr(f"least(n, n_2) * 100 >= greatest(n, n_2) * {percent} and "
+                   f"{_unequal(coordinates)} <= {coordinates - matches}")
+    found = spark.createDataFrame([], "node bigint, component bigint")
+    tried = None
+    for turn, centres in enumerate((*CENTRES, None)):
         posted = prefix.withColumn("component", F.col("rep"))
-        if found is not None:
-            posted = prefix.join(found, F.col("rep") == F.col("node"), "left").select(
-                "rep", "n", "posting", F.coalesce("component", "rep").alias("component")
-            )
+        if turn:
+            posted = prefix.join(found, F.col("rep") == F.col("node"), "left").withColumn(
+                "component", F.coalesce("component", "rep")).drop("node")
             mixed = posted.groupBy("posting").agg(
                 F.min("component").alias("least"), F.max("component").alias("most")
             ).filter("least < most").select("posting")
-            posted = _stored(posted.join(mixed, "posting", "left_semi"), "posted")
-        other = posted.select("posting", *(F.col(c).alias(f"{c}_2") for c in ("rep", "n", "component")))
-        if turn < STAR_ROUNDS:
-            centre = F.struct(F.xxhash64(F.lit(turn), "rep"), "rep", "n", "component")
-            other = posted.groupBy("posting").agg(F.min(centre).alias("c")).select(
-                "posting", *(F.col(f"c.{c}").alias(f"{c}_2") for c in ("rep", "n", "component"))
-            )
-            apart = F.expr("component != component_2")
-        else:
+            posted = stored(posted.join(mixed, "posting", "left_semi"), "posted")
+        whole = ("rep", "n", "s", "component")
+        if centres is None:
+            other = posted.select("posting", *(F.col(c).alias(f"{c}_2") for c in whole))
             apart = F.expr("component != component_2 and rep < rep_2")
-        percent = round(100 * similarity)
-        pairs = posted.join(other, "posting").filter(
-            apart & (F.least("n", "n_2") * 100 >= F.greatest("n", "n_2") * percent)
-        ).select(F.least("rep", "rep_2").alias("a"), F.greatest("rep", "rep_2").alias("b")).distinct()
+        else:
+            order = F.xxhash64(F.lit(turn), "rep")
+            other = posted.groupBy("posting", F.pmod(order, F.lit(centres)).alias("k")).agg(
+                F.min_by(F.struct(*whole), order).alias("c")
+            ).select("posting", *(F.col(f"c.{c}").alias(f"{c}_2") for c in whole))
+            apart = F.expr("component != component_2")
+        pairs = posted.join(other, "posting").filter(apart & close).select(
+            F.least("rep", "rep_2").alias("a"), F.greatest("rep", "rep_2").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = _stored(pairs, "pairs")
+        pairs = stored(pairs, "pairs")
         if pairs.isEmpty():
             continue
         tried = pairs if tried is None else tried.unionByName(pairs)
-        new = confirm(pairs)
-        links = _stored(links.unionByName(new) if found is None else found.select(
-            F.col("node").alias("u"), F.col("component").alias("v")).unionByName(new), "linked")
-        found = components(links)
-    if found is None:
-        found = links.selectExpr("u as node", "v as component")
+        links = found.selectExpr("node as u", "component as v").unionByName(confirm(pairs))
+        found = components(stored(links, "linked"))
     return classes.select("set_lo", "set_hi", "rep"), found
 
 
@@ -234,8 +238,8 @@ def near_duplicates(
     texts. Other columns of docs are not read. No rows give no rows.
     """
     own = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    signed = _stored(signatures(own, words, coordinates), "signed")
-    classes, found = class_components(own, signed, words, similarity, matches)
+    signed = stored(signatures(own, words, coordinates), "signed")
+    classes, found = class_components(own, signed, words, similarity, coordinates, matches)
     named = classes.join(found, F.col("rep") == F.col("node"), "left").select(
         "set_lo", "set_hi", F.coalesce("component", "rep").alias("class_component")
     )

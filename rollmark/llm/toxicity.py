@@ -20,26 +20,33 @@ from pyspark.sql.types import DoubleType
 from rollmark.llm import text as t
 from rollmark.llm.ngrams import grams, sampled
 
-ORDERS, BITS = (3, 4, 5), 20
+ORDERS, BITS = (3, 4, 5), 18
 #: Features kept; labelled rows per class that the weights are fitted on.
 FEATURES, SAMPLE = 1 << 14, 4000
+#: Labels are sent to every task up to so many; more are joined by shuffling.
+SENT_LABELS = 1_000_000
 
 
 def _present(column: pa.Array, wanted: np.ndarray | None = None) -> Iterator[np.ndarray]:
-    """The distinct buckets of each text, or the wanted ones among them."""
+    """The distinct buckets of each text, or the wanted ones among them, in order."""
+    mark = np.zeros(1 << BITS, bool)
     for i, j, data, offsets in t.slices(column):
-        found, owner = [], []
+        found = []
         for bucket, text in grams(data, offsets, ORDERS, BITS):
             if wanted is not None:
                 hit = np.flatnonzero(wanted[bucket])
                 bucket, text = bucket[hit], text[hit]
-            found.append(bucket)
-            owner.append(text)
-        key = np.concatenate([np.zeros(0, np.int64), *[o << BITS | b for o, b in zip(owner, found)]])
-        key = np.unique(key)
-        cuts = np.searchsorted(key, np.arange(j - i + 1) << BITS)
+            found.append((bucket, np.searchsorted(text, np.arange(j - i + 1))))
         for k in range(j - i):
-            yield key[cuts[k] : cuts[k + 1]] & ((1 << BITS) - 1)
+            own = [bucket[cuts[k] : cuts[k + 1]] for bucket, cuts in found]
+            if wanted is not None:
+                yield np.unique(np.concatenate([np.zeros(0, np.int64), *own]))
+                continue
+            for bucket in own:
+                mark[bucket] = True
+            buckets = np.flatnonzero(mark)
+            mark[buckets] = False
+            yield buckets
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,5 +152,7 @@ def learn_from_labels(docs: DataFrame, labels: DataFrame, **limits: int) -> Mode
     document with several labels is learned once, by the largest."""
     one = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("label"))
     taught = one.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
+    if taught.count() <= SENT_LABELS:
+        taught = F.broadcast(taught)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(taught, "doc_id")
     return train(rows.withColumnRenamed("doc_id", "key"), **limits)

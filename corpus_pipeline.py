@@ -1,22 +1,74 @@
-"""A corpus from documents to packed sequences, stage by stage."""
+"""A corpus from documents to packed sequences, stage by stage.
+
+A stage takes (spark, docs, sf_dir) and returns the documents that it keeps, with the columns they
+came with; the last returns the pieces of the packed sequences. Between stages the documents are a
+table in the shared folder, so a lost executor costs a stage's tasks at most.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from rollmark.llm import decontamination, language, near_duplicates, packing, secret_scan
+from rollmark.llm.stored import stored
+
+#: Less than this is as good as a guess between two families and two languages.
+LEAST_SURE = 0.25
+
+
+def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that was learned; those without a letter, with null or empty text,
+    or that no language fits better than chance, go."""
+    model = language.learn_from_documents(docs)
+    kept = language.identify(docs.withColumn("_text", F.col("text")), "_text", model)
+    if model is None:
+        return docs.limit(0)
+    return kept.filter((F.col("lang_pred") != language.UNDECIDED) & (F.col("score") >= LEAST_SURE)).select(*docs.columns)
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies (five-word shingles, similarity of 0.8) the one with the
+    smallest doc_id. Documents without a doc_id or a word stay."""
+    copies = near_duplicates.near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    key = F.xxhash64("doc_id", "text")  # rows without a doc_id are told apart, too
+    found = decontamination.leaks(docs.select(key.alias("doc_id"), "text"), benchmark)
+    leaked = found.select(F.col("doc_id").alias("_key")).distinct()
+    return docs.withColumn("_key", key).join(leaked, "_key", "left_anti").select(*docs.columns)
+
+
+def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with [secret] in place of every secret."""
+    out = secret_scan.redact(docs)
+    if "n_chars" in out.columns:
+        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents by sequence and offset, with a checksum of their ids."""
+    return packing.pack(docs).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
-from rollmark.plans.session import scratch_path
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", identified), ("near_duplicates", deduplicated), ("decontamination", decontaminated),
+    ("secrets", redacted), ("packing", packed),
+]
 
+#: SQL can express neither the trained language model nor the latent search.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        path = scratch_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

@@ -1,7 +1,7 @@
 """Benchmark items in documents, found in a latent space and confirmed word by word.
 
-1. Document frequencies of hashed words over all passages (runs of WINDOW words) of all documents
-   give TF-IDF weights.
+1. Frequencies of hashed words over all passages (runs of WINDOW words) of all documents give TF-IDF
+   weights.
 2. A randomised singular value decomposition of the passages' TF-IDF matrix A: with a random matrix
    R, Y = A R; one pass over the documents sums both A'Y and Y'Y, from which the driver derives an
    orthonormal basis of Y, A's projection to it, and so the leading right singular vectors. What
@@ -28,9 +28,11 @@ from rollmark.llm import text as t
 WINDOW, STEP = 16, 4
 #: Hashed words; singular vectors kept, and random directions.
 BITS, LATENT, DIRECTIONS = 14, 24, 32
-COSINE, COVERED, ANSWERED, RARE = 0.7, 0.6, 0.5, 4
+COSINE, COVERED, ANSWERED, RARE = 0.8, 0.6, 0.5, 4
+#: Of the share that the subsequence is to cover, a candidate window is to have this part.
+SHARED = 0.85
 #: Buckets in a block of the summed matrix; bytes of items compared at once.
-BLOCK, ITEM_BYTES = 1024, 8 << 20
+BLOCK, ITEM_BYTES = 1024, 1 << 18
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -48,21 +50,20 @@ def _passages(owner: np.ndarray) -> np.ndarray:
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    df, total = np.zeros(1 << BITS, np.int64), 0
+    count, total = np.zeros(1 << BITS, np.int64), 0
     for batch in batches:
         for _, _, data, offsets in t.slices(batch.column(0)):
             _, bucket, owner = _words(data, offsets)
             if len(bucket):
-                passage = _passages(owner)
-                once = np.unique(passage << BITS | bucket)
-                df += np.bincount(once & ((1 << BITS) - 1), minlength=1 << BITS)
-                total += int(passage[-1]) + 1
-    bucket = np.append(np.flatnonzero(df), -1)
-    yield pa.RecordBatch.from_pydict({"bucket": pa.array(bucket), "n": pa.array(np.append(df[bucket[:-1]], total))})
+                count += np.bincount(bucket, minlength=1 << BITS)
+                total += int(_passages(owner)[-1]) + 1
+    bucket = np.append(np.flatnonzero(count), -1)
+    yield pa.RecordBatch.from_pydict({"bucket": pa.array(bucket), "n": pa.array(np.append(count[bucket[:-1]], total))})
 
 
 def weights(texts: DataFrame) -> np.ndarray:
-    """Inverse document frequency of each hashed word over all passages."""
+    """Inverse frequency of each hashed word over all passages (which are short: how often a word
+    occurs stands for how many have it)."""
     df, total = np.zeros(1 << BITS), 0
     found = texts.mapInArrow(_frequencies, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
     for r in found.collect():  # at most 2**BITS + 1 rows
@@ -77,18 +78,19 @@ def _products(idf: np.ndarray):
     random = np.random.default_rng(5).standard_normal((1 << BITS, DIRECTIONS)).astype(np.float32) * idf[:, None]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g, yy = np.zeros((DIRECTIONS, 1 << BITS)), np.zeros((DIRECTIONS, DIRECTIONS))
+        g, yy = np.zeros((1 << BITS, DIRECTIONS)), np.zeros((DIRECTIONS, DIRECTIONS))
         for batch in batches:
-            for _, _, data, offsets in t.slices(batch.column(0)):
+            for _, _, data, offsets in t.slices(batch.column(0), 1 << 19):
                 _, bucket, owner = _words(data, offsets)
                 if not len(bucket):
                     continue
                 passage = _passages(owner)
                 y = np.add.reduceat(random[bucket], t.segment_starts(passage), axis=0)
                 yy += y.T.astype(float) @ y
-                for c in range(DIRECTIONS):
-                    g[c] += np.bincount(bucket, y[passage, c], 1 << BITS)
-        both = np.vstack([(g * idf).T, yy]).astype(np.float64)
+                order = np.argsort(bucket.astype(np.uint16), kind="stable")
+                cuts = t.segment_starts(bucket[order])
+                g[bucket[order[cuts]]] += np.add.reduceat(y[passage[order]], cuts, axis=0)
+        both = np.vstack([g * idf[:, None], yy])
         blocks = [both[k : k + BLOCK] for k in range(0, len(both), BLOCK)]
         yield pa.RecordBatch.from_pydict({
             "block": pa.array(np.arange(len(blocks)), pa.int32()),
@@ -154,10 +156,13 @@ class Items:
             if not len(answer) and len(words):
                 answer = words[np.lexsort((words, -idf[bucket]))[:RARE]]
             self.answers.append(set(answer.tolist()))
-            for start in sorted({*range(0, max(1, len(words) - WINDOW + 1), WINDOW), max(0, len(words) - WINDOW)}):
+            for start in range(0, max(1, len(words) - WINDOW // 2), WINDOW):
                 if len(words):
                     vectors.append(space[bucket[start : start + WINDOW]].sum(axis=0))
                     of.append(k)
+        self.has = np.zeros((len(ids), 1 << BITS), bool)
+        for k, (_, bucket) in enumerate(read(texts)):
+            self.has[k, bucket] = True
         v = np.array(vectors, np.float32).reshape(-1, space.shape[1])
         self.vectors = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
         self.of = np.array(of, np.int64)
@@ -201,7 +206,11 @@ def _searched(items: Items, space: np.ndarray, cosine: float, covered: float, an
                     v = (running[b] - running[a]).astype(np.float32)
                     v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
                     near = v @ items.vectors.T
-                    row, column = np.nonzero(near >= cosine)
+                    row, column = np.divmod(np.flatnonzero(near >= cosine), near.shape[1])
+                    # words of the window that the item has: no common subsequence is longer
+                    words_of = np.minimum(a[row, None] + np.arange(WINDOW), b[row, None] - 1)
+                    shared = items.has[items.of[column][:, None], bucket[words_of]].mean(axis=1) >= covered * SHARED
+                    row, column = row[shared], column[shared]
                     at, item, how = a[row], items.of[column], near[row, column]
                     order = np.lexsort((at, item, owner[at]))
                     at, item, how = at[order], item[order], how[order]

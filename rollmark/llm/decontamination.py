@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from rollmark.llm import text as t
 
-WINDOW, STEP = 16, 4
+WINDOW, STEP = 16, 6
 #: Hashed words; singular vectors kept, and random directions.
-BITS, LATENT, DIRECTIONS = 14, 24, 32
-COSINE, COVERED, ANSWERED, RARE = 0.8, 0.6, 0.5, 4
+BITS, LATENT, DIRECTIONS = 14, 24, 28
+COSINE, COVERED, ANSWERED, RARE = 0.82, 0.6, 0.5, 4
 #: Of the share that the subsequence is to cover, a candidate window is to have this part.
 SHARED = 0.85
 #: Buckets in a block of the summed matrix; bytes of items compared at once.

@@ -18,8 +18,8 @@
 
 Within a posting not all pairs are made. All its classes are first compared with one of them; what
 is linked becomes one component. Then a few more centres are tried for what is left. At last all
-classes that still are in different components are compared with each other, so no component is
-missed, while a large group of near copies costs about its size instead of its square.
+classes that still are in different components are compared with each other, but for those that
+have too many shingles of their own to be like any. So no component is missed, while a large group of near copies costs about its size instead of its square.
 """
 
 from __future__ import annotations
@@ -143,6 +143,13 @@ def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
     ).select("rep", "n", "s", F.col("p.posting").alias("posting"))
 
 
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for rep, shingles in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            own = np.frombuffer(shingles, np.int64)
+            yield pa.RecordBatch.from_pydict({"rep": pa.array(np.full(len(own), rep)), "shingle": pa.array(own)})
+
+
 class _Confirm:
     """Which of the pairs (a, b) of classes are linked. A class's whole set is made when a pair has
     it for the first time."""
@@ -151,8 +158,8 @@ class _Confirm:
         self.docs, self.words, self.percent = docs, words, percent
         self.sets: DataFrame | None = None
 
-    def _add(self, pairs: DataFrame) -> None:
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    def add(self, nodes: DataFrame) -> None:
+        """Make the sets of these classes (rep) that are not there yet."""
         if self.sets is not None:
             nodes = stored(nodes.join(self.sets, "rep", "left_anti"), "nodes")
             if nodes.isEmpty():
@@ -163,8 +170,20 @@ class _Confirm:
         )
         self.sets = new if self.sets is None else self.sets.unionByName(new)
 
+    def hopeless(self, nodes: DataFrame) -> DataFrame:
+        """Those of the classes too many of whose shingles no other of them has: what two sets share
+        is at most what one of them shares with any, and must reach `percent` of its size."""
+        self.add(nodes)
+        sets = self.sets.join(nodes, "rep", "left_semi")
+        each = sets.mapInArrow(_exploded, "rep bigint, shingle bigint")
+        alone = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("rep").alias("rep")).filter("n = 1")
+        alone = alone.groupBy("rep").agg(F.count("*").alias("alone"))
+        sizes = sets.groupBy("rep").agg(F.count("*").alias("sets"), F.sum(F.length("shingles") / 8).alias("n"))
+        few = (F.col("n") - F.col("alone")) * 100 < F.col("n") * self.percent
+        return sizes.join(alone, "rep").filter(few & (F.col("sets") == 1)).select("rep")
+
     def __call__(self, pairs: DataFrame) -> DataFrame:
-        self._add(pairs)
+        self.add(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct())
         side = [self.sets.select(F.col("rep").alias(c), F.col("shingles").alias(f"shingles_{c}")) for c in "ab"]
         both = pairs.join(side[0], "a").join(side[1], "b").withColumn("both", _in_both("shingles_a", "shingles_b"))
         union = (F.length("shingles_a") + F.length("shingles_b")) / 8 - F.col("both")
@@ -198,6 +217,9 @@ def class_components(
                 F.min("component").alias("least"), F.max("component").alias("most")
             ).filter("least < most").select("posting")
             posted = stored(posted.join(mixed, "posting", "left_semi"), "posted")
+            if centres is None:
+                hopeless = stored(confirm.hopeless(posted.select("rep").distinct()), "hopeless")
+                posted = posted.join(hopeless, "rep", "left_anti")
         whole = ("rep", "n", "s", "component")
         if centres is None:
             other = posted.select("posting", *(F.col(c).alias(f"{c}_2") for c in whole))

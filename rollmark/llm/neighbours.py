@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F, Window
 from rollmark.plans.session import scratch_path
 
 #: Rows that centroids are fitted on; vectors per list aimed at, and lists at most.
-SAMPLE, PER_LIST, LISTS = 20_000, 400, 1024
+SAMPLE, PER_LIST, LISTS = 20_000, 2000, 1024
 #: Share of the lists that a query goes through.
 PROBED = 0.9
 #: Vectors of a list's part; queries of a block; columns of a block; strictness of the test.
@@ -143,7 +143,7 @@ def nearest(
     fitted = base.filter(F.pmod(F.xxhash64(F.lit("fit"), "vec_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     x = np.array([r.v for r in fitted.select("v").limit(sample).collect()], float).reshape(-1, width)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    lists = int(min(LISTS, max(4, total // PER_LIST, np.sqrt(total) // 4)))
+    lists = int(min(LISTS, max(4, total // PER_LIST, np.sqrt(total) // 8)))
     centre = spark.sparkContext.broadcast(centroids(x, lists) if len(x) else np.eye(1, width))  # at most LISTS rows
 
     def unit(v: pd.Series) -> np.ndarray:

@@ -17,10 +17,10 @@ def near_duplicate_components(docs: str, size: int, percent: int) -> str:
     c AS (SELECT doc_id, count(*) AS n, hash(list(g ORDER BY g)) AS k FROM s GROUP BY doc_id),
     rep AS (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY k, n) AS rep FROM c),
     t AS (SELECT s.doc_id, s.g, n FROM s JOIN rep ON s.doc_id = rep.doc_id AND rep.rep = rep.doc_id),
-    p AS (SELECT a.doc_id AS u, b.doc_id AS v, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS both
+    p AS (SELECT a.doc_id AS u, b.doc_id AS v, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS common
           FROM t a JOIN t b ON a.g = b.g AND a.doc_id < b.doc_id
           AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * {percent} GROUP BY ALL),
-    l AS (SELECT u, v FROM p WHERE 100 * both >= {percent} * (na + nb - both)),
+    l AS (SELECT u, v FROM p WHERE 100 * common >= {percent} * (na + nb - common)),
     e AS (SELECT u, v FROM l UNION ALL SELECT v, u FROM l),
     reach(u, v) AS (SELECT rep, rep FROM rep WHERE rep = doc_id
                     UNION SELECT reach.u, e.v FROM reach JOIN e ON reach.v = e.u),

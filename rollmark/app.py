@@ -17,11 +17,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from rollmark.plans.session import SETTINGS
 from rollmark.schemas import RAW_COLUMNS
 from rollmark.sinks.messages import to_messages, write_messages
 from rollmark.sources.directory import read_directory
 from rollmark.sources.messages import decode_events, read_messages
-from rollmark.streaming.enrichment import dedupe_stream, start_enrichment
+from rollmark.streaming.enrichment import dedupe_stream, start_enrichment, start_rejects
+from rollmark.streaming.run import query_id
 from rollmark.streaming.settlement import start_settlement
 from rollmark.streaming.snapshot import DirectorySnapshot
 from rollmark.streaming.store import start_history, start_mart
@@ -40,7 +42,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--sink", default="kafka")
     p.add_argument("--sink-option", action="append", default=[], metavar="KEY=VALUE")
     p.add_argument("--table", help="folder of the history, of the latest state or of the standing marks")
-    p.add_argument("--rejects", help="folder for rejected marks")
+    p.add_argument("--rejects", help="folder for what a job refuses, with a reason; messages it cannot read go to <folder>-unread")
+    p.add_argument("--overwrites", help="folder for accepted marks that replaced another (settle)")
     p.add_argument("--directory", help="folder of user documents")
     p.add_argument("--directory-format", default="parquet")
     p.add_argument("--refresh-seconds", type=float, default=3600)
@@ -55,9 +58,31 @@ def start(spark: SparkSession, argv: Sequence[str]) -> StreamingQuery:
     messages = read_messages(spark, args.source, stream=True, **_pairs(args.source_option))
     sink_options = _pairs(args.sink_option)
 
+    def batch_key(rows: DataFrame, batch_id: int, checkpoint: str = args.checkpoint) -> str:
+        """A run with a fresh checkpoint counts from 0 again, and must not replace another's files."""
+        return f"{query_id(rows.sparkSession, checkpoint)}-{batch_id}"
+
     def write(rows: DataFrame, batch_id: int) -> None:
-        write_messages(rows, args.sink, batch_id=batch_id, **sink_options)
+        write_messages(rows, args.sink, batch_id=batch_key(rows, batch_id), **sink_options)
+
+    def refuse(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{args.rejects}/batch_id={batch_key(rows, batch_id)}")
+
+    if args.job in ("history", "mart"):
+        begin = start_history if args.job == "history" else start_mart
+        return begin(
+            messages, args.table, args.checkpoint, every=args.every, uuid_ids=not args.any_id,
+            rejects=refuse if args.rejects else None,
+        )
+    if args.rejects:  # what cannot be decoded goes there by a query of its own
 
+        beside = f"{args.checkpoint.rstrip('/')}-unread"
+
+        def unread(rows: DataFrame, batch_id: int) -> None:
+            key = batch_key(rows, batch_id, beside)
+            rows.select("key", "reason").write.mode("overwrite").parquet(f"{args.rejects}-unread/batch_id={key}")
+
+        start_rejects(messages, unread, beside, watermark=args.watermark, every=args.every)
     if args.job == "enrich":
         directory = DirectorySnapshot(
             lambda s: read_directory(s, args.directory, args.directory_format), args.refresh_seconds
@@ -65,26 +90,34 @@ def start(spark: SparkSession, argv: Sequence[str]) -> StreamingQuery:
         return start_enrichment(
             messages, directory, write, args.checkpoint, watermark=args.watermark, every=args.every
         )
-    if args.job in ("history", "mart"):
-        begin = start_history if args.job == "history" else start_mart
-        return begin(messages, args.table, args.checkpoint, every=args.every, uuid_ids=not args.any_id)
 
     def settled(accepted: DataFrame, rejected: DataFrame, batch_id: int) -> None:
         write(to_messages(accepted, RAW_COLUMNS), batch_id)
         if args.rejects:
-            rejected.write.mode("overwrite").parquet(f"{args.rejects}/batch_id={batch_id}")
+            refuse(rejected, batch_id)
 
     events = dedupe_stream(decode_events(messages)[0], watermark=args.watermark)
-    whole = events.filter(F.col("JOURNAL_ID").isNotNull() & F.col("STUDENT_ID").isNotNull())
-    whole = whole.filter(F.col("LESSON_ID").isNotNull() & F.col("LESSON_DATE").isNotNull())
-    return start_settlement(whole, args.table, settled, args.checkpoint, every=args.every)
+    typed = events.withColumn("LESSON_DATE", F.col("LESSON_DATE").try_cast("date"))
+
+    def replaced(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{args.overwrites}/batch_id={batch_key(rows, batch_id)}")
+
+    return start_settlement(
+        typed, args.table, settled, args.checkpoint, every=args.every,
+        overwrites=replaced if args.overwrites else None,
+    )
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     import sys
 
-    spark = SparkSession.builder.appName("rollmark").getOrCreate()
-    start(spark, sys.argv[1:] if argv is None else argv).awaitTermination()
+    builder = SparkSession.builder.appName("rollmark")
+    for key, value in SETTINGS.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    start(spark, sys.argv[1:] if argv is None else argv)
+    for query in spark.streams.active:
+        query.awaitTermination()
 
 
 if __name__ == "__main__":

@@ -16,6 +16,7 @@ from rollmark.functions.lessons import DEAN, DEAN_MARKS, MARKS, MONITOR, STUDENT
 from rollmark.functions.scalars import micros_text, number_of, stable_id, time_of_day, whole_number
 from rollmark.plans.sizing import fits_broadcast
 from rollmark.plans.skew import ROWS_PER_TASK, lookup_join
+from rollmark.schemas import STORE_RANGES
 
 REQUEST_FIELDS = ["journalId", "userId", "lessonId", "attendance", "lessonDate"]
 
@@ -50,7 +51,11 @@ def parse_requests(requests: DataFrame) -> DataFrame:
 
 def input_reason() -> Column:
     """First fault of the request itself."""
-    positive = {"journalId": "bad_journal", "userId": "bad_user", "lessonId": "bad_lesson"}
+    ids = {
+        "journalId": ("journal_id", "bad_journal", STORE_RANGES["JOURNAL_ID"][2]),
+        "userId": ("user_id", "bad_user", STORE_RANGES["STUDENT_ID"][2]),
+        "lessonId": ("lesson_id", "bad_lesson", STORE_RANGES["LESSON_ID"][2]),
+    }
     empty = F.lit(True)
     for f in REQUEST_FIELDS:
         empty = empty & F.col(f).isNull()
@@ -58,8 +63,8 @@ def input_reason() -> Column:
         F.when(empty, "empty"),
         *[F.when(F.col(f).isNull(), f"missing:{f}") for f in REQUEST_FIELDS[:4]],
         *[
-            F.when(~F.coalesce(number_of(F.col(f)) > 0, F.lit(False)), reason)
-            for f, reason in positive.items()
+            F.when(~F.coalesce((number_of(F.col(f)) > 0) & (F.col(typed) <= high), F.lit(False)), reason)
+            for f, (typed, reason, high) in ids.items()
         ],
         F.when(~F.coalesce(F.col("mark").isin(MARKS), F.lit(False)), "bad_attendance"),
     ]
@@ -129,6 +134,19 @@ def access_reason() -> Column:
     return F.when(kind == "employee", employee).when(kind == "student", student).otherwise("unknown_kind")
 
 
+def supplied_day(text: Column) -> Column:
+    """The day a whole text stands for: yyyy-MM-dd or dd.MM.yyyy, either with a time of day
+    (HH:mm, HH:mm:ss, with fractions) after a space or T; NULL for anything else."""
+    iso = F.regexp_replace(F.trim(text), r"\A(\d{2})\.(\d{2})\.(\d{4})", "$3-$2-$1")
+    known = iso.rlike(r"\A\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?\z")
+    return F.when(known, iso).try_cast("timestamp_ntz").cast("date")
+
+
+def marker_reason() -> Column:
+    """The id the mark would be made under does not fit an event."""
+    return F.when(~derived_marker().between(0, 2**31 - 1), "bad_marker")
+
+
 def lesson_reason() -> Column:
     """Why the lesson cannot take the mark."""
     supplied = F.col("lessonDate")
@@ -136,7 +154,7 @@ def lesson_reason() -> Column:
         F.when(F.col("lesson").isNull(), "lesson_not_found")
         .when(F.col("lesson.BLOCKED"), "lesson_blocked")
         .when(
-            supplied.isNotNull() & ~F.substring(supplied, 1, 10).try_cast("date").eqNullSafe(F.col("lesson.lesson_date")),
+            supplied.isNotNull() & ~supplied_day(supplied).eqNullSafe(F.col("lesson.lesson_date")),
             "date_mismatch",
         )
     )
@@ -190,7 +208,9 @@ def validate_marks(requests: DataFrame, school: School, **options) -> DataFrame:
     facts = with_facts(requests, school, **options).withColumn("NUMBER", F.col("lesson.NUMBER"))
     return with_slot(facts).withColumns(
         {
-            "reject_reason": F.coalesce(input_reason(), access_reason(), lesson_reason(), slot_reason()),
+            "reject_reason": F.coalesce(
+                input_reason(), marker_reason(), access_reason(), lesson_reason(), slot_reason()
+            ),
             "marked_by_role": derived_role(),
             "marked_by": derived_marker(),
         }
@@ -203,11 +223,11 @@ def to_events(validated: DataFrame) -> DataFrame:
     day = F.col("lesson.lesson_date")
     return validated.filter(F.col("reject_reason").isNull()).select(
         stable_id(F.col("request_id"), F.col("requester_id"), F.col("requested_at")).alias("ID"),
-        F.col("journal_id").cast("int").alias("JOURNAL_ID"),
-        F.col("user_id").cast("int").alias("STUDENT_ID"),
+        F.col("journal_id").try_cast("int").alias("JOURNAL_ID"),
+        F.col("user_id").try_cast("int").alias("STUDENT_ID"),
         F.date_format(day, "yyyy-MM-dd").alias("LESSON_DATE"),
         F.col("mark").cast("int").alias("ATTENDANCE_MARK"),
-        F.col("marked_by").cast("int").alias("MARKED_BY"),
+        F.col("marked_by").try_cast("int").alias("MARKED_BY"),
         micros_text(F.col("requested_at")).alias("DATE_CREATE"),
         F.col("lesson_id").cast("bigint").alias("LESSON_ID"),
         F.lit(0).alias("TYPE_MARK"),

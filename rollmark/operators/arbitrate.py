@@ -159,3 +159,12 @@ def existing_marks(
         both, MARK_KEY, ["DATE_CREATE", "ID", "_turn"], step, rows_per_task=rows_per_task
     )
     return found.filter(F.col("_turn") == 0).select(*requests.columns, "_prev.*")
+
+
+def accepted_overwrites(
+    accepted: DataFrame, history: DataFrame | None = None, *, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Accepted marks that replaced another, with the mark that stood before as prev_id, prev_by,
+    prev_mark, prev_role and prev_create. ``history`` are marks accepted earlier."""
+    stood = accepted if history is None else accepted.unionByName(history, allowMissingColumns=True)
+    return existing_marks(accepted, stood, rows_per_task=rows_per_task).filter("prev_id IS NOT NULL")

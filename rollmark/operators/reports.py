@@ -47,8 +47,9 @@ def marks_on_date(mart: DataFrame, as_of: date, groups: Sequence[str] | None = N
 
 
 def marks_by_teacher(mart: DataFrame) -> DataFrame:
-    """Number of marks per teacher and mark value, for marks made by teachers."""
-    return mart.filter(F.col("teacher_fio").isNotNull()).groupBy("teacher_fio", "attendance_mark").agg(
+    """Number of marks per teacher and mark value, for marks made by teachers. Teachers are told
+    apart by id; two of one name stay two."""
+    return mart.filter(F.col("teacher_fio").isNotNull()).groupBy("marked_by", "teacher_fio", "attendance_mark").agg(
         F.count(F.lit(1)).alias("marks")
     )
 
@@ -57,7 +58,7 @@ def teacher_attendance_pct(mart: DataFrame) -> DataFrame:
     """Per teacher and department: share of present and absent marks in percent; NULL where a
     teacher has neither."""
     known = _present() + _absent()
-    return mart.filter(F.col("teacher_fio").isNotNull()).groupBy("teacher_fio", "kafedra").agg(
+    return mart.filter(F.col("teacher_fio").isNotNull()).groupBy("marked_by", "teacher_fio", "kafedra").agg(
         F.count(F.lit(1)).alias("marks"),
         (100.0 * F.try_divide(_present(), known)).alias("present_pct"),
         (100.0 * F.try_divide(_absent(), known)).alias("absent_pct"),

@@ -17,7 +17,7 @@ from rollmark.operators.enrich import (
 )
 from rollmark.operators.metrics import observe_stage
 from rollmark.plans.pipelines import admit_and_settle
-from rollmark.plans.session import scratch_path
+from rollmark.plans.session import cut, scratch_path
 from rollmark.plans.skew import lookup_join
 from rollmark.schemas import (
     ENRICHED_EVENT, MARK_KEY, OUTPUT_COLUMNS, RAW_COLUMNS, STORE, STUDENT_COLUMNS,
@@ -28,12 +28,11 @@ from rollmark.sinks import latest as latest_sink
 from rollmark.sinks.messages import to_messages, write_messages
 from rollmark.sources import canonical as c
 from rollmark.sources.messages import MESSAGE, decode_events, read_messages
-from rollmark.streaming.arbitration import arbitrate_stream
-from rollmark.streaming.enrichment import dedupe_stream, start_enrichment
+from rollmark.streaming.enrichment import dedupe_stream, start_enrichment, start_rejects
 from rollmark.streaming.settlement import start_settlement
-from rollmark.streaming.run import start_batches, use_rocksdb
+from rollmark.streaming.run import start_batches
 from rollmark.streaming.snapshot import DirectorySnapshot
-from rollmark.streaming.store import decode_enriched, start_history, start_mart
+from rollmark.streaming.store import decode_enriched, start_history, start_mart, store_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,7 +62,10 @@ def _enriched(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _mart(spark: SparkSession, d: str) -> DataFrame:
-    return latest.latest_marks(_enriched(spark, d))
+    """Lookups have one row per key, so the latest marks are found before they are looked up: the
+    shuffle carries raw columns only."""
+    marks = latest.latest_rows(c.valid_marks(c.raw_events(spark, d)))
+    return latest.to_mart(enrich_events(marks, **c.lookups(spark, d)))
 
 
 def _doubled(raw: DataFrame) -> DataFrame:
@@ -196,6 +198,13 @@ def arbitrate_on_history(spark, d):
     return settled.select("ID", "accepted", "reject_reason")
 
 
+def accepted_overwrites(spark, d):
+    """Accepted marks that replaced another accepted mark."""
+    settled = cut(arbitrate.arbitrate_marks(c.valid_marks(c.raw_events(spark, d))))
+    accepted, _ = arbitrate.split_accepted(settled)
+    return arbitrate.accepted_overwrites(accepted).select(*MARK_KEY, "ID", "prev_id")
+
+
 def admission(spark, d):
     """Requests judged, made events and arbitrated."""
     settled = admit_and_settle(c.requests(spark, d), c.school(spark, d))
@@ -220,9 +229,10 @@ def latest_non_null(spark, d):
 
 
 def merge_latest(spark, d):
-    rows = _enriched(spark, d)
+    rows = c.valid_marks(c.raw_events(spark, d))
     odd = F.col("ID").cast("bigint") % 2 == 1
-    return latest.to_mart(latest.merge_latest(latest.latest_rows(rows.filter(odd)), rows.filter(~odd)))
+    merged = latest.merge_latest(latest.latest_rows(rows.filter(odd)), rows.filter(~odd))
+    return latest.to_mart(enrich_events(merged, **c.lookups(spark, d)))
 
 
 def _received(enriched: DataFrame) -> DataFrame:
@@ -254,6 +264,17 @@ def conform_rejects(spark, d):
     return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def store_rejects(spark, d):
+    """What the store refuses of received messages, as the store jobs keep it."""
+    n = F.col("ID").cast("bigint")
+    sent = to_messages(_enriched(spark, d).withColumns({
+        "ID": F.when(n % 60 == 0, F.col("ID")).otherwise(stable_id(F.col("ID"))),
+        "MARKED_BY": F.when(n % 40 == 0, -1).otherwise(F.col("MARKED_BY")),
+    }))
+    _, rejects = store_rows(sent)
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def history_by_month(spark, d):
     rows, _ = conform_enriched(_received(_enriched(spark, d)), uuid_ids=False)
     path = scratch_path(spark, "history")
@@ -332,11 +353,21 @@ def _documents(spark: SparkSession, d: str) -> DataFrame:
     return c.parse_documents(c.directory_documents(spark, d))
 
 
+def stream_rejects(spark, d):
+    """Messages that cannot be decoded, kept by a job of their own."""
+    out = scratch_path(spark, "stream-rejects")
+    start_rejects(
+        _message_stream(spark, d), lambda rows, batch_id: write_messages(rows, "parquet", batch_id=batch_id, path=out),
+        scratch_path(spark, "stream-rejects-checkpoint"),
+    ).awaitTermination()
+    return spark.read.schema("key string, reason string").parquet(out).select("key", "reason")
+
+
 def stream_dedupe(spark, d):
     out = scratch_path(spark, "stream-unique")
     raw = c.to_raw_events(c.event_stream(spark, d))
     copies = c.to_raw_events(c.event_stream(spark, d)).filter(F.col("ID").cast("bigint") % 3 == 0)
-    unique = dedupe_stream(raw.unionByName(copies), copies_over=4)
+    unique = dedupe_stream(raw.unionByName(copies))
     query = start_batches(
         unique.select("ID", "STUDENT_ID", "DATE_CREATE"),
         lambda rows, batch_id: write_messages(rows, "parquet", batch_id=batch_id, path=out),
@@ -362,22 +393,8 @@ def stream_history(spark, d):
     return history_sink.read_history(spark, path)
 
 
-def stream_arbitrate(spark, d):
-    use_rocksdb(spark)
-    out = scratch_path(spark, "stream-arbitrated")
-    settled = arbitrate_stream(c.valid_marks(c.to_raw_events(c.event_stream(spark, d))))
-    query = start_batches(
-        settled.select("ID", "accepted", "reject_reason"),
-        lambda rows, batch_id: write_messages(rows, "parquet", batch_id=batch_id, path=out),
-        scratch_path(spark, "stream-arbitrate-checkpoint"),
-    )
-    query.awaitTermination()
-    return spark.read.schema("ID string, accepted boolean, reject_reason string").parquet(out).drop("batch_id")
-
-
-def stream_settle(spark, d):
-    """As ``stream_arbitrate``, with the standing marks in a table."""
-    out = scratch_path(spark, "stream-settled")
+def _settled_stream(spark: SparkSession, requests: DataFrame) -> DataFrame:
+    out, checkpoint = scratch_path(spark, "stream-settled"), scratch_path(spark, "stream-settle-checkpoint")
 
     def sink(accepted: DataFrame, rejected: DataFrame, batch_id: int) -> None:
         both = accepted.select("ID", F.lit(None).cast("string").alias("reject_reason")).unionByName(
@@ -385,14 +402,21 @@ def stream_settle(spark, d):
         )
         write_messages(both, "parquet", batch_id=batch_id, path=out)
 
-    start_settlement(
-        c.valid_marks(c.to_raw_events(c.event_stream(spark, d))), scratch_path(spark, "standing"), sink,
-        scratch_path(spark, "stream-settle-checkpoint"),
-    ).awaitTermination()
+    start_settlement(requests, scratch_path(spark, "standing"), sink, checkpoint).awaitTermination()
     settled = spark.read.schema("ID string, reject_reason string").parquet(out)
     return settled.select("ID", F.col("reject_reason").isNull().alias("accepted"), "reject_reason")
 
 
+def stream_arbitrate(spark, d):
+    """Requests settled as they arrive, the events file being one batch."""
+    return _settled_stream(spark, c.valid_marks(c.to_raw_events(c.event_stream(spark, d))))
+
+
+def stream_settle(spark, d):
+    """The same job by its other name, kept for those who call it."""
+    return _settled_stream(spark, c.valid_marks(c.to_raw_events(c.event_stream(spark, d))))
+
+
 QUERIES: dict[str, Query] = {
     "group_marks": group_marks,
     "decode_props": decode_props,
@@ -417,6 +441,7 @@ QUERIES: dict[str, Query] = {
     "existing_mark": existing_mark,
     "arbitrate_marks": arbitrate_all,
     "arbitrate_on_history": arbitrate_on_history,
+    "accepted_overwrites": accepted_overwrites,
     "mark_admission": admission,
     "latest_marks": latest_marks,
     "latest_marks_window": latest_marks_window,
@@ -424,6 +449,7 @@ QUERIES: dict[str, Query] = {
     "merge_latest": merge_latest,
     "conform_enriched": conform_rows,
     "conform_rejects": conform_rejects,
+    "store_rejects": store_rejects,
     "history_by_month": history_by_month,
     "mart_upsert": mart_upsert,
     "kafka_rows": message_rows,
@@ -433,6 +459,7 @@ QUERIES: dict[str, Query] = {
     "marks_by_teacher": marks_by_teacher,
     "teacher_attendance_pct": teacher_attendance_pct,
     "stream_enrich": stream_enrich,
+    "stream_rejects": stream_rejects,
     "stream_dedupe": stream_dedupe,
     "stream_latest": stream_latest,
     "stream_history": stream_history,

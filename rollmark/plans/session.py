@@ -33,10 +33,14 @@ def local_session(cores: int | str = 8, app: str = "rollmark", **extra: str) ->
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one only where the session names none (tests)."""
+    """The cluster's shared folder, which ``spark.checkpoint.dir`` names. Only a local session may
+    leave it out, and then gets a temporary folder; on a cluster that would be another disk on
+    every machine."""
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all machines share")
     root = tempfile.mkdtemp(prefix="rollmark-")
     spark.conf.set(CHECKPOINT_DIR, root)
     return root

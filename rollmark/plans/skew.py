@@ -20,21 +20,24 @@ def bucket_of(keys: Sequence[str]) -> Column:
 def heavy_buckets(
     df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
 ) -> dict[int, int]:
-    """Row counts of the buckets that stand out: more than ``rows_per_task`` rows, and more than
-    four times the average.
+    """Row counts of the buckets that hold at least ``rows_per_task`` rows more than the average,
+    and more than ``rows_per_task``.
 
-    The second condition matters for very large data, where every bucket holds many keys and
-    many rows: those need no special treatment. At most a quarter of the buckets can meet it.
-    Counting is pre-aggregated on the map side and there are at most BUCKETS groups whatever the
+    On very large data every bucket holds many keys and many rows; what is beyond that is due to
+    single keys. So no task gets a key with more than ``rows_per_task`` rows besides its share.
+    Rows with a NULL in the key match nothing and are not counted. Counting is pre-aggregated on the map side and there are at most BUCKETS groups whatever the
     size of the data, so both the shuffle and the answer are small.
     """
-    counts = df.groupBy(bucket_of(keys).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    usable = F.lit(True)
+    for k in keys:
+        usable = usable & F.col(k).isNotNull()
+    counts = df.filter(usable).groupBy(bucket_of(keys).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     seen = counts.agg(
         F.sum("n").alias("total"),
         F.collect_list(F.when(F.col("n") > rows_per_task, F.struct("bucket", "n"))).alias("large"),
     ).first()
     average = (seen["total"] or 0) / BUCKETS
-    return {b["bucket"]: b["n"] for b in seen["large"] if b["n"] > 4 * average}
+    return {b["bucket"]: b["n"] for b in seen["large"] if b["n"] >= average + rows_per_task}
 
 
 def lookup_join(

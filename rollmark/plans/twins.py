@@ -298,6 +298,9 @@ FROM valid WINDOW w AS (PARTITION BY {_KEY} ORDER BY DATE_CREATE, ID)""",
     "arbitrate_marks": _ARBITRATE,
     "arbitrate_on_history": f"""WITH RECURSIVE {_HISTORY_MARKS},{_arbitrated('asked')}
 SELECT ID, reason IS NULL AS accepted, reason AS reject_reason FROM walk WHERE CAST(ID AS BIGINT) % 5 <> 0""",
+    "accepted_overwrites": f"""WITH RECURSIVE {_VALID},{_arbitrated('valid')},
+took AS (SELECT {_KEY}, ID, lag(ID) OVER (PARTITION BY {_KEY} ORDER BY step) AS prev_id FROM walk WHERE reason IS NULL)
+SELECT {_KEY}, ID, prev_id FROM took WHERE prev_id IS NOT NULL""",
     "mark_admission": f"""WITH RECURSIVE {_ADMITTED},{_arbitrated('admitted')}
 SELECT {', '.join('a.' + k for k in _KEY.split(', '))}, ATTENDANCE_MARK, MARKED_BY, MARKED_BY_ROLE, DATE_CREATE,
        reason IS NULL AS accepted, reason AS reject_reason
@@ -328,15 +331,15 @@ SELECT STUDENT_ID, student_fio, group_short_title,
 FROM mart GROUP BY 1, 2, 3""",
     "marks_on_date": f"WITH {_MART} SELECT count(*) AS marks FROM mart WHERE LESSON_DATE = DATE '2024-01-15'",
     "marks_by_teacher": f"""WITH {_MART}
-SELECT teacher_fio, attendance_mark, count(*) AS marks FROM mart
-WHERE teacher_fio IS NOT NULL GROUP BY 1, 2""",
+SELECT marked_by, teacher_fio, attendance_mark, count(*) AS marks FROM mart
+WHERE teacher_fio IS NOT NULL GROUP BY 1, 2, 3""",
     "teacher_attendance_pct": f"""WITH {_MART},
 counts AS (
-  SELECT teacher_fio, kafedra, count(*) AS marks,
+  SELECT marked_by, teacher_fio, kafedra, count(*) AS marks,
          count(CASE WHEN attendance_mark = 1 THEN 1 END) AS present,
          count(CASE WHEN attendance_mark = 0 THEN 1 END) AS absent
-  FROM mart WHERE teacher_fio IS NOT NULL GROUP BY 1, 2)
-SELECT teacher_fio, kafedra, marks,
+  FROM mart WHERE teacher_fio IS NOT NULL GROUP BY 1, 2, 3)
+SELECT marked_by, teacher_fio, kafedra, marks,
        CAST(100 AS DOUBLE) * (CAST(present AS DOUBLE) / nullif(present + absent, 0)) AS present_pct,
        CAST(100 AS DOUBLE) * (CAST(absent AS DOUBLE) / nullif(present + absent, 0)) AS absent_pct
 FROM counts""",
@@ -355,3 +358,5 @@ SELECT {_ALL.replace('DATE_CREATE', _STORE_TIME + ' AS DATE_CREATE').replace(
     ' MARKED_BY,', ' CAST(MARKED_BY AS BIGINT) AS MARKED_BY,')},
   strftime(LESSON_DATE, '%Y%m') AS lesson_month
 FROM enriched"""
+SQL["stream_rejects"] = SQL["decode_rejects"]
+SQL["store_rejects"] = SQL["conform_rejects"]

@@ -31,7 +31,7 @@ def to_messages(enriched: DataFrame, columns: list[str] = OUTPUT_COLUMNS) -> Dat
 
 
 def write_messages(
-    messages: DataFrame, fmt: str, *, batch_id: int | None = None, **options: str
+    messages: DataFrame, fmt: str, *, batch_id: int | str | None = None, **options: str
 ) -> None:
     """Write messages to a topic (``fmt='kafka'``) or to files (``path=...``).
 

@@ -25,15 +25,26 @@ def read_school(spark: SparkSession, root: str, fmt: str = "parquet") -> School:
     )
 
 
-def read_school_jdbc(spark: SparkSession, url: str, *, id_column: str = "ID", **options: str) -> School:
-    """All tables from a database. Each is read with a projection to its declared columns; pass
-    ``numPartitions``, ``lowerBound`` and ``upperBound`` to read large tables in parallel."""
+# The column that a table is split by when it is read in parallel.
+SPLIT_BY = {
+    "lessons": "ID", "responsible_teachers": "JOURNAL_ID", "responsible_students": "JOURNAL_ID",
+    "grants": "journal_id", "dean_office": "user_id",
+}
+
+
+def read_school_jdbc(
+    spark: SparkSession, url: str, *, per_table: dict[str, dict[str, str]] | None = None, **options: str
+) -> School:
+    """All tables from a database, each with a projection to its declared columns. ``options`` hold
+    for all tables and ``per_table`` for single ones: ``numPartitions``, ``lowerBound`` and
+    ``upperBound`` there read a large table in parallel, split by its own id column."""
 
     def read(name: str, ddl: str) -> DataFrame:
-        reader = spark.read.format("jdbc").option("url", url).option("dbtable", name).options(**options)
-        if "numPartitions" in options:
-            reader = reader.option("partitionColumn", id_column)
+        own = {**options, **(per_table or {}).get(name, {})}
+        reader = spark.read.format("jdbc").option("url", url).option("dbtable", name)
+        if "numPartitions" in own:
+            own.setdefault("partitionColumn", SPLIT_BY[name])
         wanted = [field.split() for field in ddl.split(", ")]
-        return reader.load().selectExpr(*[f"CAST({c} AS {kind}) AS {c}" for c, kind in wanted])
+        return reader.options(**own).load().selectExpr(*[f"CAST({c} AS {kind}) AS {c}" for c, kind in wanted])
 
     return School(**{name: read(name, ddl) for name, ddl in TABLES.items()})

@@ -30,6 +30,11 @@ def verdict(stands: tuple | None, by, role, mark) -> str | None:
     return "same_value" if same else None
 
 
+def _by_arrival(row: Row) -> tuple:
+    """Order of (DATE_CREATE, ID), NULL first as in the batch form."""
+    return (row.DATE_CREATE is not None, row.DATE_CREATE), (row.ID is not None, row.ID)
+
+
 class MarkArbiter(StatefulProcessor):
     """One value per key: who set the standing mark, in which role, and the mark."""
 
@@ -42,7 +47,7 @@ class MarkArbiter(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         before = stands = self._stands.get()
-        for row in sorted(rows, key=lambda r: (r.DATE_CREATE, r.ID)):
+        for row in sorted(rows, key=_by_arrival):
             request = (row.MARKED_BY, row.MARKED_BY_ROLE, row.ATTENDANCE_MARK)
             reason = verdict(stands, *request)
             if reason is None:

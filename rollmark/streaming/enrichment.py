@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rollmark.operators.enrich import STUDENT_KEY, TEACHER_KEY, with_people
@@ -17,26 +17,31 @@ from rollmark.streaming.snapshot import DirectorySnapshot
 
 Sink = Callable[[DataFrame, int], None]
 _TIME = "_event_time"
+# How far a producer's clock may be ahead.
+AHEAD = "1 DAY"
 
 
-def dedupe_stream(events: DataFrame, *, watermark: str | None = None, copies_over: int = 0) -> DataFrame:
+def usable_time() -> Column:
+    """Is DATE_CREATE a time that a watermark may follow? One that cannot be read, or lies in the
+    future, would let copies through or make all later events late."""
+    seen_at = F.col("DATE_CREATE").try_cast("timestamp")
+    return F.coalesce(seen_at <= F.current_timestamp() + F.expr(f"INTERVAL {AHEAD}"), F.lit(False))
+
+
+def dedupe_stream(events: DataFrame, *, watermark: str | None = None) -> DataFrame:
     """Drop events whose ID was seen before.
 
     Without a watermark every ID is remembered for good. With one (such as '2 days', measured on
-    DATE_CREATE) IDs are forgotten and late rows dropped. ``copies_over`` first drops copies
-    within that many slices of the input, so that an ID with very many copies is not sent to one
-    task in full.
+    DATE_CREATE) IDs are forgotten and late rows dropped, and rows without a usable time are left
+    out (``start_rejects`` keeps them).
     """
     if watermark is not None:
         seen_at = F.col("DATE_CREATE").try_cast("timestamp")
-        events = events.withColumn(_TIME, seen_at).withWatermark(_TIME, watermark)
+        events = events.filter(usable_time()).withColumn(_TIME, seen_at).withWatermark(_TIME, watermark)
 
     def drop(rows: DataFrame, key: list[str]) -> DataFrame:
         return rows.dropDuplicates(key) if watermark is None else rows.dropDuplicatesWithinWatermark(key)
 
-    if copies_over:
-        slices = events.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(copies_over)))
-        events = drop(slices, ["ID", "_slice"]).drop("_slice")
     return drop(events, ["ID"]).drop(_TIME)
 
 
@@ -47,7 +52,6 @@ def start_enrichment(
     checkpoint: str,
     *,
     watermark: str | None = None,
-    copies_over: int = 0,
     every: str | None = None,
     on_metrics: Callable[[int, dict], None] | None = None,
 ) -> StreamingQuery:
@@ -57,7 +61,7 @@ def start_enrichment(
     taken while the rows pass.
     """
     events, _ = decode_events(messages)
-    events = dedupe_stream(events, watermark=watermark, copies_over=copies_over)
+    events = dedupe_stream(events, watermark=watermark)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         people = directory.current(batch.sparkSession)
@@ -76,7 +80,13 @@ def start_enrichment(
     return start_batches(events, on_batch, checkpoint, every=every)
 
 
-def start_rejects(messages: DataFrame, sink: Sink, checkpoint: str, *, every: str | None = None) -> StreamingQuery:
-    """Write the messages without a usable ID, with their reason."""
-    _, rejects = decode_events(messages)
+def start_rejects(
+    messages: DataFrame, sink: Sink, checkpoint: str, *, watermark: str | None = None, every: str | None = None
+) -> StreamingQuery:
+    """Write the messages without a usable ID, with their reason; where a watermark is used, the
+    events without a usable time, too (key, reason ``bad_time``)."""
+    events, rejects = decode_events(messages)
+    if watermark is not None:
+        untimed = events.filter(~usable_time()).select(F.col("ID").alias("key"), F.lit("bad_time").alias("reason"))
+        rejects = rejects.select("key", "reason").unionByName(untimed)
     return start_batches(rejects, sink, checkpoint, every=every)

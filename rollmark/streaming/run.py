@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,12 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set(_STATE_STORE, SETTINGS[_STATE_STORE])
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """Identifier of the query that owns a checkpoint: the same after a restart, another one for a
+    fresh checkpoint. Batch numbers are unique only together with it. Known once the query runs."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
+
+
 def start_batches(
     stream: DataFrame,
     on_batch: Callable[[DataFrame, int], None],

@@ -1,8 +1,8 @@
 """Arbitration of marks batch by batch, with the standing marks in a table.
 
 The batch operator does the work, so a key with very many requests is split over tasks and no
-Python runs. The table keeps, per key, the standing mark, the number of the batch that set it,
-and the mark before that batch; so a batch that runs again starts from what it started from the
+Python runs. The table keeps, per key, the standing mark, the batch that set it (the run's
+identifier and the batch number), and the mark before that batch; so a batch that runs again starts from what it started from the
 first time and gives the same answers.
 """
 
@@ -14,11 +14,11 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rollmark.operators.arbitrate import arbitrate_marks, split_accepted
+from rollmark.operators.arbitrate import accepted_overwrites, arbitrate_marks, split_accepted
 from rollmark.plans.skew import ROWS_PER_TASK
 from rollmark.schemas import MARK_KEY
 from rollmark.sinks.files import exists, finish_replacement, replace_partitions
-from rollmark.streaming.run import start_batches
+from rollmark.streaming.run import query_id, start_batches
 
 DAY = "LESSON_DATE"
 MARK = ["DATE_CREATE", "ID", "MARKED_BY", "MARKED_BY_ROLE", "ATTENDANCE_MARK"]
@@ -30,20 +30,27 @@ def _state_schema(requests: DataFrame) -> str:
     kinds = dict(requests.dtypes)
     mark = "struct<" + ", ".join(f"{c}: {kinds[c]}" for c in MARK) + ">"
     keys = ", ".join(f"{k} {kinds[k]}" for k in MARK_KEY)
-    return f"{keys}, standing {mark}, before {mark}, batch_id bigint"
+    return f"{keys}, standing {mark}, before {mark}, batch_id bigint, run string"
 
 
-def _at_start_of(batch_id: int) -> Column:
-    """The mark that stood before the batch."""
-    return F.when(F.col("batch_id") < batch_id, F.col("standing")).otherwise(F.col("before"))
+def _at_start_of(batch_id: int, run: str) -> Column:
+    """The mark that stood before the batch: only a batch that is done again looks behind the
+    standing mark, and a run with a fresh checkpoint does not take another's batches for its own."""
+    again = (F.col("batch_id") == batch_id) & (F.col("run") == run)
+    return F.when(again, F.col("before")).otherwise(F.col("standing"))
 
 
 def settle_batch(
-    requests: DataFrame, path: str, batch_id: int, sink: Sink, *, rows_per_task: int = ROWS_PER_TASK
+    requests: DataFrame, path: str, batch_id: int, sink: Sink, *, rows_per_task: int = ROWS_PER_TASK,
+    run: str = "", overwrites: Callable[[DataFrame, int], None] | None = None,
 ) -> None:
     """Settle the requests of one batch, hand (accepted, rejected, batch_id) to the sink, and
-    bring the table of standing marks up to date. The sink may see a batch twice."""
+    bring the table of standing marks up to date. The sink may see a batch twice. Requests that
+    lack a part of the key are rejected as ``no_key``; LESSON_DATE must be a date. ``overwrites``
+    gets (rows, batch_id): the accepted marks that replaced another."""
     spark = requests.sparkSession
+    if dict(requests.dtypes)[DAY] != "date":
+        raise TypeError(f"{DAY} must be a date")
     schema = _state_schema(requests)
     finish_replacement(spark, path)
     requests = requests.persist(StorageLevel.MEMORY_AND_DISK)
@@ -53,25 +60,35 @@ def settle_batch(
         days = [r[DAY] for r in requests.select(DAY).distinct().collect()]
         if not days:
             return
+        whole = F.lit(True)
+        for k in MARK_KEY:
+            whole = whole & F.col(k).isNotNull()
+        incomplete, arrived = requests.filter(~whole), requests.filter(whole)
         state = _read(spark, path, schema).filter(F.col(DAY).isin(days))
         seeds = (
-            state.join(requests.select(*MARK_KEY).distinct(), MARK_KEY, "left_semi")
-            .select(*MARK_KEY, _at_start_of(batch_id).alias("mark")).filter("mark IS NOT NULL")
+            state.join(arrived.select(*MARK_KEY).distinct(), MARK_KEY, "left_semi")
+            .select(*MARK_KEY, _at_start_of(batch_id, run).alias("mark")).filter("mark IS NOT NULL")
             .select(*MARK_KEY, "mark.*", F.lit(0).alias("TYPE_MARK"))
         )
-        settled = arbitrate_marks(requests, seeds, rows_per_task=rows_per_task).persist(
+        settled = arbitrate_marks(arrived, seeds, rows_per_task=rows_per_task).persist(
             StorageLevel.MEMORY_AND_DISK
         )
         accepted, rejected = split_accepted(settled)
+        rejected = rejected.unionByName(
+            incomplete.withColumn("reject_reason", F.lit("no_key")), allowMissingColumns=True
+        )
         sink(accepted, rejected, batch_id)
+        if overwrites is not None:
+            overwrites(accepted_overwrites(accepted, seeds, rows_per_task=rows_per_task), batch_id)
 
         newest = accepted.groupBy(*MARK_KEY).agg(F.max(F.struct(*MARK)).alias("newest"))
         changed = F.col("newest").isNotNull()
         merged = state.join(newest, MARK_KEY, "full_outer").select(
             *MARK_KEY,
             F.coalesce("newest", "standing").alias("standing"),
-            F.when(changed, _at_start_of(batch_id)).otherwise(F.col("before")).alias("before"),
+            F.when(changed, _at_start_of(batch_id, run)).otherwise(F.col("before")).alias("before"),
             F.when(changed, F.lit(batch_id)).otherwise(F.col("batch_id")).cast("bigint").alias("batch_id"),
+            F.when(changed, F.lit(run)).otherwise(F.col("run")).alias("run"),
         )
         replace_partitions(merged.hint("rebalance", DAY), path, DAY)
     finally:
@@ -94,11 +111,13 @@ def start_settlement(
     *,
     every: str | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    overwrites: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
-    """Settle streaming requests with whole keys. Within a batch they are taken in order of
+    """Settle streaming requests. Within a batch they are taken in order of
     (DATE_CREATE, ID); across batches the order of arrival counts."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        settle_batch(batch, path, batch_id, sink, rows_per_task=rows_per_task)
+        run = query_id(batch.sparkSession, checkpoint)
+        settle_batch(batch, path, batch_id, sink, rows_per_task=rows_per_task, run=run, overwrites=overwrites)
 
     return start_batches(requests, on_batch, checkpoint, every=every)

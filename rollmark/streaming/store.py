@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,34 +15,54 @@ from rollmark.sinks.latest import upsert_latest
 from rollmark.streaming.run import start_batches
 
 
+def _decoded(messages: DataFrame, value: str) -> DataFrame:
+    record = F.from_json(F.col(value).cast("string"), ENRICHED_EVENT)
+    return messages.select(F.col(value).cast("string").alias("_value"), F.inline(F.array(record)))
+
+
 def decode_enriched(messages: DataFrame, value: str = "value") -> DataFrame:
     """Messages of enriched events to their 31 columns."""
-    record = F.from_json(F.col(value).cast("string"), ENRICHED_EVENT)
-    return messages.select(F.inline(F.array(record))).filter(F.col("ID").isNotNull())
+    return _decoded(messages, value).filter(F.col("ID").isNotNull()).drop("_value")
 
 
-def _store_rows(batch: DataFrame, options: dict) -> DataFrame:
-    rows, _ = conform_enriched(batch, **options)
-    return rows
+def store_rows(messages: DataFrame, value: str = "value", **conform) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects): what the store can hold, and everything else as (key, reason). Every message
+    is in one of the two."""
+    decoded = _decoded(messages, value)
+    rows, refused = conform_enriched(decoded.filter(F.col("ID").isNotNull()).drop("_value"), **conform)
+    unread = decoded.filter(F.col("ID").isNull()).select(
+        F.col("_value").alias("key"), F.lit("no_id").alias("reason"))
+    return rows, unread.unionByName(refused.select(F.col("ID").alias("key"), "reason"))
 
 
-def start_history(
-    messages: DataFrame, path: str, checkpoint: str, *, every: str | None = None, **conform
-) -> StreamingQuery:
-    """Append enriched messages to the history, each ID once."""
+Sink = Callable[[DataFrame, int], None]
 
+
+def _start(
+    messages: DataFrame, write: Callable[[DataFrame], None], checkpoint: str, every: str | None,
+    rejects: Sink | None, conform: dict,
+) -> StreamingQuery:
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        append_new(dedupe_events(_store_rows(batch, conform)), path)
+        rows, refused = store_rows(batch, **conform)
+        write(rows)
+        if rejects is not None:
+            rejects(refused, batch_id)
 
-    return start_batches(decode_enriched(messages), on_batch, checkpoint, every=every)
+    return start_batches(messages, on_batch, checkpoint, every=every)
 
 
-def start_mart(
-    messages: DataFrame, path: str, checkpoint: str, *, every: str | None = None, **conform
+def start_history(
+    messages: DataFrame, path: str, checkpoint: str, *, every: str | None = None, rejects: Sink | None = None,
+    **conform,
 ) -> StreamingQuery:
-    """Keep the latest-state table up to date from enriched messages."""
+    """Append enriched messages to the history, each ID once; ``rejects(rows, batch_id)`` gets the
+    messages that the store cannot hold."""
+    return _start(messages, lambda rows: append_new(dedupe_events(rows), path), checkpoint, every, rejects, conform)
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        upsert_latest(_store_rows(batch, conform), path)
 
-    return start_batches(decode_enriched(messages), on_batch, checkpoint, every=every)
+def start_mart(
+    messages: DataFrame, path: str, checkpoint: str, *, every: str | None = None, rejects: Sink | None = None,
+    **conform,
+) -> StreamingQuery:
+    """Keep the latest-state table up to date from enriched messages; ``rejects`` as above."""
+    return _start(messages, lambda rows: upsert_latest(rows, path), checkpoint, every, rejects, conform)

@@ -3,7 +3,11 @@ from datetime import date, datetime
 import pytest
 
 from rollmark.functions.scalars import UUID_PATTERN
-from rollmark.operators.admit import School, check_access, input_reason, parse_requests, to_events, validate_marks
+from pyspark.sql import functions as F
+
+from rollmark.operators.admit import (
+    School, check_access, input_reason, parse_requests, supplied_day, to_events, validate_marks,
+)
 from rows import as_dicts
 
 DAY = date(2024, 3, 4)
@@ -129,3 +133,19 @@ def test_events_of_admitted_requests(spark, school):
     import re
 
     assert all(re.search(UUID_PATTERN.replace(r"\z", r"\Z"), e["ID"]) for e in events)
+
+
+def test_ids_that_fit_no_event_are_refused(spark):
+    big = "3000000000"
+    rows = [("1", "2", "3", "1"), ("1", big, "3", "1"), ("70000", "2", "3", "1"), ("1", "2", "9" * 20, "1")]
+    got = spark.createDataFrame(rows, "journalId string, userId string, lessonId string, attendance string").selectExpr(
+        "*", "CAST(NULL AS string) AS lessonDate")
+    reasons = [r.reason for r in parse_requests(got).select(input_reason().alias("reason")).collect()]
+    assert reasons == [None, "bad_user", "bad_journal", "bad_lesson"]
+
+
+def test_the_whole_supplied_date_counts(spark):
+    texts = ["2025-03-03", " 2025-03-03 ", "03.03.2025", "2025-03-03 10:15", "2025-03-03T10:15:59.5", "03.03.2025 10:15:00",
+             "2025-03-03garbage", "2025-02-30", "3.3.2025", "2025-03-03 99:00", "", None]
+    got = spark.createDataFrame([(x,) for x in texts], "x string").select(supplied_day(F.col("x")).alias("d")).collect()
+    assert [r.d for r in got] == [date(2025, 3, 3)] * 6 + [None] * 6

@@ -55,7 +55,7 @@ def run_enrichment(spark, path, out, checkpoint, **options):
     return as_dicts(decode_enriched(spark.read.schema(MESSAGE).parquet(out)))
 
 
-@pytest.mark.parametrize("options", [{}, {"copies_over": 3}, {"watermark": "1 day"}, {"watermark": "1 day", "copies_over": 2}])
+@pytest.mark.parametrize("options", [{}, {"watermark": "1 day"}])
 def test_enrichment_over_files_and_restart(spark, options):
     path, out, checkpoint = (scratch_path(spark, n) for n in ("in", "out", "cp"))
     rows = [message(**text(event(i, at=i, by=7 if i % 2 else 8, student=4 + i % 2))) for i in range(12)]
@@ -121,7 +121,7 @@ def test_dedupe_alone(spark):
     for _ in range(3):
         frame(spark, [event(i % 5) for i in range(50)]).write.mode("append").parquet(path)
     start_batches(
-        dedupe_stream(source(spark, path, EVENT), copies_over=4),
+        dedupe_stream(source(spark, path, EVENT)),
         lambda df, i: df.write.mode("append").parquet(out), scratch_path(spark, "cp"),
     ).awaitTermination()
     assert sorted(r.ID for r in spark.read.parquet(out).collect()) == list("01234")
@@ -205,3 +205,33 @@ def test_settling_a_batch_again_gives_the_same(spark):
         settle_batch(frame(spark, part), state, batch_id, sink)
         assert all(want[k] == v for k, v in got.items())
     assert got == want
+
+
+def test_watermark_ignores_unusable_times(spark):
+    path, out, cp = (scratch_path(spark, n) for n in ("in", "out", "cp"))
+    rows = [text(event(i, at=i)) for i in range(4)]
+    put(spark, path, [message(**r) for r in rows[:2]] + [message(**{**text(event(7)), "DATE_CREATE": "2999-01-01 00:00:00"})])
+    put(spark, path, [message(**r) for r in rows[2:]] + [message(**{**text(event(9)), "DATE_CREATE": "soon"})])
+    got = run_enrichment(spark, path, out, cp, watermark="1 day")
+    assert sorted(int(r["ID"]) for r in got) == [0, 1, 2, 3]
+    rejects = scratch_path(spark, "rejects")
+    start_rejects(
+        source(spark, path), lambda df, i: df.write.mode("append").parquet(rejects), scratch_path(spark, "cp"), watermark="1 day"
+    ).awaitTermination()
+    assert sorted((r.key, r.reason) for r in spark.read.parquet(rejects).collect()) == [("7", "bad_time"), ("9", "bad_time")]
+
+
+def test_a_fresh_run_keeps_standing_marks(spark):
+    state, seen = scratch_path(spark, "state"), {}
+
+    def sink(accepted, rejected, batch_id):
+        seen.update({r.ID: None for r in accepted.collect()})
+        seen.update({r.ID: r.reject_reason for r in rejected.collect()})
+
+    teacher = event(1, at=1, by=50, role=2, mark=1)
+    student = event(2, at=2, by=5, role=0, mark=0)
+    settle_batch(frame(spark, [teacher]), state, 0, sink, run="one")
+    settle_batch(frame(spark, [student]), state, 0, sink, run="two")
+    assert seen == {"1": None, "2": "teacher_mark"}
+    settle_batch(frame(spark, [{**student, "ID": "3", "LESSON_DATE": None}]), state, 1, sink, run="two")
+    assert seen["3"] == "no_key"

@@ -21,6 +21,7 @@ raw AS (
          CAST(event_id % 4 AS INTEGER) AS MARKED_BY_ROLE
   FROM events)"""
 
+# The columns of the wire format, written out so that the twins share no code.
 _RAW_COLS = [
     "ID", "JOURNAL_ID", "STUDENT_ID", "LESSON_DATE", "ATTENDANCE_MARK", "MARKED_BY",
     "DATE_CREATE", "LESSON_ID", "TYPE_MARK", "NUMBER_CERT", "MARKED_BY_ROLE",
@@ -62,6 +63,7 @@ teachers AS (
   FROM supplier JOIN places ON s_nationkey = n_nationkey
   WHERE s_suppkey <> 0)"""
 
+# The columns of the two people views.
 _STUDENT_COLS = [
     "STUDENT_FIO", "STUDENT_LAST_NAME", "STUDENT_FIRST_NAME", "STUDENT_MIDDLE_NAME", "STUDENT_AGE",
     "STUDENT_SEX", "ADMISSION_YEAR", "QUALIFICATION", "COURSE", "GROUP_SHORT_TITLE",

@@ -20,6 +20,15 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _tangled(links: DataFrame) -> DataFrame:
+    """Nodes that keep the links from being stars: they hang from two nodes, or hang from one and
+    carry others."""
+    ends = links.select(F.col("u").alias("x"), F.lit(1).alias("up")).unionByName(
+        links.select(F.col("v").alias("x"), F.lit(0).alias("up")))
+    return ends.groupBy("x").agg(F.sum("up").alias("up"), F.min("up").alias("least")).filter(
+        "up > 1 or (up > 0 and least = 0)")
+
+
 def components(links: DataFrame) -> DataFrame:
     """Links (u, v) of bigint ids -> (node, component) of every linked node; the component is its
     smallest node. Loops are ignored, repeated links do no harm.
@@ -28,12 +37,8 @@ def components(links: DataFrame) -> DataFrame:
     shuffle, and joins split the rows of such a node. Each round is a table in the shared folder.
     """
     now = links.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    seen = None
     while True:
         now = stored(_small_star(_large_star(now)), "links")
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-                now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-            )
-        seen = state
+        if _tangled(now).isEmpty():
+            roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

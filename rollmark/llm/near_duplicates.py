@@ -18,8 +18,8 @@
 
 Within a posting not all pairs are made. All its classes are first compared with one of them; what
 is linked becomes one component. Then a few more centres are tried for what is left. At last all
-classes that still are in different components are compared with each other, but for those that
-have too many shingles of their own to be like any. So no component is missed, while a large group of near copies costs about its size instead of its square.
+classes that still are in different components are compared with each other; in large postings but
+for those that share too few shingles with all the others there. So no component is missed, while a large group of near copies costs about its size instead of its square.
 """
 
 from __future__ import annotations
@@ -39,7 +39,9 @@ from rollmark.llm.stored import stored
 WORDS, SIMILARITY = 5, 0.8
 COORDINATES, MATCHES = 64, 36
 #: In each round, so many centres of every posting are compared with all its classes.
-CENTRES = (1, 16)
+CENTRES = (2, 64)
+#: Classes of a posting from which it is worth telling those that can have no link there.
+CROWD = 32
 
 
 def _four_bits(least: np.ndarray) -> np.ndarray:
@@ -191,6 +193,16 @@ class _Confirm:
             F.col("a").alias("u"), F.col("b").alias("v"))
 
 
+def _without_hopeless(posted: DataFrame, confirm: _Confirm) -> DataFrame:
+    """In postings of many classes, leave out those that cannot be linked with any of these. (A pair
+    that meets in such a posting has both its classes among them; other postings stay as they are.)"""
+    many = posted.groupBy("posting").agg(F.count("*").alias("lists")).filter(F.col("lists") >= CROWD)
+    crowded = posted.join(many.select("posting", F.lit(True).alias("crowded")), "posting", "left")
+    among = crowded.filter("crowded").select("rep").distinct()
+    out = stored(confirm.hopeless(stored(among, "crowd")), "hopeless").withColumn("hopeless", F.lit(True))
+    return crowded.join(out, "rep", "left").filter("crowded is null or hopeless is null").drop("crowded", "hopeless")
+
+
 def class_components(
     docs: DataFrame, signed: DataFrame, words: int, similarity: float, coordinates: int, matches: int
 ) -> tuple[DataFrame, DataFrame]:
@@ -218,8 +230,7 @@ def class_components(
             ).filter("least < most").select("posting")
             posted = stored(posted.join(mixed, "posting", "left_semi"), "posted")
             if centres is None:
-                hopeless = stored(confirm.hopeless(posted.select("rep").distinct()), "hopeless")
-                posted = posted.join(hopeless, "rep", "left_anti")
+                posted = stored(_without_hopeless(posted, confirm), "hopeful")
         whole = ("rep", "n", "s", "component")
         if centres is None:
             other = posted.select("posting", *(F.col(c).alias(f"{c}_2") for c in whole))

@@ -85,11 +85,11 @@ def _products(idf: np.ndarray):
                 if not len(bucket):
                     continue
                 passage = _passages(owner)
-                y = np.add.reduceat(random[bucket], t.segment_starts(passage), axis=0)
+                y = np.add.reduceat(random.take(bucket, axis=0), t.segment_starts(passage), axis=0)
                 yy += y.T.astype(float) @ y
                 order = np.argsort(bucket.astype(np.uint16), kind="stable")
                 cuts = t.segment_starts(bucket[order])
-                g[bucket[order[cuts]]] += np.add.reduceat(y[passage[order]], cuts, axis=0)
+                g[bucket[order[cuts]]] += np.add.reduceat(y.take(passage[order], axis=0), cuts, axis=0)
         both = np.vstack([g * idf[:, None], yy])
         blocks = [both[k : k + BLOCK] for k in range(0, len(both), BLOCK)]
         yield pa.RecordBatch.from_pydict({
@@ -196,14 +196,13 @@ def _searched(items: Items, space: np.ndarray, cosine: float, covered: float, an
                 words, bucket, owner = _words(data, offsets)
                 if not len(words) or not len(items.of):
                     continue
-                running = np.zeros((len(words) + 1, space.shape[1]))
-                np.cumsum(space[bucket], axis=0, out=running[1:])
+                rows_of = np.append(space.take(bucket, axis=0), np.zeros((1, space.shape[1]), np.float32), axis=0)
                 first, last = windows(owner)
                 found: dict[tuple[int, int], tuple[float, float, float, int]] = {}
                 bounds = np.searchsorted(owner, np.arange(j - i + 1))
                 for lo in range(0, len(first), 20_000):
                     a, b = first[lo : lo + 20_000], last[lo : lo + 20_000]
-                    v = (running[b] - running[a]).astype(np.float32)
+                    v = np.add.reduceat(rows_of, np.stack([a, b], axis=1).ravel(), axis=0)[::2]
                     v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
                     near = v @ items.vectors.T
                     row, column = np.divmod(np.flatnonzero(near >= cosine), near.shape[1])

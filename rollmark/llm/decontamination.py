@@ -7,7 +7,8 @@
    orthonormal basis of Y, A's projection to it, and so the leading right singular vectors. What
    reaches the driver has a fixed size.
 3. Candidates: windows of every document and passages of the items are projected to the singular
-   vectors; a window is a candidate for an item if the cosine to one of its passages is high.
+   vectors; a window is a candidate for an item if the cosine to one of its passages is high. As step
+   4 asks for answer words around a window, only windows that have them there are projected.
 4. A candidate is confirmed if the longest common subsequence of the item's words and the words
    around the window covers enough of the item, and enough of the item's answer words are there.
    The answer is a column of the benchmark, or else the item's RARE rarest words.
@@ -25,14 +26,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from rollmark.llm import text as t
 
-WINDOW, STEP = 16, 6
+WINDOW, STEP = 16, 4
 #: Hashed words; singular vectors kept, and random directions.
-BITS, LATENT, DIRECTIONS = 14, 24, 28
-COSINE, COVERED, ANSWERED, RARE = 0.82, 0.6, 0.5, 4
-#: Of the share that the subsequence is to cover, a candidate window is to have this part.
-SHARED = 0.85
+BITS, LATENT, DIRECTIONS = 14, 24, 32
+COVERED, ANSWERED, RARE = 0.6, 0.5, 4
+#: Of the share that the subsequence is to cover, the least cosine.
+LIKE = 1 / 3
 #: Buckets in a block of the summed matrix; bytes of items compared at once.
 BLOCK, ITEM_BYTES = 1024, 1 << 18
+#: Pairs of a window and an answer word near it that are looked at together.
+PAIRS = 1 << 20
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -156,19 +159,40 @@ class Items:
             if not len(answer) and len(words):
                 answer = words[np.lexsort((words, -idf[bucket]))[:RARE]]
             self.answers.append(set(answer.tolist()))
-            for start in range(0, max(1, len(words) - WINDOW // 2), WINDOW):
+            last = max(0, len(words) - WINDOW)
+            for start in sorted({*range(0, last + 1, WINDOW), last}):
                 if len(words):
                     vectors.append(space[bucket[start : start + WINDOW]].sum(axis=0))
                     of.append(k)
-        self.has = np.zeros((len(ids), 1 << BITS), bool)
-        for k, (_, bucket) in enumerate(read(texts)):
-            self.has[k, bucket] = True
         v = np.array(vectors, np.float32).reshape(-1, space.shape[1])
         self.vectors = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
-        self.of = np.array(of, np.int64)
+        self.cuts = np.searchsorted(of, np.arange(len(ids) + 1))
+        self.lengths = np.array([len(w) for w in self.words], np.int64)
+
+    def anchored(self, answered: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, item, number within the item) of the words of which the region of a leak has some,
+        ordered by hash, and how many of them it has at least."""
+        least = np.array([int(np.ceil(answered * len(a) - 1e-9)) for a in self.answers], np.int64)
+        some = [sorted(a if n > 0 else set(w)) for a, n, w in zip(self.answers, least, self.words)]
+        item = np.repeat(np.arange(len(some)), [len(x) if w else 0 for x, w in zip(some, self.words)])
+        word = np.array([x for own, w in zip(some, self.words) if w for x in own], np.uint64)
+        number = np.arange(len(item)) - np.searchsorted(item, item)
+        order = np.argsort(word, kind="stable")
+        return word[order], item[order], number[order], np.maximum(least, 1)
+
+
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which, number) for all numbers of every range."""
+    many = np.maximum(hi - lo, 0)
+    which = np.repeat(np.arange(len(lo)), many)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many) + lo[which]
 
 
 def _searched(items: Items, space: np.ndarray, cosine: float, covered: float, answered: float):
+    anchor, anchor_item, anchor_number, least = items.anchored(answered)
+    maybe = np.zeros(1 << BITS, bool)
+    maybe[(anchor >> np.uint64(64 - BITS)).astype(np.int64)] = True
+
     def windows(owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the windows of a slice's words begin and end; the last of a text ends with it."""
         starts = t.segment_starts(owner)
@@ -179,13 +203,59 @@ def _searched(items: Items, space: np.ndarray, cosine: float, covered: float, an
         first = np.maximum(np.minimum(starts[text] + number * STEP, ends[text] - WINDOW), starts[text])
         return first, np.minimum(first + WINDOW, ends[text])
 
+    def anchors(words: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, item, number of the anchor word), ordered by item."""
+        at = np.flatnonzero(maybe[bucket])
+        which, k = _ranges(np.searchsorted(anchor, words[at], "left"), np.searchsorted(anchor, words[at], "right"))
+        order = np.argsort(anchor_item[k], kind="stable")
+        return at[which][order], anchor_item[k][order], anchor_number[k][order]
+
+    def around(first: np.ndarray, lo: np.ndarray, hi: np.ndarray, item: np.ndarray, number: np.ndarray):
+        """(window, item) of windows with enough different anchor words around them; each word is
+        around the windows from lo to hi."""
+        ends = np.cumsum(hi - lo)
+        k = 0
+        while k < len(lo):  # whole items, as many as fit
+            done = ends[k - 1] if k else 0
+            m = max(int(np.searchsorted(ends, done + PAIRS, "right")), k + 1)
+            m = int(np.searchsorted(item, item[m], "left")) if m < len(lo) else m
+            m = m if m > k else int(np.searchsorted(item, item[k], "right"))
+            which, window = _ranges(lo[k:m], hi[k:m])
+            own, word = item[k:m][which], number[k:m][which]
+            order = np.lexsort((word, window, own))
+            own, window, word = own[order], window[order], word[order]
+            pair = np.ones(len(own), bool)
+            pair[1:] = (own[1:] != own[:-1]) | (window[1:] != window[:-1])
+            new = pair.copy()
+            new[1:] |= word[1:] != word[:-1]
+            cuts = np.flatnonzero(pair)
+            if len(cuts):
+                enough = np.add.reduceat(new.astype(np.int64), cuts) >= least[own[cuts]]
+                yield window[cuts[enough]], own[cuts[enough]]
+            k = m
+
+    def likeness(first: np.ndarray, last: np.ndarray, bucket: np.ndarray, row: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """The best cosine of each window to a passage of its item."""
+        out = np.zeros(len(row), np.float32)
+        for lo in range(0, len(row), 20_000):
+            window, back = np.unique(row[lo : lo + 20_000], return_inverse=True)
+            which, k = _ranges(first[window], last[window])
+            v = np.add.reduceat(space.take(bucket[k], axis=0), t.segment_starts(which), axis=0)
+            v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
+            item = own[lo : lo + 20_000]
+            pair, passage = _ranges(items.cuts[item], items.cuts[item + 1])
+            near = np.einsum("ij,ij->i", v[back[pair]], items.vectors[passage])
+            out[lo : lo + 20_000] = np.maximum.reduceat(near, t.segment_starts(pair))
+        return out
+
     def confirm(words: np.ndarray, item: int, lo: int, hi: int) -> tuple[float, float]:
         own = items.words[item]
         region = words[lo:hi].tolist()
         there = set(region)
         answer = items.answers[item]
         share = len(answer & there) / len(answer) if answer else 1.0
-        if share < answered or len(there.intersection(own)) < covered * len(set(own)) * 0.8:
+        # a common subsequence has no words but those of the item that are there
+        if share < answered or sum(map(there.__contains__, own)) < covered * len(own):
             return 0.0, share
         return common_subsequence(own, region) / len(own), share
 
@@ -194,37 +264,38 @@ def _searched(items: Items, space: np.ndarray, cosine: float, covered: float, an
             ids = batch.column(0)
             for i, j, data, offsets in t.slices(batch.column(1)):
                 words, bucket, owner = _words(data, offsets)
-                if not len(words) or not len(items.of):
+                if not len(words) or not len(anchor):
+                    continue
+                place, of, number = anchors(words, bucket)
+                if not len(place):
                     continue
-                rows_of = np.append(space.take(bucket, axis=0), np.zeros((1, space.shape[1]), np.float32), axis=0)
                 first, last = windows(owner)
                 found: dict[tuple[int, int], tuple[float, float, float, int]] = {}
                 bounds = np.searchsorted(owner, np.arange(j - i + 1))
-                for lo in range(0, len(first), 20_000):
-                    a, b = first[lo : lo + 20_000], last[lo : lo + 20_000]
-                    v = np.add.reduceat(rows_of, np.stack([a, b], axis=1).ravel(), axis=0)[::2]
-                    v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
-                    near = v @ items.vectors.T
-                    row, column = np.divmod(np.flatnonzero(near >= cosine), near.shape[1])
-                    # words of the window that the item has: no common subsequence is longer
-                    words_of = np.minimum(a[row, None] + np.arange(WINDOW), b[row, None] - 1)
-                    shared = items.has[items.of[column][:, None], bucket[words_of]].mean(axis=1) >= covered * SHARED
-                    row, column = row[shared], column[shared]
-                    at, item, how = a[row], items.of[column], near[row, column]
-                    order = np.lexsort((at, item, owner[at]))
+                n = items.lengths[of]
+                lo = np.searchsorted(first, np.maximum(place - n - WINDOW + 1, bounds[owner[place]]), "left")
+                hi = np.searchsorted(first, np.minimum(place + n + 1, bounds[owner[place] + 1]), "left")
+                for row, own in around(first, lo, hi, of, number):
+                    like = likeness(first, last, bucket, row, own)
+                    near = like >= cosine
+                    at, item, how = first[row[near]], own[near], like[near]
+                    order = np.lexsort((at, item))
                     at, item, how = at[order], item[order], how[order]
                     new = np.ones(len(at), bool)  # windows of one item that are close have one region
                     new[1:] = (item[1:] != item[:-1]) | (owner[at[1:]] != owner[at[:-1]]) | (np.diff(at) > 2 * WINDOW)
                     cuts = np.append(np.flatnonzero(new), len(at))
-                    for x, y in zip(cuts, cuts[1:]):
-                        doc, own = int(owner[at[x]]), int(item[x])
-                        n = len(items.words[own])
-                        left = max(int(bounds[doc]), int(at[x]) - n)
-                        right = min(int(bounds[doc + 1]), int(at[y - 1]) + WINDOW + n)
-                        part, share = confirm(words, own, left, right)
-                        if part >= covered:
-                            hit = (part, share, float(how[x:y].max()), left - int(bounds[doc]))
-                            found[doc, own] = max(hit, found.get((doc, own), hit))
+                    for x, z in zip(cuts, cuts[1:]):
+                        doc, own_item = int(owner[at[x]]), int(item[x])
+                        n = int(items.lengths[own_item])
+                        while x < z:  # but a region does not grow with the text
+                            y = x + int(np.searchsorted(at[x:z], at[x] + max(n, 2 * WINDOW), "right"))
+                            left = max(int(bounds[doc]), int(at[x]) - n)
+                            right = min(int(bounds[doc + 1]), int(at[y - 1]) + WINDOW + n)
+                            part, share = confirm(words, own_item, left, right)
+                            if part >= covered:
+                                hit = (part, share, float(how[x:y].max()), left - int(bounds[doc]))
+                                found[doc, own_item] = max(hit, found.get((doc, own_item), hit))
+                            x = y
                 if found:
                     keys = sorted(found)
                     rows = [found[k] for k in keys]
@@ -240,11 +311,12 @@ def _searched(items: Items, space: np.ndarray, cosine: float, covered: float, an
 
 def leaks(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-    item: str = "text", answer: str | None = None, cosine: float = COSINE, covered: float = COVERED,
+    item: str = "text", answer: str | None = None, cosine: float | None = None, covered: float = COVERED,
     answered: float = ANSWERED,
 ) -> DataFrame:
     """One row per document row and item that is in it: doc_id, item_id, overlap (the share of the
-    item's words in the longest common subsequence), answered, cosine, start_word.
+    item's words in the longest common subsequence), answered, cosine, start_word. Unless given, the
+    least cosine follows from covered; it is low enough for words left out, replaced and inserted.
 
     Null, empty and wordless texts on either side match nothing. A text shorter than a window is
     one window. Repeated document rows give repeated rows, repeated items too. A row without doc_id
@@ -252,6 +324,7 @@ def leaks(
     are not read. No documents or no items give no rows.
     """
     spark = docs.sparkSession
+    cosine = LIKE * covered if cosine is None else cosine
     own = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     idf = weights(own.select("text"))
     space = latent_space(own.select("text"), idf)

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -164,3 +165,41 @@ def test_leaks(spark):
     assert {(r.doc_id, r.item_id) for r in got} == want
     assert decontamination.leaks(docs.limit(0), benchmark).collect() == []
     assert decontamination.leaks(docs, benchmark.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("edit", ["copied", "replaced", "left out", "inserted"])
+def test_leaks_are_found_down_to_the_covered_share(spark, edit):
+    rng = random.Random(31)
+    items = [(k, prose(rng, "en", rng.randint(17, 60))) for k in range(40)]
+    rows = documents(each=20)
+    want = set()
+    for k, text in items:
+        words = text.split()
+        n = len(words)
+        # two of the four answer words stay
+        counts = [words.count(w) for w in words]
+        kept = set(sorted(range(n), key=lambda p: (counts[p], -len(words[p]), p))[:12])
+        some = rng.sample([p for p in range(n) if p not in kept], min(n - 12, int(0.38 * n)))
+        if edit == "replaced":
+            words = [f"zz{p}" if p in some else w for p, w in enumerate(words)]
+        elif edit == "left out":
+            words = [w for p, w in enumerate(words) if p not in some]
+        elif edit == "inserted":
+            words = [x for p, w in enumerate(words) for x in ([w, f"zz{p}"] if p % 2 else [w])]
+        rows.append((500 + k, prose(rng, "en", 45) + " " + " ".join(words) + " " + prose(rng, "en", 45), "en", "s", 0))
+        answer = max(rng.sample(sorted(kept), 2))
+        want.add((500 + k, k))
+        items[k] = (k, text, text.split()[answer])
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string, answer string")
+    got = decontamination.leaks(frame(spark, rows), benchmark, answer="answer").collect()
+    assert want <= {(r.doc_id, r.item_id) for r in got}
+
+
+def test_repeated_words_and_the_end_of_an_item_count():
+    # six of ten words in order, all the same word
+    idf, space = np.ones(1 << decontamination.BITS, np.float32), np.ones((1 << decontamination.BITS, 2), np.float32)
+    items = decontamination.Items([1], ["a a a a a a b c d e"], ["a"], idf, space)
+    batch = pa.RecordBatch.from_pydict({"id": pa.array([7], pa.int64()), "text": pa.array(["x y a a a a a a z"])})
+    (out,) = decontamination._searched(items, space, 0.3, 0.6, 0.5)([batch])
+    assert out.column(0).to_pylist() == [7] and out.column(2).to_pylist() == [0.6]
+    assert len(decontamination.Items([1], [" ".join("abcdefghijklmnopqrst")], [None], idf, space).vectors) == 2

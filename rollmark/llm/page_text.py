@@ -8,9 +8,11 @@
    more), and on a page if its tokens come in the same order as on the others: those that do not
    are left out of the template there. Valid classes nest as the elements that their tokens open.
 4. Template tokens cut a page into slots, which hold what differs between pages. Text in slots is
-   kept, template text is not - but inside an article element all text is, as articles may share
-   passages. Slots in the page's furniture (menus, headers, footers, side columns, adverts, notices,
-   forms, comments), told by element and by class or id, and slots of links alone are dropped.
+   kept, template text is not. Inside an article or main element, where passages may be shared by
+   chance, it stays unless it is on nearly all pages in a place of its own: one whose path holds no
+   text that differs. Slots in the page's furniture (menus, headers, footers, side columns, adverts,
+   notices, forms, comments), told by element and by class or id, and slots of links alone are dropped.
+5. Article and main elements are a hint: text outside them goes only if it is short beside theirs.
 
 The pages of a host are never brought together; a host's template is a bounded list, as each of its
 tokens is on a fixed share of the pages.
@@ -34,6 +36,10 @@ from pyspark.sql import DataFrame, functions as F
 SUPPORT, FEWEST = 0.3, 3
 #: Tokens of a class, at least.
 SIZE = 2
+#: Share of a host's pages from which a class is on nearly all.
+EVERYWHERE = 0.9
+#: Text outside article and main elements goes if it is no longer than this part of theirs.
+BESIDE = 0.5
 
 #: Elements and names.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -210,17 +216,20 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def host_templates(pages: DataFrame, support: float = SUPPORT, fewest: int = FEWEST, size: int = SIZE) -> DataFrame:
-    """(host, page key, html) -> one row per host with `template`: its tokens with their class."""
+    """(host, page key, html) -> one row per host with `template`: its tokens with their class, an odd
+    number if the class is on nearly all pages."""
     seen = pages.mapInArrow(_occurrences, "host string, page bigint, token bigint, times bigint")
     one = F.xxhash64("page", "times").cast("decimal(20,0)")
     vectors = seen.groupBy("host", "token").agg(F.count("*").alias("pages"), F.sum(one).alias("vector"))
     total = pages.groupBy("host").agg(F.count("*").alias("total"))
     frequent = vectors.join(total, "host").filter(
         (F.col("pages") >= fewest) & (F.col("pages") >= support * F.col("total")))
-    classes = frequent.groupBy("host", "pages", "vector").agg(
+    classes = frequent.groupBy("host", "pages", "vector", "total").agg(
         F.collect_list("token").alias("members")).filter(F.size("members") >= size)
     member = F.explode("members").alias("token")
-    marked = classes.select("host", F.xxhash64("pages", "vector").alias("class"), member)
+    everywhere = (F.col("pages") >= EVERYWHERE * F.col("total")).cast("bigint")
+    name = F.xxhash64("pages", "vector").bitwiseAND(F.lit(-2)).bitwiseOR(everywhere)
+    marked = classes.select("host", name.alias("class"), member)
     return marked.groupBy("host").agg(F.collect_list(F.struct("token", "class")).alias("template"))
 
 
@@ -260,11 +269,20 @@ def _nests(at: list[int], size: int, other: list[int], n: int) -> bool:
 def page_text(page: str, template: dict[int, int]) -> str:
     """The kept blocks of a page, with an empty line between two."""
     read = list(tokens(page))
-    fixed = _template_places([_mark(token) for token, _ in read], template)
+    marks = [_mark(token) for token, _ in read]
+    fixed = _template_places(marks, template)
+    varying = {run.path for place, (_, run) in enumerate(read)
+               if run is not None and run.main and not run.furniture and place not in fixed}
     main: list[str] = []
     anywhere: list[str] = []
     slot: list[tuple[Run, str]] = []
 
+    def stays(place: int, run: Run) -> bool:
+        if run.furniture or place not in fixed:
+            return not run.furniture
+        # if no text of the article differs, it cannot be told from the template
+        return run.main and (not varying or run.path in varying or template[marks[place]] % 2 == 0)
+
     def close() -> None:
         words = sum(len(text) for _, text in slot)
         links = sum(run.linked for run, _ in slot)
@@ -279,10 +297,12 @@ def page_text(page: str, template: dict[int, int]) -> str:
         if run is None:
             if place in fixed:
                 close()
-        elif not run.furniture and (run.main or place not in fixed):
+        elif stays(place, run):
             slot.append((run, run.text()))
     close()
-    return "\n\n".join(main or anywhere)
+    within = sum(map(len, main))
+    beside = sum(map(len, anywhere)) - within
+    return "\n\n".join(main if beside <= BESIDE * within else anywhere)
 
 
 def _extracted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

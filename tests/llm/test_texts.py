@@ -203,3 +203,25 @@ def test_repeated_words_and_the_end_of_an_item_count():
     (out,) = decontamination._searched(items, space, 0.3, 0.6, 0.5)([batch])
     assert out.column(0).to_pylist() == [7] and out.column(2).to_pylist() == [0.6]
     assert len(decontamination.Items([1], [" ".join("abcdefghijklmnopqrst")], [None], idf, space).vectors) == 2
+
+
+def test_template_decides_inside_and_outside_articles(spark):
+    story = "Paragraph {n} tells a story of its own, and a long one it is, with {n} turns on the way to its end."
+    shared = ("<html><body><article><h1>Title {n}</h1><div class='note'>Read our terms of use.</div><p>" + story
+              + "</p><p>A shared passage.</p><div class='end'>All rights reserved.</div></article><div>Word {n}</div></body></html>")
+    teaser = ("<html><body><article><a href='/x'>Also read {n}</a></article><div><p>" + story + "</p><p>More of " + story
+              + "</p></div><div>Site slogan</div></body></html>")
+    plain = "<html><body><div><p>" + story + "</p></div><div>Site slogan</div></body></html>"
+    copied = "<html><body><article><h1>One title</h1><p>One text.</p></article></body></html>"
+    rows = [(10 * h + k, f"http://{h}.example/{k}", page.format(n=k))
+            for h, page in enumerate((shared, teaser, plain, copied)) for k in range(5)]
+    rows += [(40 + k, f"http://4.example/{k}", copied if k < 3 else shared.format(n=k)) for k in range(6)]
+    got = {r.page_id: r.text for r in page_text.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    for k in range(5):
+        own = story.format(n=k)
+        assert got[k] == f"Title {k}\n\n{own}\n\nA shared passage."
+        assert got[10 + k] == f"Also read {k}\n\n{own}\n\nMore of {own}"
+        assert got[20 + k] == own
+        assert got[30 + k] == "One title\n\nOne text."
+    assert got[40] == got[42] == "One title\n\nOne text."
+    assert got[43].startswith("Title 3") and "Paragraph 3" in got[43]

@@ -133,3 +133,26 @@ def test_gradients_and_training():
         assert (up - down) / 0.02 == pytest.approx(grads[name][at], rel=0.05, abs=1e-4)
     losses = model.fit(seq, steps=60, batch=8)
     assert losses[-1] < 0.3 * losses[0]
+
+
+def test_counts_and_weights_follow_all_texts(spark):
+    # with a sample of a few ids, all pairs are still counted and the tasks fit the weights
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 300, 400) for _ in range(200)]
+    rows = [(k, x.astype("<u2").tobytes()) for k, x in enumerate(texts)]
+    read = spark.createDataFrame(rows, "doc_id bigint, ids binary").repartition(3)
+    small = attention_lm.train(read, sample=500, steps=5)
+    flat = [np.concatenate([[attention_lm.END_ID], x, [attention_lm.END_ID]]) for x in texts]
+    pairs = np.concatenate([np.stack([x[:-1], x[1:]], axis=1) for x in flat])
+    counts = np.bincount(pairs[:, 1], minlength=attention_lm.IDS)
+    whole = attention_lm.Model(counts, pairs)
+    assert (small.class_of == whole.class_of).all()
+    assert np.allclose(small.share, whole.share, atol=1e-4)
+    chosen = []
+    before = attention_lm._fitted
+    attention_lm._fitted = lambda rows, model: chosen.append(rows.count())
+    try:
+        start = attention_lm.train(read, sample=500, steps=5)
+    finally:
+        attention_lm._fitted = before
+    assert chosen[0] > 0 and not np.allclose(start.p["u"], small.p["u"])

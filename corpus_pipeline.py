@@ -14,18 +14,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rollmark.llm import decontamination, language, near_duplicates, packing, secret_scan
 from rollmark.llm.stored import stored
 
-#: Less than this is as good as a guess between two families and two languages.
-LEAST_SURE = 0.25
-
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned; those without a letter, with null or empty text,
-    or that no language fits better than chance, go."""
+    or that no language fits (another script, noise), go."""
     model = language.learn_from_documents(docs)
-    kept = language.identify(docs.withColumn("_text", F.col("text")), "_text", model)
+    kept = language.identify(docs.withColumn("_text", F.col("text")), "_text", model, strict=True)
     if model is None:
         return docs.limit(0)
-    return kept.filter((F.col("lang_pred") != language.UNDECIDED) & (F.col("score") >= LEAST_SURE)).select(*docs.columns)
+    return kept.filter(F.col("lang_pred") != language.UNDECIDED).select(*docs.columns)
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

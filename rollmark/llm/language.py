@@ -35,6 +35,9 @@ ORDERS, BITS = (1, 2, 3, 4), 12
 #: Labelled rows per language that the machines are fitted on.
 SAMPLE = 1000
 UNDECIDED = "und"
+#: A text fits no language below this part of the likeness that all but LEAST of the rows set aside
+#: (one in ASIDE) of its size have; sizes in bytes, and the rows that a size needs for a floor of its own.
+PART, LEAST, ASIDE, FLOORS_OF, ENOUGH = 0.6, 0.01, 5, (32, 128, 512), 20
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -95,9 +98,10 @@ class OneVersusOne:
 
 
 class Hierarchy:
-    """The family's machines, and those of each family's languages."""
+    """The family's machines, and those of each family's languages; with the sizes of the rows, also
+    how like a language's mean a text is to be."""
 
-    def __init__(self, x: np.ndarray, labels: np.ndarray):
+    def __init__(self, x: np.ndarray, labels: np.ndarray, sizes: np.ndarray | None = None):
         family = np.array([FAMILY.get(c, c) for c in labels], dtype=object)
         self.families = OneVersusOne(sorted(set(family)), x, family)
         self.languages = [
@@ -105,6 +109,28 @@ class Hierarchy:
             for f in self.families.classes
         ]
 
+        self.floors = np.full(len(FLOORS_OF) + 1, -1.0)
+        aside = np.zeros(len(x), bool)
+        for c in set(labels):
+            aside[np.flatnonzero(labels == c)[ASIDE - 1 :: ASIDE]] = True
+        self.means = np.stack([x[(labels == c) & ~aside].mean(axis=0) for c in sorted(set(labels))])
+        self.means /= np.maximum(np.linalg.norm(self.means, axis=1, keepdims=True), 1e-9)
+        if sizes is not None and aside.any():
+            like, size = self.likeness(x[aside]), np.digitize(sizes[aside], FLOORS_OF)
+            lowest = np.quantile(like, LEAST) / 2  # of small sizes without enough rows
+            for k in range(len(self.floors)):
+                if (size == k).sum() >= ENOUGH:
+                    lowest = np.quantile(like[size == k], LEAST)
+                self.floors[k] = PART * lowest  # longer texts are no less alike
+
+    def likeness(self, x: np.ndarray) -> np.ndarray:
+        """The best cosine of each row to a language's mean."""
+        return (x @ self.means.T).max(axis=1)
+
+    def fits(self, x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether each row is as like a language as texts of its size are."""
+        return self.likeness(x) >= self.floors[np.digitize(sizes, FLOORS_OF)]
+
     def decide(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(language, confidence) of each row."""
         family, score = self.families.decide(x)
@@ -122,24 +148,27 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i, j, data, offsets in t.slices(batch.column(1)):
             rows = [x.tobytes() for x in features(data, offsets).astype(np.float16)]
-            yield pa.RecordBatch.from_pydict({"label": batch.column(0).slice(i, j - i), "x": pa.array(rows, pa.binary())})
+            yield pa.RecordBatch.from_pydict({
+                "label": batch.column(0).slice(i, j - i), "x": pa.array(rows, pa.binary()),
+                "size": pa.array(np.diff(offsets), pa.int64())})
 
 
 def train(labelled: DataFrame, sample: int = SAMPLE) -> Hierarchy | None:
     """Fit on about `sample` rows per language of (key, text, label); None if there are no rows."""
     rows, _ = sampled(labelled.filter("label is not null and text rlike '\\\\p{L}'"), "label", F.col("key"), sample)
-    got = rows.select("label", "text").mapInArrow(_vectors, "label string, x binary").collect()
+    got = rows.select("label", "text").mapInArrow(_vectors, "label string, x binary, size bigint").collect()
     if not got:
         return None
     x = np.stack([np.frombuffer(r.x, np.float16) for r in got]).astype(np.float32)
-    return Hierarchy(x, np.array([r.label for r in got], dtype=object))
+    return Hierarchy(x, np.array([r.label for r in got], dtype=object), np.array([r.size for r in got]))
 
 
-def identify(docs: DataFrame, text: str, model: Hierarchy | None) -> DataFrame:
+def identify(docs: DataFrame, text: str, model: Hierarchy | None, strict: bool = False) -> DataFrame:
     """docs with the columns lang_pred and score after its own (names it has already are replaced).
 
     lang_pred is a language of the training rows, or `und` with score 0 if the text is null, has
-    no letter, or nothing was learned. Repeated rows get the same answer. No rows give no rows.
+    no letter, or nothing was learned; if strict, also if it is less like the languages learned than
+    their texts of its size are (another script, noise, mostly digits and symbols). Repeated rows get the same answer. No rows give no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x 2**BITS numbers
 
@@ -150,7 +179,11 @@ def identify(docs: DataFrame, text: str, model: Hierarchy | None) -> DataFrame:
         names, scores = np.full(len(texts), UNDECIDED, dtype=object), np.zeros(len(texts))
         if shared.value is not None:
             for i, j, data, offsets in t.slices(pa.Array.from_pandas(texts, type=pa.string())):
-                names[i:j], scores[i:j] = shared.value.decide(features(data, offsets))
+                x = features(data, offsets)
+                names[i:j], scores[i:j] = shared.value.decide(x)
+                if strict:
+                    out = i + np.flatnonzero(~shared.value.fits(x, np.diff(offsets)))
+                    names[out], scores[out] = UNDECIDED, 0
         return pd.DataFrame({"lang_pred": names, "score": scores})
 
     keep = [c for c in docs.columns if c not in ("lang_pred", "score")]

@@ -116,3 +116,15 @@ def test_pipeline(spark, tmp_path):
     assert 202 in seen["near_duplicates"] and 202 not in seen["decontamination"]
     assert "AKIA" not in seen["secrets"][201].text and seen["secrets"][201].n_chars == len(seen["secrets"][201].text)
     assert set(seen["packing"]) == set(seen["secrets"])
+
+
+def test_language_stage_drops_what_fits_no_language(spark):
+    import random
+
+    rng = random.Random(8)
+    clean = documents(each=150, words=80)
+    odd = ["Это документ на русском языке о погоде и людях.", "这是一个中文文档，关于天气和人们的生活。" * 5,
+           "".join(rng.choices("bcdfghjklmnpqrstvwxz ", k=600)), "x1 " + "".join(rng.choices("0123456789$%&*+-/ ", k=500))]
+    rows = clean + [(5000 + k, text, None, "s", 0) for k, text in enumerate(odd)]
+    kept = {r.doc_id for r in corpus_pipeline.identified(spark, frame(spark, rows), "").collect()}
+    assert kept.isdisjoint(range(5000, 5004)) and len(kept) >= 0.995 * len(clean)

@@ -118,7 +118,7 @@ def test_reports(spark):
     assert (4, "S4", "G2", 1, 0) in {tuple(r) for r in reports.student_attendance(m).collect()}
     assert reports.marks_on_date(m, date(2024, 3, 4)).first()[0] == 6
     assert reports.marks_on_date(m, date(2024, 3, 4), ["G2"]).first()[0] == 3
-    assert ("T8", 2, 1) in {tuple(r) for r in reports.marks_by_teacher(m).collect()}
+    assert (8, "T8", 2, 1) in {tuple(r) for r in reports.marks_by_teacher(m).collect()}
     pct = {r.teacher_fio: r for r in reports.teacher_attendance_pct(m).collect()}
     assert (pct["T7"].present_pct, pct["T7"].absent_pct) == (75.0, 25.0)
     assert (pct["T8"].marks, pct["T8"].present_pct, pct["T8"].absent_pct) == (2, None, None)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollmark.llm import (
-    attention_lm, decontamination, language, neighbours, packing, page_text, secret_scan, toxicity, url_templates,
+    attention_lm, decontamination, fill_middle, language, neighbours, packing, page_text, secret_scan, toxicity,
+    url_templates,
 )
 from rollmark.llm.near_duplicates import near_duplicates
 
@@ -87,6 +88,13 @@ def op10_secrets(spark: SparkSession, d: str) -> DataFrame:
                         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
 
 
+def op11_fill_middle(spark: SparkSession, d: str) -> DataFrame:
+    made = fill_middle.fill_middle(_table(spark, d, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_language": op2_language,
@@ -98,4 +106,5 @@ QUERIES: dict[str, Query] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
+    "op11_fill_middle": op11_fill_middle,
 }

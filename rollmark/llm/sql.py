@@ -29,7 +29,30 @@ def near_duplicate_components(docs: str, size: int, percent: int) -> str:
              FROM w LEFT JOIN rep USING (doc_id) LEFT JOIN m ON m.u = rep.rep)"""
 
 
+
+def _unsigned(k: int) -> str:
+    return f"('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), {8 * k + 1}, 8))::BIGINT"
+
+
+#: Lines cut by hashes of the id, put in the order of the form.
+FILL_MIDDLE = f"""WITH u AS (
+    SELECT doc_id, coalesce(text, '') AS text, {', '.join(f'{_unsigned(k)} AS h{k + 1}' for k in range(4))},
+           regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS l FROM documents),
+    c AS (SELECT *, len(l) AS n, least(h1 % (len(l) + 1), h2 % (len(l) + 1)) AS i,
+                 greatest(h1 % (len(l) + 1), h2 % (len(l) + 1)) AS j,
+                 CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                      OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+    p AS (SELECT *, array_to_string(l[1:i], '') AS prefix, array_to_string(l[i + 1:j], '') AS middle,
+                 array_to_string(l[j + 1:n], '') AS suffix FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+              ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256 FROM p"""
+
+
 SQL: dict[str, str] = {
+    "op11_fill_middle": FILL_MIDDLE,
     "op8_near_duplicates": f"""WITH RECURSIVE {near_duplicate_components('documents', 2, 80)}
 SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM near""",
 }

@@ -51,7 +51,31 @@ SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefi
        sha256(text) AS restored_sha256 FROM p"""
 
 
+
+def _terms(rows: str) -> str:
+    return rf"""regexp_extract_all(
+    translate(coalesce({rows}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+
+RANKED_SEARCH = f"""WITH
+    d AS (SELECT doc_id, unnest({_terms('text')}) AS term FROM documents WHERE doc_id IS NOT NULL),
+    f AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+    s AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM f GROUP BY doc_id),
+    c AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM s),
+    i AS (SELECT DISTINCT item_id, unnest({_terms('text')}) AS term FROM benchmark WHERE item_id IS NOT NULL),
+    w AS (SELECT term, floor(1000 * ln((2.0::DOUBLE * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+          FROM f, c WHERE term IN (SELECT term FROM i) GROUP BY term),
+    x AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))
+                 ::BIGINT AS score
+          FROM i JOIN w USING (term) JOIN f USING (term) JOIN s USING (doc_id), c GROUP BY ALL),
+    r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id,
+                 score FROM x WHERE score > 0)
+SELECT * FROM r WHERE rank <= 50"""
+
+
 SQL: dict[str, str] = {
+    "op13_ranked_search": RANKED_SEARCH,
     "op11_fill_middle": FILL_MIDDLE,
     "op8_near_duplicates": f"""WITH RECURSIVE {near_duplicate_components('documents', 2, 80)}
 SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM near""",

@@ -36,8 +36,8 @@ OUTSIDE[[*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80
 BLOCK_DOCS, BLOCK_BYTES = 1 << 13, 1 << 24
 #: (item, term) pairs that are sent to the tasks at once, and terms by which rows are chosen beforehand.
 PAIRS_AT_ONCE, ROWS_CHOSEN = 1 << 18, 1 << 21
-#: Ranges of documents that are opened for an item in one step.
-OPENED = 24
+#: Ranges of documents that are opened for an item in one step: so many, or a share of those that wait.
+OPENED, SHARE = 64, 2
 
 BLOCK = ("n_rows int, n_cols int, height int, terms array<bigint>, in_docs array<bigint>, doc_ids binary, "
          "quadrants binary, maxima binary, sizes array<bigint>")
@@ -218,9 +218,11 @@ def _descend(treap: Treap, doc_ids: np.ndarray, pairs: tuple, best: _Best, opene
         alive = best.may_enter(whose, bound, doc_ids[np.minimum(first, len(doc_ids) - 1)])
         order = np.lexsort((level_of, -bound, ~alive, whose))
         starts = t.segment_starts(whose[order])
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
-        chosen = alive & (rank < opened)
+        held = np.diff(np.append(starts, len(order)))
+        rank, limit = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order)) - np.repeat(starts, held)
+        limit[order] = np.repeat(np.maximum(opened, held // SHARE), held)
+        chosen = alive & (rank < limit)
         edges = np.concatenate([[0], np.cumsum(sizes)])
         new_ranges, new_paths = {}, {}
         for level in range(height):

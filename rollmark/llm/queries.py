@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollmark.llm import (
-    attention_lm, decontamination, fill_middle, language, neighbours, packing, page_text, ranked_search, secret_scan,
-    toxicity, url_templates,
+    attention_lm, decontamination, fill_middle, language, neighbours, ngram_join, packing, page_text, ranked_search,
+    secret_scan, toxicity, url_templates,
 )
 from rollmark.llm.near_duplicates import near_duplicates
 
@@ -95,6 +95,10 @@ def op11_fill_middle(spark: SparkSession, d: str) -> DataFrame:
         F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
 
 
+def op12_ngram_join(spark: SparkSession, d: str) -> DataFrame:
+    return ngram_join.ngram_join(_table(spark, d, "documents"), words=5, similarity=0.8)
+
+
 def op13_ranked_search(spark: SparkSession, d: str) -> DataFrame:
     return ranked_search.search(_table(spark, d, "documents"), _table(spark, d, "benchmark"), k=50)
 
@@ -111,5 +115,6 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
     "op11_fill_middle": op11_fill_middle,
+    "op12_ngram_join": op12_ngram_join,
     "op13_ranked_search": op13_ranked_search,
 }

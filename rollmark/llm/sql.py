@@ -75,6 +75,8 @@ SELECT * FROM r WHERE rank <= 50"""
 
 
 SQL: dict[str, str] = {
+    "op12_ngram_join": f"""WITH RECURSIVE {near_duplicate_components('documents', 5, 80)}
+SELECT doc_id, n_shingles, component_id FROM near""",
     "op13_ranked_search": RANKED_SEARCH,
     "op11_fill_middle": FILL_MIDDLE,
     "op8_near_duplicates": f"""WITH RECURSIVE {near_duplicate_components('documents', 2, 80)}

@@ -2,10 +2,11 @@
 
 1. A set's members are hashed into groups, and the numbers per group are a point. Two sets share at
    most the sum of the smaller of both counts over the groups, since a shared member counts in both.
-2. Points are dealt by members: similar sets share one of the first few in any fixed order of all
-   members (for a similarity of 0.8, the first fifth). The order puts frequent members last, as told by
-   a small table of counts, so a passage that many texts share deals no points. Members that only one
-   set has deal none either.
+2. Points are dealt by members. In any fixed order of all members, similar sets share one of the first
+   few (for a similarity of 0.8, the first fifth), and several of some more: `l` of the first fifth and `l`
+   more. The order puts frequent members last, as told by a small table of counts. A set that has fewer
+   than `l` of these members in common with all others together is done, which a passage that it shares with
+   some does not hinder. The others deal their point by these members, but for the `l - 1` that most have.
 3. The points dealt to one member are put into an R-tree: nested groups of close points, each with the
    greatest count per group of hashes. The tree is joined with itself from the root on: a pair of nodes
    goes on only if the summed minima of their counts reach what their smallest sets would have to share,
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import LongType
 
 from rollmark.llm import text as t
@@ -40,10 +41,12 @@ GROUPS = 64
 TALLY_BITS = 17
 #: Points in a leaf, children of a node, and points from which a member's are cut into chunks.
 LEAF, FANOUT, CHUNK = 32, 4, 2048
+#: Of so many members, one more is to be shared.
+MORE = 16
 #: Members by which a point is dealt in the first round.
 FIRST = 2
-#: Rounds in which each point keeps its best partners only.
-ROUNDS = 2
+#: Rounds in which each point keeps its best partners only, after the first.
+ROUNDS = 1
 
 _SALTS = np.array([0x452821E638D01377, 0xBE5466CF34E90C6C, 0xC0AC29B7C97C50DD], np.uint64)
 #: A count that does not fit stands for any number.
@@ -94,7 +97,7 @@ def _pointed(size: int, percent: int, levels: np.ndarray):
                 order = np.lexsort((sets, levels[_bucket(sets)], owner))
                 begins = np.concatenate([[0], np.cumsum(n)])
                 place = np.arange(len(sets)) - begins[owner]
-                dealt = n - (percent * n + 99) // 100 + 1
+                dealt = n - (percent * n + 99) // 100 + np.maximum(1, n // MORE)
                 dealt[n == 0] = 0
                 first = sets[order][place < dealt[owner]]
                 yield pa.RecordBatch.from_pydict({
@@ -318,40 +321,48 @@ class _Verify:
             F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def _chunked(posted: DataFrame, percent: int, chunk: int) -> DataFrame:
-    """Adds `band` and `part`: members with many points have them cut by set size (similar sets lie in
-    one band or in neighbouring ones) and, within a band, by hash."""
-    ratio = 1.001 * max(1.25, 100 / percent)
-    band = F.floor(F.log("n") / F.log(F.lit(ratio))).cast("int")
-    sizes = posted.groupBy("member", band.alias("band")).agg(F.count("*").alias("k"))
-    many = sizes.groupBy("member").agg(F.sum("k").alias("all")).filter(F.col("all") > chunk).select("member")
-    parts = sizes.join(many, "member").select("member", "band", F.ceil(F.col("k") / chunk).cast("int").alias("parts"))
-    out = posted.withColumn("_band", band).join(
-        parts.withColumnRenamed("band", "_band"), ["member", "_band"], "left")
-    part = F.pmod(F.xxhash64(F.lit("part"), "rep"), F.col("parts")).cast("int")
-    return out.select(
-        *posted.columns, F.when(F.col("parts").isNotNull(), F.col("_band")).otherwise(0).alias("band"),
-        F.coalesce(part, F.lit(0)).alias("part"))
+def _shared_members(each: DataFrame) -> DataFrame:
+    """Rows (member, ...) of members that several rows have, with their number `k`."""
+    return each.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("member"))).filter("k > 1")
+
+
+def _posted(classes: DataFrame, percent: int) -> DataFrame:
+    """(member, rep): the members that each class's point is dealt by. What similar sets share at least
+    follows from the smaller size that a partner may have."""
+    least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100) / MORE)).cast("int")
+    each = classes.select("rep", "n", F.explode("members").alias("member"))
+    for last in (False, True):  # classes that are done take partners from others
+        own = _shared_members(each).groupBy("rep").agg(
+            F.min("n").alias("n"), F.sort_array(F.collect_list(F.struct("k", "member"))).alias("m"))
+        kept = F.slice("m", 1, F.size("m") - least + 1) if last else F.col("m")
+        each = own.filter(F.size("m") >= least).select("rep", "n", F.explode(kept).alias("m")).select(
+            "rep", "n", "m.member")
+    return _shared_members(each.drop("n").distinct()).drop("k")
+
+
+def _chunked(posted: DataFrame, chunk: int) -> DataFrame:
+    """Adds `part`: members with many points have them cut by hash."""
+    many = posted.groupBy("member").agg(F.ceil(F.count("*") / chunk).cast("int").alias("parts")).filter("parts > 1")
+    part = F.pmod(F.xxhash64(F.lit("part"), "rep"), F.coalesce("parts", F.lit(1))).cast("int")
+    return posted.join(many, "member", "left").withColumn("part", part).drop("parts")
 
 
 def _round(posted: DataFrame, classes: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
-    """Surviving pairs of posted (member, rep, n, component, band, part): within chunks, or between all."""
-    own = posted.withColumns({"dealt": F.xxhash64("member", "band", "part"), "side": F.lit(0)})
+    """Surviving pairs of posted (member, rep, component, part): within chunks, or between all."""
+    own = posted.withColumns({"dealt": F.xxhash64("member", "part"), "side": F.lit(0)})
     if all_pairs:
         # Chunks that are one component, the same one, have nothing to find; few members have chunks.
-        chunk = posted.groupBy("member", "band", "part").agg(
+        chunk = posted.groupBy("member", "part").agg(
             F.min("component").alias("low"), F.max("component").alias("high"))
         cut = chunk.join(chunk.groupBy("member").agg(F.count("*").alias("k")).filter("k > 1").select("member"), "member")
         two = cut.alias("x").join(cut.alias("y"), "member").filter(
-            "(y.band = x.band and y.part > x.part) or y.band = x.band + 1"
-        ).filter("least(x.low, y.low) < greatest(x.high, y.high)")
-        dealt = F.xxhash64("member", "x.band", "x.part", "y.band", "y.part").alias("dealt")
+            "y.part > x.part and least(x.low, y.low) < greatest(x.high, y.high)")
         ends = F.explode(F.array(
-            F.struct(F.col("x.band").alias("band"), F.col("x.part").alias("part"), F.lit(1).alias("side")),
-            F.struct(F.col("y.band").alias("band"), F.col("y.part").alias("part"), F.lit(2).alias("side"))))
-        met = two.select("member", dealt, ends.alias("e")).select("member", "dealt", "e.*")
-        own = own.unionByName(posted.join(met, ["member", "band", "part"]))
-    rows = own.join(classes.select("rep", "point"), "rep").select("dealt", "rep", "n", "component", "side", "point")
+            F.struct(F.col("x.part").alias("part"), F.lit(1).alias("side")),
+            F.struct(F.col("y.part").alias("part"), F.lit(2).alias("side"))))
+        met = two.select("member", F.xxhash64("member", "x.part", "y.part").alias("dealt"), ends.alias("e"))
+        own = own.unionByName(posted.join(met.select("member", "dealt", "e.*"), ["member", "part"]))
+    rows = own.join(classes.select("rep", "n", "point"), "rep").select("dealt", "rep", "n", "component", "side", "point")
     rows = rows.repartition("dealt").sortWithinPartitions("dealt")
     return rows.mapInArrow(_joined(percent, all_pairs), "a bigint, b bigint").distinct()
 
@@ -360,24 +371,21 @@ def linked_classes(
     scratch: Scratch, docs: DataFrame, classes: DataFrame, size: int, percent: int, chunk: int, rounds: int
 ) -> DataFrame:
     """(node, component) of the classes (rep, n, members, point) that have a similar one."""
-    each = classes.select("rep", "n", F.posexplode("members").alias("at", "member"))
-    shared = each.groupBy("member").agg(F.count("*").alias("k")).filter("k > 1").select("member")
-    posted = scratch.stored(each.join(shared, "member"), "posted")
+    posted = scratch.stored(_posted(classes, percent), "posted")
     verify = _Verify(scratch, docs, size, percent)
     found = docs.sparkSession.createDataFrame([], "node bigint, component bigint")
     tried = None
     for turn in range(rounds + 2):
         last = turn == rounds + 1
-        now = posted.join(found, F.col("rep") == F.col("node"), "left").select(
-            "member", "rep", "n", "at", F.coalesce("component", "rep").alias("component"))
+        now = posted
         if turn == 0:
-            few = now.groupBy("rep").agg(F.slice(F.sort_array(F.collect_list(F.struct("at", "member"))), 1, FIRST).alias("m"))
-            dealt = few.select("rep", F.explode("m.member").alias("member")).distinct()
-            now = now.join(dealt, ["rep", "member"], "left_semi")
-        else:
-            mixed = now.groupBy("member").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            now = now.join(mixed.filter("low < high").select("member"), "member", "left_semi")
-        now = scratch.stored(_chunked(now.drop("at"), percent, chunk), "dealt")
+            few = now.groupBy("rep").agg(F.slice(F.sort_array(F.collect_list("member")), 1, FIRST).alias("member"))
+            now = few.select("rep", F.explode("member").alias("member"))
+        now = now.join(found, F.col("rep") == F.col("node"), "left").select(
+            "member", "rep", F.coalesce("component", "rep").alias("component"))
+        mixed = now.groupBy("member").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        now = now.join(mixed.filter("low < high").select("member"), "member", "left_semi")
+        now = scratch.stored(_chunked(now, chunk), "dealt")
         pairs = _round(now, classes, percent, last)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")

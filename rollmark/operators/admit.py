@@ -71,14 +71,8 @@ def input_reason() -> Column:
     return F.coalesce(*checks)
 
 
-def with_facts(
-    requests: DataFrame,
-    school: School,
-    *,
-    rows_per_task: int = ROWS_PER_TASK,
-    broadcast: list[bool] | None = None,
-) -> DataFrame:
-    """Parsed requests with what the access and lesson rules need to know about them."""
+def _lookups(school: School) -> list[tuple[DataFrame, list[str]]]:
+    """What the rules look up, each as (table with one row per key, key)."""
     flag = F.lit(True)
     grants = school.grants.groupBy(
         F.col("user_id").alias("requester_id"), F.col("journal_id")
@@ -98,15 +92,31 @@ def with_facts(
     lessons = school.lessons.groupBy(F.col("ID").alias("lesson_id")).agg(
         F.max(F.struct(F.col("DATE").alias("lesson_date"), F.col("NUMBER"), F.col("BLOCKED"))).alias("lesson")
     )
-    dims = [
+    return [
         (grants, ["requester_id", "journal_id"]),
         (teachers, ["journal_id", "requester_dean_id"]),
         (monitors, ["journal_id", "requester_id"]),
         (deans, ["requester_id"]),
         (lessons, ["lesson_id"]),
     ]
+
+
+def lookup_sizes(school: School) -> list[bool]:
+    """Which of the lookups are small enough to broadcast, as ``broadcast`` of the functions below."""
+    return fits_broadcast(*[table for table, _ in _lookups(school)])
+
+
+def with_facts(
+    requests: DataFrame,
+    school: School,
+    *,
+    rows_per_task: int = ROWS_PER_TASK,
+    broadcast: list[bool] | None = None,
+) -> DataFrame:
+    """Parsed requests with what the access and lesson rules need to know about them."""
+    dims = _lookups(school)
     parsed = parse_requests(requests)
-    small = broadcast or fits_broadcast(*[d for d, _ in dims])
+    small = broadcast or lookup_sizes(school)
     out = parsed
     for (dim, keys), fits in zip(dims, small):
         out = lookup_join(
@@ -144,7 +154,8 @@ def supplied_day(text: Column) -> Column:
 
 def marker_reason() -> Column:
     """The id the mark would be made under does not fit an event."""
-    return F.when(~derived_marker().between(0, 2**31 - 1), "bad_marker")
+    _, low, high = STORE_RANGES["MARKED_BY"]
+    return F.when(~derived_marker().between(low, high), "bad_marker")
 
 
 def lesson_reason() -> Column:
@@ -227,7 +238,7 @@ def to_events(validated: DataFrame) -> DataFrame:
         F.col("user_id").try_cast("int").alias("STUDENT_ID"),
         F.date_format(day, "yyyy-MM-dd").alias("LESSON_DATE"),
         F.col("mark").cast("int").alias("ATTENDANCE_MARK"),
-        F.col("marked_by").try_cast("int").alias("MARKED_BY"),
+        F.col("marked_by").cast("bigint").alias("MARKED_BY"),
         micros_text(F.col("requested_at")).alias("DATE_CREATE"),
         F.col("lesson_id").cast("bigint").alias("LESSON_ID"),
         F.lit(0).alias("TYPE_MARK"),

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from rollmark.functions.scalars import age_on, stable_id
 from rollmark.operators import admit, arbitrate, latest, reports
@@ -13,9 +14,9 @@ from rollmark.operators.conform import conform_enriched
 from rollmark.operators.dedupe import dedupe_events, duplicate_report
 from rollmark.operators.directory import restrict_view
 from rollmark.operators.enrich import (
-    STUDENT_KEY, enrich_events, enrichment_hits, lookup_ids, missing_lookup_ids,
+    STUDENT_KEY, TEACHER_KEY, enrich_events, enrichment_hits, lookup_ids, missing_lookup_ids, with_people,
 )
-from rollmark.operators.metrics import observe_stage
+from rollmark.operators.metrics import observe_stage, sampled_ids
 from rollmark.plans.pipelines import admit_and_settle
 from rollmark.plans.session import cut, scratch_path
 from rollmark.plans.skew import lookup_join
@@ -27,10 +28,13 @@ from rollmark.sinks import history as history_sink
 from rollmark.sinks import latest as latest_sink
 from rollmark.sinks.messages import to_messages, write_messages
 from rollmark.sources import canonical as c
-from rollmark.sources.messages import MESSAGE, decode_events, read_messages
+from rollmark.sources.messages import MESSAGE, decode_events, decode_requests, read_messages
+from rollmark.streaming.admission import SchoolSnapshots, start_admission
 from rollmark.streaming.enrichment import dedupe_stream, start_enrichment, start_rejects
 from rollmark.streaming.settlement import start_settlement
-from rollmark.streaming.run import start_batches
+from rollmark.streaming.daily import read_daily_marks, start_daily_marks
+from rollmark.streaming.figures import read_report, start_figures
+from rollmark.streaming.run import query_id, start_batches
 from rollmark.streaming.snapshot import DirectorySnapshot
 from rollmark.streaming.store import decode_enriched, start_history, start_mart, store_rows
 
@@ -134,6 +138,20 @@ def requested_students(spark, d):
     return restrict_view(students, ids.select("id"))
 
 
+def missing_sample(spark, d):
+    """Ten ids at most of the people that the directory lacks, observed during one pass."""
+    people = c.lookups(spark, d)
+    rows = with_people(
+        c.raw_events(spark, d), people["students"], people["teachers"], broadcast=people["broadcast"])
+    rows, seen = observe_stage(
+        rows, student=sampled_ids(F.col(STUDENT_KEY), ~F.col("student_found")),
+        teacher=sampled_ids(F.col(TEACHER_KEY), ~F.col("teacher_found")),
+    )
+    rows.write.format("noop").mode("overwrite").save()
+    found = [(kind, id) for kind in ("student", "teacher") for id in seen.get[kind]]
+    return spark.createDataFrame(found, "kind string, id string")
+
+
 def hit_counts(spark, d):
     return enrichment_hits(c.raw_events(spark, d), **c.lookups(spark, d))
 
@@ -278,23 +296,53 @@ def store_rejects(spark, d):
 def history_by_month(spark, d):
     rows, _ = conform_enriched(_received(_enriched(spark, d)), uuid_ids=False)
     path = scratch_path(spark, "history")
-    history_sink.write_history(rows, path)
+    history_sink.append_history(rows, path)
     return history_sink.read_history(spark, path).groupBy("lesson_month").agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("STUDENT_ID").alias("students")
     )
 
 
 def mart_upsert(spark, d):
-    """The mart kept in a table: two merges, the second of them done twice."""
+    """The mart kept in a table: two batches, the second of them added twice, and a merge between."""
     rows, _ = conform_enriched(_received(_enriched(spark, d)), uuid_ids=False)
     landed, path = scratch_path(spark, "landed"), scratch_path(spark, "latest")
     rows.write.parquet(landed)
     odd = F.col("ID").cast("bigint") % 2
     for part in (1, 0, 0):
         latest_sink.upsert_latest(spark.read.schema(STORE).parquet(landed).filter(odd == part), path)
+        if part:
+            latest_sink.compact_latest(spark, path)
     return latest_sink.read_mart(spark, path)
 
 
+def history_files(spark, d):
+    """Merged months whose files do not overlap, of a history in three parts that repeat marks: rows,
+    and pairs of neighbouring files where one begins before the other ends."""
+    path = scratch_path(spark, "history")
+    rows = cut(conform_enriched(_received(_enriched(spark, d)), uuid_ids=False)[0])
+    number = F.col("ID").cast("bigint")
+    for part in (number % 2 == 0, number % 3 != 0, number % 2 == 1):
+        history_sink.append_history(rows.filter(part), path)
+    history_sink.compact_history(spark, path, least=2)
+    in_order = Window.partitionBy("lesson_month").orderBy("first", "last")
+    files = history_sink.file_ranges(spark, path).withColumn("before", F.lag("last").over(in_order))
+    return files.groupBy("lesson_month").agg(
+        F.sum("n_rows").alias("n_rows"), F.count_if(F.col("before") > F.col("first")).alias("overlaps"))
+
+
+def find_mark(spark, d):
+    """The standing mark of one key: that of the smallest event."""
+    path = scratch_path(spark, "history")
+    rows, _ = conform_enriched(_received(_enriched(spark, d)), uuid_ids=False)
+    history_sink.append_history(rows, path)
+    history_sink.compact_history(spark, path)
+    one = c.valid_marks(c.raw_events(spark, d)).orderBy(F.col("ID").cast("bigint")).first()
+    return history_sink.find_mark(
+        spark, path, journal_id=one["JOURNAL_ID"], student_id=one["STUDENT_ID"], lesson_id=one["LESSON_ID"],
+        day=one["LESSON_DATE"],
+    )
+
+
 def message_rows(spark, d):
     messages = to_messages(_enriched(spark, d))
     return messages.select("key", F.inline(F.array(F.from_json("value", ENRICHED_EVENT))))
@@ -323,6 +371,10 @@ def teacher_attendance_pct(spark, d):
     return reports.teacher_attendance_pct(_mart(spark, d))
 
 
+def faculty_rollup(spark, d):
+    return reports.faculty_rollup(_mart(spark, d))
+
+
 # --- streaming --------------------------------------------------------------------------------
 
 
@@ -377,6 +429,71 @@ def stream_dedupe(spark, d):
     return spark.read.schema("ID string, STUDENT_ID int, DATE_CREATE timestamp_ntz").parquet(out).drop("batch_id")
 
 
+def stream_dedupe_watermark(spark, d):
+    """Events in three files by time, with a watermark of two days. The third repeats the last day of the
+    second, which is remembered, and all of the first ten days, which is too late."""
+    path, out = scratch_path(spark, "watermark-input"), scratch_path(spark, "stream-within")
+    raw = c.raw_events(spark, d)
+    day = F.day("LESSON_DATE")
+    for part in (day <= 15, day.between(16, 20), (day > 20) | (day <= 10) | (day == 20)):
+        raw.filter(part).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    start_batches(
+        dedupe_stream(stream, watermark="2 days").select("ID", "STUDENT_ID", "DATE_CREATE"),
+        lambda rows, batch_id: write_messages(rows, "parquet", batch_id=batch_id, path=out),
+        scratch_path(spark, "stream-within-checkpoint"),
+    ).awaitTermination()
+    kept = spark.read.schema("ID string, STUDENT_ID int, DATE_CREATE timestamp_ntz").parquet(out).drop("batch_id")
+    return kept
+
+
+def stream_latest_non_null(spark, d):
+    path, checkpoint = scratch_path(spark, "stream-non-null"), scratch_path(spark, "stream-non-null-checkpoint")
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        rows, _ = store_rows(batch, uuid_ids=False)
+        latest_sink.upsert_non_null(rows, path, query_id(spark, checkpoint), batch_id)
+        if batch_id == 1:
+            latest_sink.compact_non_null(spark, path)
+
+    start_batches(_written_stream(spark, d), on_batch, checkpoint).awaitTermination()
+    return latest_sink.read_non_null(spark, path)
+
+
+def stream_reports(spark, d):
+    """All reports, kept up to date over three batches, in one table."""
+    state, figures = scratch_path(spark, "figures-state"), scratch_path(spark, "figures")
+    start_figures(
+        _written_stream(spark, d), state, figures, scratch_path(spark, "figures-checkpoint"), uuid_ids=False,
+        merge_every=2,
+    ).awaitTermination()
+
+    def report(name: str, keys: list[str], values: list[str], **options) -> DataFrame:
+        found = read_report(spark, figures, name, **options)
+        texts = [F.col(k).cast("string") for k in keys] + [F.lit(None).cast("string")] * (3 - len(keys))
+        numbers = [F.col(v).cast("double") for v in values] + [F.lit(None).cast("double")] * (3 - len(values))
+        return found.select(
+            F.lit(name).alias("report"), *[x.alias(f"key_{i}") for i, x in enumerate(texts, 1)],
+            *[x.alias(f"value_{i}") for i, x in enumerate(numbers, 1)])
+
+    parts = [
+        report("marks_by_group", ["group_short_title", "attendance_mark"], ["marks"], groups=REPORT_GROUPS),
+        report("student_attendance", ["STUDENT_ID", "student_fio", "group_short_title"], ["present", "absent"]),
+        report("marks_on_date", [], ["marks"], as_of=REPORT_DAY),
+        report("marks_by_teacher", ["marked_by", "teacher_fio", "attendance_mark"], ["marks"]),
+        report("teacher_attendance_pct", ["marked_by", "teacher_fio", "kafedra"], ["marks", "present_pct", "absent_pct"]),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def stream_marks_per_day(spark, d):
+    path = scratch_path(spark, "daily")
+    start_daily_marks(
+        c.valid_marks(c.to_raw_events(c.event_stream(spark, d))), path, scratch_path(spark, "daily-checkpoint"),
+    ).awaitTermination()
+    return read_daily_marks(spark, path)
+
+
 def stream_latest(spark, d):
     path = scratch_path(spark, "stream-latest")
     start_mart(
@@ -393,7 +510,7 @@ def stream_history(spark, d):
     return history_sink.read_history(spark, path)
 
 
-def _settled_stream(spark: SparkSession, requests: DataFrame) -> DataFrame:
+def _settled_stream(spark: SparkSession, requests: DataFrame, **options) -> DataFrame:
     out, checkpoint = scratch_path(spark, "stream-settled"), scratch_path(spark, "stream-settle-checkpoint")
 
     def sink(accepted: DataFrame, rejected: DataFrame, batch_id: int) -> None:
@@ -402,19 +519,49 @@ def _settled_stream(spark: SparkSession, requests: DataFrame) -> DataFrame:
         )
         write_messages(both, "parquet", batch_id=batch_id, path=out)
 
-    start_settlement(requests, scratch_path(spark, "standing"), sink, checkpoint).awaitTermination()
+    start_settlement(requests, scratch_path(spark, "standing"), sink, checkpoint, **options).awaitTermination()
     settled = spark.read.schema("ID string, reject_reason string").parquet(out)
     return settled.select("ID", F.col("reject_reason").isNull().alias("accepted"), "reject_reason")
 
 
+def stream_admission(spark, d):
+    """Request messages judged by a copy of the journal's tables, made events and settled."""
+    out, refused = scratch_path(spark, "stream-admitted"), scratch_path(spark, "stream-refused")
+    messages = c.request_messages(c.to_requests(c.to_raw_events(c.event_stream(spark, d))))
+    requests, _ = decode_requests(messages)
+
+    def sink(accepted: DataFrame, rejected: DataFrame, batch_id: int) -> None:
+        both = accepted.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(rejected)
+        both.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    start_admission(
+        requests, SchoolSnapshots(lambda s: c.school(s, d), scratch_path(spark, "school")),
+        scratch_path(spark, "standing"), sink, scratch_path(spark, "stream-admit-checkpoint"),
+        refuse=lambda rows, batch_id: rows.write.mode("overwrite").parquet(f"{refused}/batch_id={batch_id}"),
+    ).awaitTermination()
+    settled = spark.read.parquet(out)
+    return settled.select(
+        "JOURNAL_ID", "STUDENT_ID", "LESSON_ID", F.date_format("LESSON_DATE", "yyyy-MM-dd").alias("LESSON_DATE"),
+        "ATTENDANCE_MARK", "MARKED_BY", "MARKED_BY_ROLE", "DATE_CREATE",
+        F.col("reject_reason").isNull().alias("accepted"), "reject_reason",
+    )
+
+
 def stream_arbitrate(spark, d):
     """Requests settled as they arrive, the events file being one batch."""
     return _settled_stream(spark, c.valid_marks(c.to_raw_events(c.event_stream(spark, d))))
 
 
 def stream_settle(spark, d):
-    """The same job by its other name, kept for those who call it."""
-    return _settled_stream(spark, c.valid_marks(c.to_raw_events(c.event_stream(spark, d))))
+    """The requests in three batches by time, each meeting what the batches before it left, with the
+    standing marks merged in between."""
+    path = scratch_path(spark, "settle-input")
+    marks = c.valid_marks(c.raw_events(spark, d))
+    parts = [F.day("LESSON_DATE") <= 10, F.day("LESSON_DATE").between(11, 20), F.day("LESSON_DATE") > 20]
+    for part in parts:
+        marks.filter(part).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(marks.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return _settled_stream(spark, stream, merge_every=2)
 
 
 QUERIES: dict[str, Query] = {
@@ -465,4 +612,13 @@ QUERIES: dict[str, Query] = {
     "stream_history": stream_history,
     "stream_arbitrate": stream_arbitrate,
     "stream_settle": stream_settle,
+    "stream_dedupe_watermark": stream_dedupe_watermark,
+    "stream_latest_non_null": stream_latest_non_null,
+    "stream_reports": stream_reports,
+    "stream_marks_per_day": stream_marks_per_day,
+    "history_files": history_files,
+    "find_mark": find_mark,
+    "faculty_rollup": faculty_rollup,
+    "missing_sample": missing_sample,
+    "stream_admission": stream_admission,
 }

@@ -18,6 +18,10 @@ SETTINGS = {
 }
 
 
+# Folders of local sessions that name none; the setting cannot be made once a session runs.
+_LOCAL: dict[str, str] = {}
+
+
 def local_session(cores: int | str = 8, app: str = "rollmark", **extra: str) -> SparkSession:
     """A local session for tests and benchmarks; on a cluster use the session you are given."""
     builder = (
@@ -41,9 +45,10 @@ def shared_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all machines share")
-    root = tempfile.mkdtemp(prefix="rollmark-")
-    spark.conf.set(CHECKPOINT_DIR, root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="rollmark-")
+    return _LOCAL[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

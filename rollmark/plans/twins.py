@@ -12,8 +12,8 @@ raw AS (
          CAST(ts AS DATE) AS LESSON_DATE,
          CAST(CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 0 WHEN 'purchase' THEN 2
               WHEN 'signup' THEN 3 ELSE 9 END AS INTEGER) AS ATTENDANCE_MARK,
-         CAST(CASE WHEN event_id % 4 >= 2 THEN event_id % 120
-              WHEN event_id % 4 = 1 THEN user_id + 1 ELSE user_id END AS INTEGER) AS MARKED_BY,
+         CAST(CASE WHEN event_id % 131 = 7 THEN 3000000000 + event_id % 3 WHEN event_id % 4 >= 2 THEN event_id % 120
+              WHEN event_id % 4 = 1 THEN user_id + 1 ELSE user_id END AS BIGINT) AS MARKED_BY,
          ts AS DATE_CREATE,
          CAST(strftime(ts, '%Y%m%d') AS BIGINT) * 10 + 1
            + CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) % 3 AS LESSON_ID,
@@ -113,13 +113,16 @@ doubled AS (
 
 _REQUESTS = _RAW + """,
 requests AS (
-  SELECT ID AS request_id,
-         CASE WHEN n % 101 <> 0 THEN JOURNAL_ID END AS journal_id,
-         CASE WHEN n % 103 <> 0 THEN STUDENT_ID END AS user_id,
-         LESSON_ID AS lesson_id, ATTENDANCE_MARK AS mark,
-         CASE WHEN n % 10 = 7 THEN LESSON_DATE + 1 WHEN n % 3 = 0 THEN LESSON_DATE END AS lesson_date,
-         n % 101 = 0 AS no_journal, MARKED_BY AS requester, DATE_CREATE AS requested_at,
-         CASE WHEN MARKED_BY_ROLE >= 2 THEN 'employee' ELSE 'student' END AS kind
+  SELECT ID AS request_id, n % 211 = 0 AS nothing,
+         CASE WHEN n % 101 <> 0 AND n % 211 <> 0 THEN JOURNAL_ID END AS journal_id,
+         CASE WHEN n % 211 = 0 OR n % 103 = 0 THEN NULL WHEN n % 113 = 0 THEN 3000000000
+              ELSE CAST(STUDENT_ID AS BIGINT) END AS user_id,
+         n % 107 = 0 AS no_lesson, LESSON_ID AS lesson_id,
+         CASE WHEN n % 211 <> 0 THEN ATTENDANCE_MARK END AS mark,
+         CASE WHEN n % 211 = 0 THEN NULL WHEN n % 10 = 7 THEN LESSON_DATE + 1 WHEN n % 3 = 0 THEN LESSON_DATE END AS lesson_date,
+         n % 101 = 0 AS no_journal, CASE WHEN n % 127 = 0 THEN 5000000000 ELSE MARKED_BY END AS requester,
+         DATE_CREATE AS requested_at,
+         CASE WHEN n % 109 = 0 THEN 'guest' WHEN MARKED_BY_ROLE >= 2 THEN 'employee' ELSE 'student' END AS kind
   FROM raw),
 lessons AS (
   SELECT DISTINCT LESSON_ID AS lesson_id, LESSON_DATE AS held_on,
@@ -143,17 +146,21 @@ facts AS (
                    AND c_custkey % 20 = journal_id + 1), 0) > 0 AS monitor,
          coalesce((SELECT count(*) FROM supplier WHERE s_suppkey = requester
                    AND s_suppkey % 4 = 0), 0) > 0 AS dean
-  FROM requests r LEFT JOIN lessons l ON r.lesson_id = l.lesson_id
+  FROM requests r LEFT JOIN lessons l ON r.lesson_id = l.lesson_id AND NOT no_lesson AND NOT nothing
   LEFT JOIN slots s ON l.NUMBER = s.NUMBER),
 judged AS (
   SELECT *,
-    CASE WHEN no_journal THEN 'missing:journalId'
+    CASE WHEN nothing THEN 'empty'
+         WHEN no_journal THEN 'missing:journalId'
          WHEN NOT coalesce(journal_id > 0, FALSE) THEN 'bad_journal'
-         WHEN NOT coalesce(user_id > 0, FALSE) THEN 'bad_user'
-         WHEN mark NOT IN (0, 1, 2, 3) THEN 'bad_attendance' END AS input_reason,
+         WHEN NOT coalesce(user_id BETWEEN 1 AND 2147483647, FALSE) THEN 'bad_user'
+         WHEN no_lesson THEN 'bad_lesson'
+         WHEN mark NOT IN (0, 1, 2, 3) THEN 'bad_attendance'
+         WHEN requester > 4294967295 THEN 'bad_marker' END AS input_reason,
     CASE WHEN kind = 'employee' AND requester = 0 THEN 'no_dean_id'
          WHEN kind = 'employee' AND NOT has_grant AND NOT responsible THEN 'no_journal_access'
          WHEN kind = 'employee' THEN NULL
+         WHEN kind = 'guest' THEN 'unknown_kind'
          WHEN monitor OR has_grant THEN
            CASE WHEN NOT has_group AND NOT has_grant THEN 'no_journal_access' END
          WHEN requester IS DISTINCT FROM user_id THEN 'only_self'
@@ -164,6 +171,7 @@ judged AS (
          WHEN kind = 'student' AND NOT in_slot THEN 'outside_slot' END AS slot_reason,
     CASE WHEN kind = 'employee' AND dean AND mark IN (2, 3) THEN 3
          WHEN kind = 'employee' THEN 2
+         WHEN kind = 'guest' THEN NULL
          WHEN monitor OR has_grant THEN 1 ELSE 0 END AS role
   FROM facts)"""
 
@@ -206,7 +214,6 @@ _SELECT_MART = f"SELECT {_KEY}, " + ", ".join(c.lower() for c in _MART_VALUES) +
 _MARKED = "strftime(DATE_CREATE, '%Y-%m-%d %H:%M:%S.%f') AS DATE_CREATE"
 _DAY = "strftime(LESSON_DATE, '%Y-%m-%d') AS LESSON_DATE"
 _TEXT_RAW = _RAW_LIST.replace("LESSON_DATE", _DAY).replace("DATE_CREATE", _MARKED)
-_INT_LESSON = _TEXT_RAW.replace(" LESSON_ID,", " CAST(LESSON_ID AS INTEGER) AS LESSON_ID,")
 _TEXT_ALL = _ALL.replace("LESSON_DATE", _DAY).replace("DATE_CREATE", _MARKED)
 
 _UUID = (
@@ -217,7 +224,7 @@ _STORE_INPUT = f"""{_enriched('valid')},
 fits AS (
   SELECT * REPLACE (
     CASE WHEN n % 60 = 0 THEN NULL ELSE {_UUID} END AS ID,
-    CAST(CASE WHEN n % 40 = 0 THEN NULL ELSE MARKED_BY END AS BIGINT) AS MARKED_BY,
+    CASE WHEN n % 40 = 0 THEN NULL ELSE MARKED_BY END AS MARKED_BY,
     CAST(CASE WHEN n % 7 = 0 THEN NULL ELSE n % 200 END AS INTEGER) AS NUMBER_CERT,
     {_STORE_TIME} AS DATE_CREATE)
   FROM enriched)"""
@@ -236,7 +243,7 @@ asked AS (
 _ADMITTED = f"""{_REQUESTS},
 admitted AS (
   SELECT request_id AS ID, CAST(journal_id AS INTEGER) AS JOURNAL_ID,
-         CAST(user_id AS INTEGER) AS STUDENT_ID, lesson_id AS LESSON_ID,
+         TRY_CAST(user_id AS INTEGER) AS STUDENT_ID, lesson_id AS LESSON_ID,
          strftime(held_on, '%Y-%m-%d') AS LESSON_DATE, mark AS ATTENDANCE_MARK, requester AS MARKED_BY,
          strftime(requested_at, '%Y-%m-%d %H:%M:%S.%f') AS DATE_CREATE,
          CAST(role AS INTEGER) AS MARKED_BY_ROLE
@@ -245,7 +252,7 @@ admitted AS (
 SQL: dict[str, str] = {
     "group_marks": f"""WITH {_MART}
 SELECT group_short_title, attendance_mark, count(*) AS marks FROM mart GROUP BY ALL""",
-    "decode_props": f"WITH {_RAW} SELECT {_INT_LESSON} FROM raw WHERE n % 50 <> 0",
+    "decode_props": f"WITH {_RAW} SELECT {_TEXT_RAW} FROM raw WHERE n % 50 <> 0",
     "decode_rejects": f"WITH {_RAW} SELECT ID AS key, 'malformed_json' AS reason FROM raw WHERE n % 50 = 0",
     "duplicate_report": f"""WITH {_DOUBLED}
 SELECT ID, count(*) AS copies FROM doubled GROUP BY ID HAVING count(*) > 1""",
@@ -352,13 +359,73 @@ FROM counts""",
 }
 
 _STORED_MART = _mart(_STORE_TIME)
-_STORED_VALUES = _SELECT_MART.replace(" marked_by,", " CAST(marked_by AS BIGINT) AS marked_by,")
-SQL["mart_upsert"] = f"WITH {_STORED_MART} {_STORED_VALUES}"
+SQL["mart_upsert"] = f"WITH {_STORED_MART} {_SELECT_MART}"
 SQL["stream_latest"] = SQL["mart_upsert"]
 SQL["stream_history"] = f"""WITH {_enriched('valid')}
-SELECT {_ALL.replace('DATE_CREATE', _STORE_TIME + ' AS DATE_CREATE').replace(
-    ' MARKED_BY,', ' CAST(MARKED_BY AS BIGINT) AS MARKED_BY,')},
+SELECT {_ALL.replace('DATE_CREATE', _STORE_TIME + ' AS DATE_CREATE')},
   strftime(LESSON_DATE, '%Y%m') AS lesson_month
 FROM enriched"""
+SQL["stream_admission"] = SQL["mark_admission"]
 SQL["stream_rejects"] = SQL["decode_rejects"]
 SQL["store_rejects"] = SQL["conform_rejects"]
+
+# A stored time and the event, as text that sorts like the pair.
+_STORED_ORDER = f"strftime({_STORE_TIME}, '%Y-%m-%d %H:%M:%S.%f') || ID"
+SQL["stream_latest_non_null"] = f"""WITH {_enriched('valid')}
+SELECT {_KEY}, {', '.join(
+    f"arg_max({_STORE_TIME if c == 'DATE_CREATE' else c}, {_STORED_ORDER}) AS {c.lower()}" for c in _MART_VALUES)}
+FROM enriched GROUP BY {_KEY}"""
+SQL["stream_dedupe_watermark"] = f"""WITH {_RAW}
+SELECT DISTINCT ID, STUDENT_ID, DATE_CREATE FROM raw"""
+SQL["stream_marks_per_day"] = f"""WITH {_VALID}
+SELECT LESSON_DATE AS day, ATTENDANCE_MARK AS attendance_mark, count(*) AS marks FROM valid GROUP BY 1, 2"""
+SQL["history_files"] = f"""WITH {_VALID}
+SELECT strftime(LESSON_DATE, '%Y%m') AS lesson_month, count(*) AS n_rows, CAST(0 AS BIGINT) AS overlaps
+FROM valid GROUP BY 1"""
+SQL["find_mark"] = f"""WITH {_VALID},
+one AS (SELECT {_KEY} FROM valid ORDER BY n LIMIT 1)
+SELECT ID, MARKED_BY, ATTENDANCE_MARK, MARKED_BY_ROLE, {_STORE_TIME} AS DATE_CREATE
+FROM valid JOIN one USING ({_KEY}) ORDER BY {_STORE_TIME} DESC, ID DESC LIMIT 1"""
+_SHARES = """count(*) AS marks,
+       CAST(100 AS DOUBLE) * (CAST(count(CASE WHEN attendance_mark = 1 THEN 1 END) AS DOUBLE)
+         / nullif(count(CASE WHEN attendance_mark IN (0, 1) THEN 1 END), 0)) AS present_pct,
+       CAST(100 AS DOUBLE) * (CAST(count(CASE WHEN attendance_mark = 0 THEN 1 END) AS DOUBLE)
+         / nullif(count(CASE WHEN attendance_mark IN (0, 1) THEN 1 END), 0)) AS absent_pct"""
+SQL["faculty_rollup"] = f"""WITH {_MART}
+SELECT faculty, kafedra, CAST(grouping(faculty, kafedra) AS INTEGER) AS level, {_SHARES}
+FROM mart WHERE teacher_fio IS NOT NULL GROUP BY ROLLUP (faculty, kafedra)"""
+SQL["missing_sample"] = f"""WITH {_RAW},{_PEOPLE},
+wanted AS (
+  SELECT DISTINCT 'student' AS kind, CAST(STUDENT_ID AS VARCHAR) AS id FROM raw
+  UNION SELECT DISTINCT 'teacher', CAST(MARKED_BY AS VARCHAR) FROM raw WHERE MARKED_BY_ROLE IN (2, 3)),
+missing AS (
+  SELECT kind, id, md5(id) AS h FROM wanted
+  WHERE NOT EXISTS (SELECT 1 FROM students WHERE kind = 'student' AND ENRICHED_STUDENT_ID = id)
+    AND NOT EXISTS (SELECT 1 FROM teachers WHERE kind = 'teacher' AND ENRICHED_MARKED_BY = id)),
+least AS (SELECT kind, min(h) AS h FROM missing GROUP BY kind, substr(h, 1, 1)),
+placed AS (SELECT kind, h, row_number() OVER (PARTITION BY kind ORDER BY h) AS place FROM least)
+SELECT kind, id FROM missing JOIN placed USING (kind, h) WHERE place <= 10"""
+
+
+def _cells(report: str, keys: list[str], values: list[str], source: str) -> str:
+    texts = [f"CAST({k} AS VARCHAR)" for k in keys] + ["NULL"] * (3 - len(keys))
+    numbers = [f"CAST({v} AS DOUBLE)" for v in values] + ["CAST(NULL AS DOUBLE)"] * (3 - len(values))
+    return f"SELECT '{report}' AS report, " + ", ".join(
+        [f"{x} AS key_{i}" for i, x in enumerate(texts, 1)] + [f"{x} AS value_{i}" for i, x in enumerate(numbers, 1)]
+    ) + f" FROM ({source})"
+
+
+SQL["stream_reports"] = f"WITH {_STORED_MART}\n" + "\nUNION ALL ".join([
+    _cells("marks_by_group", ["group_short_title", "attendance_mark"], ["marks"],
+           "SELECT group_short_title, attendance_mark, count(*) AS marks FROM mart"
+           " WHERE group_short_title IN ('BUILDING', 'MACHINERY') GROUP BY ALL"),
+    _cells("student_attendance", ["STUDENT_ID", "student_fio", "group_short_title"], ["present", "absent"],
+           "SELECT STUDENT_ID, student_fio, group_short_title, count(CASE WHEN attendance_mark = 1 THEN 1 END) AS present,"
+           " count(CASE WHEN attendance_mark = 0 THEN 1 END) AS absent FROM mart GROUP BY 1, 2, 3"),
+    _cells("marks_on_date", [], ["marks"], "SELECT count(*) AS marks FROM mart WHERE LESSON_DATE = DATE '2024-01-15'"),
+    _cells("marks_by_teacher", ["marked_by", "teacher_fio", "attendance_mark"], ["marks"],
+           "SELECT marked_by, teacher_fio, attendance_mark, count(*) AS marks FROM mart"
+           " WHERE teacher_fio IS NOT NULL GROUP BY 1, 2, 3"),
+    _cells("teacher_attendance_pct", ["marked_by", "teacher_fio", "kafedra"], ["marks", "present_pct", "absent_pct"],
+           f"SELECT marked_by, teacher_fio, kafedra, {_SHARES} FROM mart WHERE teacher_fio IS NOT NULL GROUP BY 1, 2, 3"),
+])

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 RAW_EVENT = """
     ID string, JOURNAL_ID int, STUDENT_ID int, LESSON_DATE string, ATTENDANCE_MARK int,
-    MARKED_BY int, DATE_CREATE string, LESSON_ID int, TYPE_MARK int, NUMBER_CERT int,
+    MARKED_BY bigint, DATE_CREATE string, LESSON_ID bigint, TYPE_MARK int, NUMBER_CERT int,
     MARKED_BY_ROLE int
 """
 
@@ -71,14 +71,14 @@ def names(ddl: str) -> list[str]:
 
 
 RAW_COLUMNS = names(RAW_EVENT)
-RAW_INTS = [f.split()[0] for f in RAW_EVENT.split(",") if f.split()[1] == "int"]
+RAW_INTS = {f.split()[0]: f.split()[1] for f in RAW_EVENT.split(",") if f.split()[1] != "string"}
 STUDENT_COLUMNS = names(STUDENT)[1:]
 TEACHER_COLUMNS = names(TEACHER)[1:]
 OUTPUT_COLUMNS = RAW_COLUMNS + STUDENT_COLUMNS + TEACHER_COLUMNS
 
 # The enriched record as it travels in a message: like the raw event, dates stay text.
 ENRICHED_EVENT = ",".join(
-    [RAW_EVENT.replace("LESSON_ID int", "LESSON_ID bigint")]
+    [RAW_EVENT]
     + [STUDENT.split(",", 1)[1], TEACHER.split(",", 1)[1]]
 )
 
@@ -98,4 +98,5 @@ _STORE_TYPES = {
 STORE_COLUMNS = (
     REQUIRED + STUDENT_COLUMNS + TEACHER_COLUMNS + ["TYPE_MARK", "NUMBER_CERT", "MARKED_BY_ROLE"]
 )
-STORE = ", ".join(f"{c} {_STORE_TYPES.get(c, 'string')}" for c in STORE_COLUMNS)
+STORE_TYPES = {c: _STORE_TYPES.get(c, "string") for c in STORE_COLUMNS}
+STORE = ", ".join(f"{c} {kind}" for c, kind in STORE_TYPES.items())

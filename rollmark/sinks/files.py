@@ -1,49 +1,16 @@
-"""Partition replacement that loses nothing when it is interrupted."""
+"""Files and folders of any file system that Spark knows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) of a path text."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, target = _fs(spark, path)
+    fs, target = file_system(spark, path)
     return fs.exists(target)
-
-
-def staging_of(path: str) -> str:
-    return path.rstrip("/") + "__staging"
-
-
-def finish_replacement(spark: SparkSession, path: str) -> bool:
-    """Put completely staged partitions in place. May be called again at any point: what was
-    moved before is no longer staged, the rest is moved now."""
-    fs, staging = _fs(spark, staging_of(path))
-    if not exists(spark, f"{staging_of(path)}/_SUCCESS"):
-        return False
-    table = _fs(spark, path)[1]
-    fs.mkdirs(table)
-    for status in fs.listStatus(staging):
-        name = status.getPath().getName()
-        if status.isDirectory() and "=" in name:
-            target = _fs(spark, f"{path}/{name}")[1]
-            fs.delete(target, True)
-            if not fs.rename(status.getPath(), target):
-                raise OSError(f"could not put {name} in place below {path}")
-    fs.delete(staging, True)
-    return True
-
-
-def replace_partitions(df: DataFrame, path: str, by: str) -> None:
-    """Replace the partitions that occur in ``df``; others stay.
-
-    The rows are first written beside the table, since ``df`` may read the table itself and
-    since putting them in place is not atomic. If that is interrupted, the next call finishes it
-    before anything reads the table.
-    """
-    df.write.mode("overwrite").partitionBy(by).parquet(staging_of(path))
-    finish_replacement(df.sparkSession, path)

@@ -47,8 +47,8 @@ def to_raw_events(events: DataFrame) -> DataFrame:
         "CAST(ts AS DATE) AS LESSON_DATE",
         "CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 0 WHEN 'purchase' THEN 2"
         " WHEN 'signup' THEN 3 ELSE 9 END AS ATTENDANCE_MARK",
-        "CAST(CASE WHEN event_id % 4 >= 2 THEN event_id % 120"
-        " WHEN event_id % 4 = 1 THEN user_id + 1 ELSE user_id END AS INT) AS MARKED_BY",
+        "CASE WHEN event_id % 131 = 7 THEN 3000000000 + event_id % 3 WHEN event_id % 4 >= 2 THEN event_id % 120"
+        " WHEN event_id % 4 = 1 THEN user_id + 1 ELSE user_id END AS MARKED_BY",
         "ts AS DATE_CREATE",
         "CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS BIGINT) * 10 + 1"
         " + CAST(get_json_object(props, '$.k') AS INT) % 3 AS LESSON_ID",
@@ -173,18 +173,36 @@ def school(spark: SparkSession, sf_dir: str) -> School:
     )
 
 
-def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as mark requests in text form. Some lack a field, some name a wrong day."""
-    return raw_events(spark, sf_dir).withColumn("n", F.col("ID").cast("bigint")).selectExpr(
+def to_requests(raw: DataFrame) -> DataFrame:
+    """Raw events as mark requests in text form. Some lack a field or all of them, some name a wrong day,
+    an id that fits no event, or come from nobody known; days come in all forms that are accepted."""
+    odd = "n % 211 = 0"
+    return raw.withColumn("n", F.col("ID").cast("bigint")).selectExpr(
         "ID AS request_id",
-        "CASE WHEN n % 101 <> 0 THEN CAST(JOURNAL_ID AS STRING) END AS journalId",
-        "CASE WHEN n % 103 = 0 THEN 'none' ELSE CAST(STUDENT_ID AS STRING) END AS userId",
-        "CAST(LESSON_ID AS STRING) AS lessonId",
-        "CAST(ATTENDANCE_MARK AS STRING) AS attendance",
-        "CASE WHEN n % 10 = 7 THEN CAST(date_add(LESSON_DATE, 1) AS STRING)"
+        f"CASE WHEN n % 101 <> 0 AND NOT {odd} THEN CAST(JOURNAL_ID AS STRING) END AS journalId",
+        f"CASE WHEN {odd} THEN NULL WHEN n % 103 = 0 THEN 'none' WHEN n % 113 = 0 THEN '3000000000'"
+        " ELSE CAST(STUDENT_ID AS STRING) END AS userId",
+        f"CASE WHEN {odd} THEN NULL WHEN n % 107 = 0 THEN 'x1' ELSE CAST(LESSON_ID AS STRING) END AS lessonId",
+        f"CASE WHEN NOT {odd} THEN CAST(ATTENDANCE_MARK AS STRING) END AS attendance",
+        f"CASE WHEN {odd} THEN NULL WHEN n % 10 = 7 THEN CAST(date_add(LESSON_DATE, 1) AS STRING)"
+        " WHEN n % 12 = 0 THEN date_format(LESSON_DATE, 'dd.MM.yyyy')"
+        " WHEN n % 9 = 0 THEN concat(CAST(LESSON_DATE AS STRING), ' 09:30:00')"
         " WHEN n % 3 = 0 THEN CAST(LESSON_DATE AS STRING) END AS lessonDate",
-        "CAST(MARKED_BY AS BIGINT) AS requester_id",
-        "CAST(MARKED_BY AS BIGINT) AS requester_dean_id",
-        "CASE WHEN MARKED_BY_ROLE >= 2 THEN 'employee' ELSE 'student' END AS requester_kind",
+        "CASE WHEN n % 127 = 0 THEN 5000000000 ELSE MARKED_BY END AS requester_id",
+        "CASE WHEN n % 127 = 0 THEN 5000000000 ELSE MARKED_BY END AS requester_dean_id",
+        "CASE WHEN n % 109 = 0 THEN 'guest' WHEN MARKED_BY_ROLE >= 2 THEN 'employee' ELSE 'student' END"
+        " AS requester_kind",
         "DATE_CREATE AS requested_at",
     )
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return to_requests(raw_events(spark, sf_dir))
+
+
+def request_messages(requests: DataFrame) -> DataFrame:
+    """Requests as (key, value) messages, as they reach the admission job."""
+    fields = [
+        micros_text(F.col(c)).alias(c) if kind.startswith("timestamp") else F.col(c) for c, kind in requests.dtypes
+    ]
+    return requests.select(F.col("request_id").alias("key"), F.to_json(F.struct(*fields)).alias("value"))

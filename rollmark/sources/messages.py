@@ -14,6 +14,14 @@ _CORRUPT = "_malformed"
 _AS_TEXT = ", ".join(f"{c} string" for c in [*RAW_COLUMNS, _CORRUPT])
 
 
+# The fields of a mark request as it is sent.
+REQUEST = """
+    request_id string, journalId string, userId string, lessonId string, attendance string,
+    lessonDate string, requester_id bigint, requester_dean_id bigint, requester_kind string,
+    requested_at timestamp_ntz
+"""
+
+
 def read_messages(
     spark: SparkSession, fmt: str, *, stream: bool = False, schema: str | None = None, **options: str
 ) -> DataFrame:
@@ -43,7 +51,7 @@ def decode_events(messages: DataFrame, value: str = "value") -> tuple[DataFrame,
     parsed = messages.select(*others, F.inline(F.array(record)))
 
     events = parsed.filter(F.col("ID").isNotNull()).select(
-        *[F.col(c).try_cast("int").alias(c) if c in RAW_INTS else F.col(c) for c in RAW_COLUMNS]
+        *[F.col(c).try_cast(RAW_INTS[c]).alias(c) if c in RAW_INTS else F.col(c) for c in RAW_COLUMNS]
     )
     rejects = parsed.filter(F.col("ID").isNull()).select(
         *others,
@@ -53,3 +61,21 @@ def decode_events(messages: DataFrame, value: str = "value") -> tuple[DataFrame,
         .otherwise("no_id").alias("reason"),
     )
     return events, rejects
+
+
+def decode_requests(messages: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(requests, rejects): mark requests with their typed fields, and the messages that are no request,
+    with a ``reason``. A field that does not fit its type is NULL and costs only itself."""
+    text = F.col(value).cast("string")
+    fields = [f.split() for f in REQUEST.split(",")]
+    record = F.from_json(text, ", ".join(f"{n} string" for n, _ in fields) + f", {_CORRUPT} string",
+                         {"columnNameOfCorruptRecord": _CORRUPT})
+    parsed = messages.select(F.col(value).alias("_value"), F.inline(F.array(record)))
+    usable = F.col("request_id").isNotNull() & F.col(_CORRUPT).isNull()
+    requests = parsed.filter(usable).select(*[F.col(n).try_cast(kind).alias(n) for n, kind in fields])
+    rejects = parsed.filter(~usable).select(
+        F.coalesce("request_id", F.col("_value").cast("string")).alias("key"),
+        F.when(F.col("_value").isNull(), "no_value")
+        .when(F.col(_CORRUPT).isNotNull(), "malformed_json").otherwise("no_id").alias("reason"),
+    )
+    return requests, rejects

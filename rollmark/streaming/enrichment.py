@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rollmark.operators.enrich import STUDENT_KEY, TEACHER_KEY, with_people
-from rollmark.operators.metrics import observe_stage
+from rollmark.operators.metrics import observe_stage, sampled_ids
 from rollmark.schemas import OUTPUT_COLUMNS
 from rollmark.sinks.messages import to_messages
 from rollmark.sources.messages import decode_events
+from rollmark.streaming.late import LateRows
 from rollmark.streaming.run import start_batches
 from rollmark.streaming.snapshot import DirectorySnapshot
 
@@ -58,7 +60,9 @@ def start_enrichment(
     """Decode, dedupe and enrich messages; ``sink(messages, batch_id)`` writes the result.
 
     Each batch is one plan with one action, the write; the counts given to ``on_metrics`` are
-    taken while the rows pass.
+    taken while the rows pass, and so are up to ten ids each of the students and teachers that the
+    directory lacks. With a watermark it also gets, once a batch is done, how many of its
+    rows came too late and were dropped, as ``late``.
     """
     events, _ = decode_events(messages)
     events = dedupe_stream(events, watermark=watermark)
@@ -72,12 +76,18 @@ def start_enrichment(
             student_missing=F.count_if(F.col(STUDENT_KEY).isNotNull() & ~F.col("student_found")),
             teacher_found=F.count_if("teacher_found"),
             teacher_missing=F.count_if(F.col(TEACHER_KEY).isNotNull() & ~F.col("teacher_found")),
+            missing_students=sampled_ids(F.col(STUDENT_KEY), ~F.col("student_found")),
+            missing_teachers=sampled_ids(F.col(TEACHER_KEY), ~F.col("teacher_found")),
         )
         sink(to_messages(rows.select(*OUTPUT_COLUMNS)), batch_id)
         if on_metrics is not None:
             on_metrics(batch_id, seen.get)
 
-    return start_batches(events, on_batch, checkpoint, every=every)
+    name = None
+    if watermark is not None and on_metrics is not None:
+        name = f"enrich-{uuid.uuid4().hex}"
+        messages.sparkSession.streams.addListener(LateRows(name, on_metrics))
+    return start_batches(events, on_batch, checkpoint, every=every, name=name)
 
 
 def start_rejects(

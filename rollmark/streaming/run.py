@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -32,13 +32,27 @@ def start_batches(
     *,
     every: str | None = None,
     name: str | None = None,
+    mode: str = "append",
 ) -> StreamingQuery:
     """Call ``on_batch`` for every micro-batch: at the given interval, or for all available data
     and then stop. An error in a batch stops the query; a restart with the same checkpoint runs
     that batch again."""
-    writer = stream.writeStream.foreachBatch(on_batch).outputMode("append")
+    writer = stream.writeStream.foreachBatch(on_batch).outputMode(mode)
     writer = writer.option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**trigger).start()
+
+
+def supervise(queries: Sequence[StreamingQuery], poll_seconds: float = 0.5) -> None:
+    """Wait until all queries of a job are done. When one fails, the others are stopped at once and its
+    error is raised, so a job is never alive with a dead query."""
+    waiting = list(queries)
+    try:
+        while waiting:
+            waiting = [q for q in waiting if not q.awaitTermination(poll_seconds / len(waiting))]
+    finally:
+        for query in queries:
+            if query.isActive:
+                query.stop()

@@ -10,9 +10,12 @@ from pyspark.sql.streaming import StreamingQuery
 from rollmark.operators.conform import conform_enriched
 from rollmark.operators.dedupe import dedupe_events
 from rollmark.schemas import ENRICHED_EVENT
-from rollmark.sinks.history import append_new
-from rollmark.sinks.latest import upsert_latest
-from rollmark.streaming.run import start_batches
+from rollmark.sinks.history import append_history, compact_history
+from rollmark.sinks.latest import compact_latest, upsert_latest
+from rollmark.streaming.run import query_id, start_batches
+
+# Batches after which the partitions that several of them touched are merged.
+MERGE_EVERY = 16
 
 
 def _decoded(messages: DataFrame, value: str) -> DataFrame:
@@ -39,30 +42,37 @@ Sink = Callable[[DataFrame, int], None]
 
 
 def _start(
-    messages: DataFrame, write: Callable[[DataFrame], None], checkpoint: str, every: str | None,
-    rejects: Sink | None, conform: dict,
+    messages: DataFrame, path: str, add: Callable[..., None], merge: Callable[..., object], checkpoint: str,
+    every: str | None, rejects: Sink | None, merge_every: int, conform: dict,
 ) -> StreamingQuery:
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         rows, refused = store_rows(batch, **conform)
-        write(rows)
+        add(rows, path, query_id(spark, checkpoint), batch_id)
         if rejects is not None:
             rejects(refused, batch_id)
+        if batch_id % merge_every == merge_every - 1:
+            merge(spark, path, 2)
 
     return start_batches(messages, on_batch, checkpoint, every=every)
 
 
 def start_history(
     messages: DataFrame, path: str, checkpoint: str, *, every: str | None = None, rejects: Sink | None = None,
-    **conform,
+    merge_every: int = MERGE_EVERY, **conform,
 ) -> StreamingQuery:
     """Append enriched messages to the history, each ID once; ``rejects(rows, batch_id)`` gets the
-    messages that the store cannot hold."""
-    return _start(messages, lambda rows: append_new(dedupe_events(rows), path), checkpoint, every, rejects, conform)
+    messages that the store cannot hold. A batch writes its own rows and reads nothing of the history."""
+
+    def add(rows: DataFrame, *where) -> None:
+        append_history(dedupe_events(rows), *where)
+
+    return _start(messages, path, add, compact_history, checkpoint, every, rejects, merge_every, conform)
 
 
 def start_mart(
     messages: DataFrame, path: str, checkpoint: str, *, every: str | None = None, rejects: Sink | None = None,
-    **conform,
+    merge_every: int = MERGE_EVERY, **conform,
 ) -> StreamingQuery:
-    """Keep the latest-state table up to date from enriched messages; ``rejects`` as above."""
-    return _start(messages, lambda rows: upsert_latest(rows, path), checkpoint, every, rejects, conform)
+    """Keep the latest-state table up to date from enriched messages; ``rejects`` and costs as above."""
+    return _start(messages, path, upsert_latest, compact_latest, checkpoint, every, rejects, merge_every, conform)

@@ -7,7 +7,7 @@ from rollmark.schemas import OUTPUT_COLUMNS, RAW_EVENT
 
 EVENT = RAW_EVENT.replace("DATE_CREATE string", "DATE_CREATE timestamp_ntz").replace(
     "LESSON_DATE string", "LESSON_DATE date"
-).replace("LESSON_ID int", "LESSON_ID bigint")
+)
 NAMES = [f.split()[0] for f in EVENT.split(",")]
 START = datetime(2024, 3, 4, 9, 0)
 

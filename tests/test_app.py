@@ -12,6 +12,7 @@ from rollmark.sinks.history import find_mark, read_history
 from rollmark.sinks.messages import to_messages, write_messages
 from rollmark.sources.directory import read_directory
 from rollmark.sources.school import TABLES, read_school
+from rollmark.streaming.run import supervise
 from rows import frame, message, random_events
 
 DOCUMENTS = [
@@ -29,10 +30,10 @@ def test_from_marks_to_sql(spark):
     spark.createDataFrame([(d,) for d in DOCUMENTS], "value string").write.text(p["docs"])
 
     def run(job, source, *more):
-        app.start(spark, [
+        supervise(app.start(spark, [
             job, "--checkpoint", scratch_path(spark, "cp"), "--source", "parquet", "--sink", "parquet",
             "--source-option", f"path={p[source]}", *more,
-        ]).awaitTermination()
+        ]))
 
     run("settle", "raw", "--sink-option", f"path={p['accepted']}", "--table", p["standing"], "--rejects", p["rejects"])
     run("enrich", "accepted", "--sink-option", f"path={p['enriched']}", "--directory", p["docs"],
@@ -72,8 +73,14 @@ def test_directory_and_school_files(spark):
     assert sorted(flat[0].collect(), key=str) == sorted(flat[1].collect(), key=str)
 
     root = scratch_path(spark, "school")
+    filled = {
+        "lessons": [(10, date(2024, 3, 4), 2, 1, False), (11, None, None, 9, True)],
+        "responsible_teachers": [(1, 3_000_000_000)], "responsible_students": [(1, 60), (None, 61)],
+        "grants": [(902, 1, "granted"), (60, 1, "group")], "dean_office": [(900,)],
+    }
     for name, ddl in TABLES.items():
-        spark.createDataFrame([], ddl).write.parquet(f"{root}/{name}")
+        spark.createDataFrame(filled[name], ddl).write.parquet(f"{root}/{name}")
     school = read_school(spark, root)
     assert school.lessons.columns == ["ID", "DATE", "TYPE_ID", "NUMBER", "BLOCKED"]
-    assert school.grants.count() == 0
+    for name in TABLES:
+        assert sorted((tuple(r) for r in getattr(school, name).collect()), key=str) == sorted(filled[name], key=str)

@@ -24,19 +24,21 @@ def decode(spark, values):
 def test_decode(spark):
     values = [
         json.dumps(GOOD),
-        json.dumps({**GOOD, "ID": "b", "MARKED_BY": 77}),
-        json.dumps({**GOOD, "ID": "c", "MARKED_BY": 2**40, "STUDENT_ID": 5.5, "JOURNAL_ID": "x"}),
+        json.dumps({**GOOD, "ID": "b", "MARKED_BY": 77, "LESSON_ID": 3_000_000_000}),
+        json.dumps({**GOOD, "ID": "big", "MARKED_BY": 3_000_000_000}),
+        json.dumps({**GOOD, "ID": "c", "MARKED_BY": 2**70, "STUDENT_ID": 5.5, "JOURNAL_ID": "x"}),
         "{bad", "", None, json.dumps({k: v for k, v in GOOD.items() if k != "ID"}), "[]",
     ]
     events, rejects = decode(spark, values)
-    assert set(events) == {"a", "b", "c"}
+    assert set(events) == {"a", "b", "big", "c"}
+    assert events["b"]["LESSON_ID"] == events["big"]["MARKED_BY"] == 3_000_000_000
     assert events["a"]["MARKED_BY"] == 55 and events["b"]["MARKED_BY"] == 77
     assert events["a"]["NUMBER_CERT"] is None
     assert events["a"]["DATE_CREATE"] == GOOD["DATE_CREATE"]
     assert [events["c"][c] for c in ("MARKED_BY", "STUDENT_ID", "JOURNAL_ID")] == [None] * 3
     assert events["c"]["LESSON_ID"] == 9001
-    assert rejects["k3"] == "malformed_json" and rejects["k4"] == "empty_value"
-    assert rejects["k5"] == "no_value" and rejects["k6"] == "no_id"
+    assert rejects["k4"] == "malformed_json" and rejects["k5"] == "empty_value"
+    assert rejects["k6"] == "no_value" and rejects["k7"] == "no_id"
     assert len(events) + len(rejects) == len(values)
 
 

@@ -45,12 +45,14 @@ LEAF, FANOUT, CHUNK = 32, 4, 2048
 MORE = 16
 #: Members by which a point is dealt in the first round.
 FIRST = 2
+#: Classes whose ids are sent to all tasks to find their texts; of more, texts are shuffled.
+SENT = 1_000_000
 #: Rounds in which each point keeps its best partners only, after the first.
 ROUNDS = 1
 
 _SALTS = np.array([0x452821E638D01377, 0xBE5466CF34E90C6C, 0xC0AC29B7C97C50DD], np.uint64)
 #: A count that does not fit stands for any number.
-_MANY = np.iinfo(np.uint16).max
+_MANY = np.iinfo(np.uint8).max
 
 
 def _bucket(members: np.ndarray) -> np.ndarray:
@@ -93,7 +95,7 @@ def _pointed(size: int, percent: int, levels: np.ndarray):
                         marks[owner[at], c] = np.add.reduceat(t.mix(sets ^ _SALTS[c]), at)
                 group = (t.mix(sets) & np.uint64(GROUPS - 1)).astype(np.int64)
                 points = np.bincount(owner * GROUPS + group, minlength=(j - i) * GROUPS)
-                points = np.minimum(points, _MANY).astype(np.uint16)
+                points = np.minimum(points, _MANY).astype(np.uint8)
                 order = np.lexsort((sets, levels[_bucket(sets)], owner))
                 begins = np.concatenate([[0], np.cumsum(n)])
                 place = np.arange(len(sets)) - begins[owner]
@@ -109,7 +111,7 @@ def _pointed(size: int, percent: int, levels: np.ndarray):
                         np.concatenate([[0], np.cumsum(dealt)]).astype(np.int32), first.view(np.int64)),
                     "point": pa.Array.from_buffers(
                         pa.binary(), j - i,
-                        [None, pa.py_buffer(np.arange(j - i + 1, dtype=np.int32) * (2 * GROUPS)), pa.py_buffer(points)]),
+                        [None, pa.py_buffer(np.arange(j - i + 1, dtype=np.int32) * GROUPS), pa.py_buffer(points)]),
                 })
 
     return run
@@ -236,7 +238,7 @@ def _joined(percent: int, all_pairs: bool):
     def pairs(rows: pa.Table) -> pa.RecordBatch:
         dealt, rep, n, component, side = (
             rows.column(c).to_numpy() for c in ("dealt", "rep", "n", "component", "side"))
-        counts = np.frombuffer(b"".join(rows.column("point").to_pylist()), np.uint16).reshape(-1, GROUPS)
+        counts = np.frombuffer(b"".join(rows.column("point").to_pylist()), np.uint8).reshape(-1, GROUPS)
         join = _Join(percent, counts, n, component, side)
         begin = t.segment_starts(dealt)
         size = np.diff(np.append(begin, len(dealt)))
@@ -310,7 +312,10 @@ class _Verify:
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
         if self.sets is not None:
             nodes = nodes.join(self.sets, "rep", "left_anti")
-        texts = self.docs.join(nodes, self.docs["doc_id"] == nodes["rep"], "left_semi")
+        nodes = self.scratch.stored(nodes, "nodes")
+        few = nodes.count() <= SENT
+        texts = self.docs.join(
+            F.broadcast(nodes) if few else nodes, self.docs["doc_id"] == nodes["rep"], "left_semi")
         made = texts.mapInArrow(_sets(self.size), "rep bigint, members binary").distinct()
         new = self.scratch.stored(made, "member-sets")
         self.sets = new if self.sets is None else self.sets.unionByName(new)
@@ -326,18 +331,26 @@ def _shared_members(each: DataFrame) -> DataFrame:
     return each.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("member"))).filter("k > 1")
 
 
-def _posted(classes: DataFrame, percent: int) -> DataFrame:
-    """(member, rep): the members that each class's point is dealt by. What similar sets share at least
-    follows from the smaller size that a partner may have."""
+def _posted(pointed: DataFrame, percent: int) -> DataFrame:
+    """(member, rep, n, point, first): the members that each class's point is dealt by; `first` marks those
+    of the first round. What similar sets share at least follows from the smaller size that a partner may have."""
+    classes = pointed.filter("n_shingles > 0 and doc_id is not null").groupBy("set_lo", "set_hi").agg(
+        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("members").alias("members"))
     least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100) / MORE)).cast("int")
-    each = classes.select("rep", "n", F.explode("members").alias("member"))
+    each = classes.select("rep", F.col("n").cast("int").alias("n"), F.explode("members").alias("member"))
     for last in (False, True):  # classes that are done take partners from others
         own = _shared_members(each).groupBy("rep").agg(
             F.min("n").alias("n"), F.sort_array(F.collect_list(F.struct("k", "member"))).alias("m"))
-        kept = F.slice("m", 1, F.size("m") - least + 1) if last else F.col("m")
-        each = own.filter(F.size("m") >= least).select("rep", "n", F.explode(kept).alias("m")).select(
-            "rep", "n", "m.member")
-    return _shared_members(each.drop("n").distinct()).drop("k")
+        own = own.filter(F.size("m") >= least)
+        if not last:
+            each = own.select("rep", "n", F.explode("m.member").alias("member"))
+    kept = own.select("rep", F.slice("m", 1, F.size("m") - least + 1)["member"].alias("m"))
+    marked = F.transform("m", lambda x: F.struct(
+        x.alias("member"), F.array_contains(F.slice(F.sort_array("m"), 1, FIRST), x).alias("first")))
+    dealt = _shared_members(kept.select("rep", F.inline(marked)).distinct()).drop("k")
+    shapes = pointed.filter("n_shingles > 0").select(
+        F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "point").distinct()
+    return dealt.join(shapes, "rep").select("member", "rep", "n", "point", "first")
 
 
 def _chunked(posted: DataFrame, chunk: int) -> DataFrame:
@@ -347,8 +360,8 @@ def _chunked(posted: DataFrame, chunk: int) -> DataFrame:
     return posted.join(many, "member", "left").withColumn("part", part).drop("parts")
 
 
-def _round(posted: DataFrame, classes: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
-    """Surviving pairs of posted (member, rep, component, part): within chunks, or between all."""
+def _round(posted: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
+    """Surviving pairs of posted (member, rep, n, point, component, part): within chunks, or between all."""
     own = posted.withColumns({"dealt": F.xxhash64("member", "part"), "side": F.lit(0)})
     if all_pairs:
         # Chunks that are one component, the same one, have nothing to find; few members have chunks.
@@ -362,35 +375,31 @@ def _round(posted: DataFrame, classes: DataFrame, percent: int, all_pairs: bool)
             F.struct(F.col("y.part").alias("part"), F.lit(2).alias("side"))))
         met = two.select("member", F.xxhash64("member", "x.part", "y.part").alias("dealt"), ends.alias("e"))
         own = own.unionByName(posted.join(met.select("member", "dealt", "e.*"), ["member", "part"]))
-    rows = own.join(classes.select("rep", "n", "point"), "rep").select("dealt", "rep", "n", "component", "side", "point")
+    rows = own.select("dealt", "rep", "n", "component", "side", "point")
     rows = rows.repartition("dealt").sortWithinPartitions("dealt")
     return rows.mapInArrow(_joined(percent, all_pairs), "a bigint, b bigint").distinct()
 
 
 def linked_classes(
-    scratch: Scratch, docs: DataFrame, classes: DataFrame, size: int, percent: int, chunk: int, rounds: int
+    scratch: Scratch, docs: DataFrame, pointed: DataFrame, size: int, percent: int, chunk: int, rounds: int
 ) -> DataFrame:
-    """(node, component) of the classes (rep, n, members, point) that have a similar one."""
-    posted = scratch.stored(_posted(classes, percent), "posted")
+    """(node, component) of the classes that have a similar one, named by their smallest doc_id."""
+    posted = scratch.stored(_posted(pointed, percent), "posted")
     verify = _Verify(scratch, docs, size, percent)
     found = docs.sparkSession.createDataFrame([], "node bigint, component bigint")
     tried = None
     for turn in range(rounds + 2):
         last = turn == rounds + 1
-        now = posted
-        if turn == 0:
-            few = now.groupBy("rep").agg(F.slice(F.sort_array(F.collect_list("member")), 1, FIRST).alias("member"))
-            now = few.select("rep", F.explode("member").alias("member"))
+        now = posted.filter("first") if turn == 0 else posted
         now = now.join(found, F.col("rep") == F.col("node"), "left").select(
-            "member", "rep", F.coalesce("component", "rep").alias("component"))
-        mixed = now.groupBy("member").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        now = now.join(mixed.filter("low < high").select("member"), "member", "left_semi")
-        now = scratch.stored(_chunked(now, chunk), "dealt")
-        pairs = _round(now, classes, percent, last)
+            "member", "rep", "n", "point", F.coalesce("component", "rep").alias("component"))
+        if turn:
+            mixed = now.groupBy("member").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+            now = now.join(mixed.filter("low < high").select("member"), "member", "left_semi")
+        pairs = _round(_chunked(now, chunk), percent, last)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = scratch.stored(pairs, "pairs")
-        scratch.drop(now)
         if pairs.isEmpty():
             continue
         tried = pairs if tried is None else tried.unionByName(pairs)
@@ -423,14 +432,10 @@ def ngram_join(
     own = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     levels = frequency_levels(own.select("text"), words)
     pointed = scratch.stored(points(own, words, percent, levels), "points")
-    classes = scratch.stored(
-        pointed.filter("n_shingles > 0 and doc_id is not null").groupBy("set_lo", "set_hi").agg(
-            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("members").alias("members"),
-            F.first("point").alias("point"),
-        ), "classes",
-    )
-    found = linked_classes(scratch, own, classes, words, percent, chunk, rounds)
-    scratch.drop_all(pointed, classes, found)
+    found = linked_classes(scratch, own, pointed, words, percent, chunk, rounds)
+    classes = pointed.filter("n_shingles > 0 and doc_id is not null").groupBy("set_lo", "set_hi").agg(
+        F.min("doc_id").alias("rep"))
+    scratch.drop_all(pointed, found)
     named = classes.join(found, F.col("rep") == F.col("node"), "left").select(
         "set_lo", "set_hi", F.coalesce("component", "rep").alias("class_component"))
     out = pointed.select("doc_id", "n_shingles", "set_lo", "set_hi").join(named, ["set_lo", "set_hi"], "left")

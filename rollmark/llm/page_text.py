@@ -10,12 +10,14 @@
 4. Template tokens cut a page into slots, which hold what differs between pages. Text in slots is
    kept, template text is not. Inside an article or main element, where passages may be shared by
    chance, it stays unless it is on nearly all pages in a place of its own: one whose path holds no
-   text that differs. Slots in the page's furniture (menus, headers, footers, side columns, adverts,
-   notices, forms, comments), told by element and by class or id, and slots of links alone are dropped.
-5. Article and main elements are a hint: text outside them goes only if it is short beside theirs.
+   text that differs. Slots of links alone are dropped. Slots that bear a name of furniture (menus, headers,
+   footers, side columns, adverts, notices, forms, comments), by element, class or id, are dropped; but
+   where no article tells the text, a class or id does not outweigh most of the text that differs.
+5. Article and main elements are a hint: text outside them goes only if it is short beside theirs, and
+   the name of something around them says nothing about them.
 
 The pages of a host are never brought together; a host's template is a bounded list, as each of its
-tokens is on a fixed share of the pages.
+tokens is on a fixed share of the pages. Pages of large hosts meet copies of it in many tasks.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ SUPPORT, FEWEST = 0.3, 3
 SIZE = 2
 #: Share of a host's pages from which a class is on nearly all.
 EVERYWHERE = 0.9
+#: Pages of a large host that are joined to its template in one task.
+PART = 2000
 #: Text outside article and main elements goes if it is no longer than this part of theirs.
 BESIDE = 0.5
 
@@ -52,11 +56,14 @@ BLOCK = set(
     "section summary table tbody td tfoot th thead tr ul".split()
 )
 MAIN = {"article", "main"}
+#: A class or id that as a whole says furniture, with words that say where or what kind.
 NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|sidebar|side-?bar|aside|"
+    r"(?:(?:site|page|main|top|bottom|left|right|post|entry|article|global|primary|secondary|user|reader)[-_]?)?"
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|sidebar|side-bar|aside|"
     r"footer|header|masthead|cookies?|consent|gdpr|notice|popup|modal|overlay|newsletter|subscribe|signup|login|"
     r"share|sharing|social|related|recommend\w*|comments?|disqus|replies|respond|pagination|pager|toolbar|"
-    r"widget|skip|hidden|alert)(?:$|[\s_-])", re.I,
+    r"widget|skip|hidden|alert)"
+    r"(?:[-_]?(?:\d+|list|bar|box|area|wrap|wrapper|container|section|block|links?|menu|nav|content|item|items))*", re.I,
 )
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu"}
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -66,7 +73,7 @@ _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)",
     re.S,
 )
-_ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|$)""", re.I)
+_ATTR = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|$)""", re.I)
 _WHITE = re.compile(r"\s+")
 
 
@@ -75,7 +82,8 @@ class Element:
     name: str
     path: str
     main: bool
-    furniture: bool
+    furniture: bool  #: by element or role
+    named: bool  #: by class or id
     unseen: bool
     link: bool
 
@@ -87,6 +95,7 @@ class Run:
     path: str
     main: bool
     furniture: bool
+    named: bool
     parts: list[str] = field(default_factory=list)
     linked: int = 0
 
@@ -99,19 +108,22 @@ def _opened(name: str, attributes: str, top: Element) -> Element:
     for m in _ATTR.finditer(attributes):
         named.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
     label = f"{named.get('class', '')} {named.get('id', '')}".strip()
-    main = top.main or name in MAIN or named.get("role") == "main"
+    enters = not top.main and (name in MAIN or named.get("role") == "main")
+    main = top.main or enters
     furniture = top.furniture or name in FURNITURE or (name == "header" and not top.main)
     furniture = furniture or named.get("role", "").lower() in ROLES or named.get("aria-hidden") == "true"
     furniture = furniture or "hidden" in named
+    says = top.named and not enters
     if name not in ("html", "body", "article", "main") and label:
-        furniture = furniture or bool(NAMES.search(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", label)))
+        parts = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", label).split()
+        says = says or any(NAMES.fullmatch(part) for part in parts)
     here = f"{top.path}/{name}" + (f".{label}" if label else "")
-    return Element(name, here, main, furniture, top.unseen or name in UNSEEN, top.link or name == "a")
+    return Element(name, here, main, furniture, says, top.unseen or name in UNSEEN, top.link or name == "a")
 
 
 def tokens(page: str) -> Iterator[tuple[str, Run | None]]:
     """(token, None) for each tag and (token, run) for each block's text, in page order."""
-    stack = [Element("", "", False, False, False, False)]
+    stack = [Element("", "", False, False, False, False, False)]
     run: Run | None = None
     at, n = 0, len(page)
     raw = re.compile("")
@@ -129,12 +141,12 @@ def tokens(page: str) -> Iterator[tuple[str, Run | None]]:
             return
         block = next((e for e in reversed(stack) if e.name in BLOCK or not e.name), stack[0])
         if run is None:
-            run = Run(block.path, top.main, top.furniture)
-        elif run.furniture != top.furniture or run.main != top.main:
+            run = Run(block.path, top.main, top.furniture, top.named)
+        elif (run.furniture, run.named, run.main) != (top.furniture, top.named, top.main):
             if not text.strip():
                 return
             ready.append(run)
-            run = Run(block.path, top.main, top.furniture)
+            run = Run(block.path, top.main, top.furniture, top.named)
         text = entities.unescape(text)
         run.parts.append(text)
         run.linked += top.link * len(text.strip())
@@ -271,15 +283,22 @@ def page_text(page: str, template: dict[int, int]) -> str:
     read = list(tokens(page))
     marks = [_mark(token) for token, _ in read]
     fixed = _template_places(marks, template)
-    varying = {run.path for place, (_, run) in enumerate(read)
-               if run is not None and run.main and not run.furniture and place not in fixed}
+    differing = [(place, run) for place, (_, run) in enumerate(read)
+                 if run is not None and not run.furniture and place not in fixed]
+    # A name is a weak sign: without an article, it does not outweigh most of the text that differs.
+    own = sum(len(run.text()) - run.linked for _, run in differing if run.named)
+    rest = sum(len(run.text()) - run.linked for _, run in differing if not run.named)
+    outweighed = own > rest and not any(run.main for _, run in differing)
+    varying = {run.path for _, run in differing if run.main and not run.named}
     main: list[str] = []
     anywhere: list[str] = []
     slot: list[tuple[Run, str]] = []
 
     def stays(place: int, run: Run) -> bool:
-        if run.furniture or place not in fixed:
-            return not run.furniture
+        if run.furniture or (run.named and not outweighed):
+            return False
+        if place not in fixed:
+            return True
         # if no text of the article differs, it cannot be told from the template
         return run.main and (not varying or run.path in varying or template[marks[place]] % 2 == 0)
 
@@ -327,6 +346,21 @@ def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
         F.col(page_id).cast("bigint").alias("page_id"), F.col(url).cast("string").alias("url"),
         F.col(html).cast("string").alias("html"),
     ).withColumn("host", F.lower(F.coalesce(F.regexp_extract("url", r"://([^/?#]*)", 1), F.lit(""))))
-    templates = host_templates(own.select("host", F.xxhash64("page_id", "url", "html").alias("page"), "html"), **options)
-    joined = own.join(templates, "host", "left").select("page_id", "url", "html", "template")
+    own = own.withColumn("page", F.xxhash64("page_id", "url", "html"))
+    templates = host_templates(own.select("host", "page", "html"), **options)
+    large = _large_hosts(own)
+    known = F.create_map(*[F.lit(x) for pair in large.items() for x in pair])
+    parts = F.coalesce(F.element_at(known, F.col("host")), F.lit(1)) if large else F.lit(1)
+    own = own.withColumn("part", F.pmod("page", parts).cast("int"))
+    templates = templates.withColumn("part", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))))
+    joined = own.join(templates, ["host", "part"], "left").select("page_id", "url", "html", "template")
     return joined.mapInPandas(_extracted, "page_id bigint, url string, text string, n_chars bigint")
+
+
+def _large_hosts(pages: DataFrame) -> dict[str, int]:
+    """Hosts with more than a two-hundredth of all pages, and of a task's, and the parts that their pages
+    are cut into: at most 200 hosts, whatever the table."""
+    counts = pages.groupBy("host").agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    large = counts.filter(F.col("n") > max(PART, total // 200)).collect()
+    return {r["host"]: -(-r["n"] // PART) for r in large}

@@ -51,7 +51,8 @@ def op4_attention_lm(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op5_url_templates(spark: SparkSession, d: str) -> DataFrame:
-    return url_templates.judge(_table(spark, d, "pages").select("page_id", "url"), URL_RULES).drop("url")
+    judged = url_templates.judge(_table(spark, d, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template")
 
 
 def op6_page_text(spark: SparkSession, d: str) -> DataFrame:
@@ -84,8 +85,9 @@ def op10_secrets(spark: SparkSession, d: str) -> DataFrame:
     def count(kind):
         return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
 
-    return found.select("doc_id", count("assign"), count("access"), count("hex"), count("guess"),
-                        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"),
+                        count("guess"))
 
 
 def op11_fill_middle(spark: SparkSession, d: str) -> DataFrame:

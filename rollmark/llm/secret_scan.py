@@ -80,6 +80,11 @@ def guesses(value: str) -> float:
     walk = _runs(low, _near)
     up = _runs(value, lambda a, b: ord(b) - ord(a) == 1)
     down = _runs(value, lambda a, b: ord(a) - ord(b) == 1)
+    # Turns of a walk up to each character: its step along the row is not the step before.
+    steps = [_KEY_AT[b][0] - _KEY_AT[a][0] if _near(a, b) else 0 for a, b in zip(low, low[1:])]
+    turned = [0, 0]
+    for one, other in zip(steps, steps[1:]):
+        turned.append(turned[-1] + (one != other))
     best = [0.0]
     for j in range(1, len(value) + 1):
         cost = best[j - 1] + brute
@@ -88,10 +93,7 @@ def guesses(value: str) -> float:
                 cost = min(cost, best[i] + n + log10(j - i))
         i = walk[j - 1]
         if j - i >= 4:
-            turns = sum(
-                _KEY_AT[low[k]][0] - _KEY_AT[low[k - 1]][0] != _KEY_AT[low[k + 1]][0] - _KEY_AT[low[k]][0]
-                for k in range(max(i + 1, j - 20), j - 1)
-            )
+            turns = turned[j - 1] - turned[i + 1]
             cost = min(cost, best[i] + log10(47 * (j - i)) + turns * log10(4))
         for n in range(3, min(_LONGEST, j) + 1):
             i = j - n

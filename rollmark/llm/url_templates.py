@@ -7,8 +7,9 @@ further shapes and labels differ by no more than chance allows are merged. A tem
 if labels cover enough of its urls and their smoothed purity is high enough. A node's statistics
 are counts, combined before every shuffle, so a host with a third of all urls costs no more.
 
-Everything is DataFrame operations; the number of levels is a parameter, and what lies deeper is
-one wildcard, so each url has a template.
+Everything is DataFrame operations. Nodes are generalised one by one down to a number of levels that
+is a parameter; what lies deeper is one further node, whose children are the whole rests of the paths
+by their segments' shapes, so templates that differ far down are told apart, too.
 """
 
 from __future__ import annotations
@@ -85,8 +86,14 @@ def _generalised(paths: DataFrame, levels: int, children: int) -> DataFrame:
         out = out.withColumn("parts", F.when(F.col("own").isNull(), F.col("parts")).otherwise(
             F.concat("parts", F.array(part)))).drop("own", "wide")
         out = stored(out, "paths")
-    rest = F.when(F.size("segments") > levels, F.concat("parts", F.array(F.lit("{rest}")))).otherwise(F.col("parts"))
-    return out.withColumn("parts", rest).drop("segments")
+    deep = F.transform(F.slice("segments", levels + 1, F.greatest(F.size("segments") - levels, F.lit(0))), _shape)
+    out = out.withColumn("rest", deep)
+    wide = out.filter("size(rest) > 0").groupBy("host", "parts").agg(
+        F.count_distinct("rest").alias("children")).filter(F.col("children") > children)
+    out = out.join(wide.select("host", "parts", F.lit(True).alias("wide")), ["host", "parts"], "left")
+    varies = F.transform("rest", lambda x: F.when(x.startswith("{"), x).otherwise("{name}"))
+    rest = F.when(F.col("wide"), varies).otherwise(F.col("rest"))
+    return stored(out.withColumn("parts", F.concat("parts", rest)).drop("segments", "rest", "wide"), "paths")
 
 
 def _merged(paths: DataFrame, level: int) -> DataFrame:

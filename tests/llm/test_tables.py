@@ -128,3 +128,54 @@ def test_language_stage_drops_what_fits_no_language(spark):
     rows = clean + [(5000 + k, text, None, "s", 0) for k, text in enumerate(odd)]
     kept = {r.doc_id for r in corpus_pipeline.identified(spark, frame(spark, rows), "").collect()}
     assert kept.isdisjoint(range(5000, 5004)) and len(kept) >= 0.995 * len(clean)
+
+
+def keep(spark, stage, rows, columns="doc_id bigint, text string, lang string"):
+    out = stage(spark, spark.createDataFrame(rows, columns), "")
+    return sorted((tuple(r) for r in out.collect()), key=str)
+
+
+def test_near_copies_are_told_apart_by_text(spark):
+    a, b, c = (documents(seed=s, each=1)[0][1] for s in (1, 2, 3))
+    rows = [(1, a, "x"), (5, a, "x"), (5, b, "x"), (7, c, "x"), (7, c, "x"), (None, b + " more", "x"), (None, None, "x"), (9, "", "x"), (10, "", "x")]
+    got = keep(spark, corpus_pipeline.deduplicated, rows)
+    assert got == sorted([(1, a, "x"), (None, None, "x"), (9, "", "x"), (10, "", "x"), (7, c, "x"), *(
+        r for r in rows if r[1] in (b, b + " more") and r in got)], key=str)
+    assert len([r for r in got if r[1] in (b, b + " more")]) == 1
+
+
+STAGE = dict(corpus_pipeline.STAGES)
+
+
+@pytest.mark.parametrize("name", list(STAGE))
+def test_stages_of_no_rows_repeats_and_clashing_columns(spark, tmp_path, name):
+    item = documents(seed=77, each=1, words=40)[0][1]
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    more = ("lang_pred", "score", "key", "row", "id", "shared", "rows", "component", "kept", "length")
+    rows = [(i, text, lang, *[f"{c}{i}" for c in more]) for i, text, lang, *_ in documents(each=10)]
+    rows += [(900, None, "en", *more), (901, "", None, *more), (rows[0]), (3, rows[7][1], "en", *more), (950, f"so {item} so", "en", *more)]
+    columns = "doc_id bigint, text string, lang string, " + ", ".join(f"{c} string" for c in more)
+    docs = spark.createDataFrame(rows, columns)
+    out = STAGE[name](spark, docs, str(tmp_path))
+    none = STAGE[name](spark, docs.limit(0), str(tmp_path))
+    assert none.collect() == [] and none.columns == out.columns
+    if name == "packing":
+        assert {r.doc_id for r in out.collect()} == {r[0] for r in rows}
+        return
+    assert out.columns == docs.columns
+    got = [tuple(r) for r in out.collect()]
+    gone = [r for r in rows if r not in got]
+    if name == "language":
+        assert {r[0] for r in gone} == {900, 901} and len(got) == len(rows) - 2
+    elif name == "near_duplicates":
+        assert len(got) == len(rows) - 2 and {r[0] for r in rows} - {r[0] for r in got} <= {3, 7}
+        assert {r[1] for r in got} == {r[1] for r in rows}
+    elif name == "decontamination":
+        assert {r[0] for r in gone} == {950} and len(got) == len(rows) - 1
+    else:
+        assert gone == [] and len(got) == len(rows)
+
+
+def test_without_labels_the_language_stage_keeps_all(spark):
+    rows = [(1, "some text", None), (2, None, None)]
+    assert keep(spark, corpus_pipeline.identified, rows) == sorted(rows, key=str)

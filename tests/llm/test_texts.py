@@ -106,6 +106,43 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head>
 <form><label>Mail</label></form></article><script>var t="</p>";x({n});</script><footer>&copy; me {n}</footer></body></html>"""
 
 
+def test_names_of_wrappers_and_other_attributes_cost_no_article():
+    words = "The article itself, which is long enough to be told from anything beside it."
+    for page in (
+        f'<body><div class="layout has-sidebar"><article><p>{words}</p></article></div></body>',
+        f'<body><div data-id="menu" data-class=sidebar><p>{words}</p></div></body>',
+        f'<body><div class="sidebar"><article><p>{words}</p></article></div><div class="sidebar">Also here</div></body>',
+        f'<body><div class="widget"><p>{words}</p></div><p>So.</p></body>'.replace("<p>So.</p>", ""),
+    ):
+        assert page_text.page_text(page, {}) == words
+    page = f'<article><p>{words}</p><div class="post-comments"><article class="comment">Nice</article></div></article>'
+    assert page_text.page_text(page, {}) == words
+
+
+def test_the_template_tells_menus_without_any_name(spark):
+    """One host, no article element, no name of furniture: what its pages share goes, and without the
+    template it stays."""
+    rng = random.Random(4)
+    page = ('<html><body><div class="x1"><div>All our topics</div><div>Contact and imprint</div></div><div class="x2"><h2>{h}</h2>'
+            '<p>{p}</p><p>{q}</p></div><div class="x3"><span>Made with care by us</span></div></body></html>')
+    said = [[prose(rng, "en", n) for n in (4, 30, 20)] for _ in range(8)]
+    rows = [(k, f"http://x.example/{k}", page.format(h=h, p=p, q=q)) for k, (h, p, q) in enumerate(said)]
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in page_text.extract_pages(table).collect()}
+    assert got == {k: "\n\n".join(parts) for k, parts in enumerate(said)}
+    for k, (_, _, one) in enumerate(rows):
+        alone = page_text.page_text(one, {})
+        assert alone != got[k] and "Contact and imprint" in alone and "Made with care" in alone
+
+
+def test_pages_of_a_large_host_meet_its_template_in_parts(spark, monkeypatch):
+    rows = [(k, f"http://A.example/{k}", PAGE.format(n=k)) for k in range(30)] + [(99, None, None), (99, None, None)]
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string").selectExpr("*", "1 as part", "2 as page")
+    whole = sorted(page_text.extract_pages(table).collect())
+    monkeypatch.setattr(page_text, "PART", 4)
+    assert sorted(page_text.extract_pages(table).collect()) == whole and len(whole) == 32
+
+
 def test_pages(spark):
     rows = [(k, f"http://A.example/{k}", PAGE.format(n=k)) for k in range(6)]
     rows += [(10, None, "<p>loose</p> text"), (11, "http://b.example/", None), (12, "x", ""), (None, "http://b.example/2", "<article>a<p>b &lt;c&gt;"),

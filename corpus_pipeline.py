@@ -15,34 +15,56 @@ from rollmark.llm import decontamination, language, near_duplicates, packing, se
 from rollmark.llm.stored import stored
 
 
+def _with_key(docs: DataFrame) -> DataFrame:
+    """(row, key, text): each row as a whole, so its columns clash with nothing, and the bigint it is told
+    apart by. That is its doc_id where no other row has the same, and otherwise a number above 2**62 that
+    follows from doc_id and text: texts under one id are told apart, and rows that repeat both are not."""
+    ids = docs.groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("rows"))
+    shared = ids.filter("rows > 1 or id is null or id >= 1L << 62").select("id", F.lit(True).alias("shared"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("bigint").alias("id"), "text")
+    both = rows.alias("r").join(shared.alias("s"), F.col("r.id").eqNullSafe(F.col("s.id")), "left")
+    other = F.xxhash64("r.id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    return both.select("row", F.when(F.col("shared"), other).otherwise(F.col("r.id")).alias("key"), "text")
+
+
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned; those without a letter, with null or empty text,
-    or that no language fits (another script, noise), go."""
+    or that no language fits (another script, noise), go. If no row has a language to learn from, nothing
+    can be told and all documents stay. Rows are judged one by one, repeated ones alike."""
     model = language.learn_from_documents(docs)
-    kept = language.identify(docs.withColumn("_text", F.col("text")), "_text", model, strict=True)
     if model is None:
-        return docs.limit(0)
-    return kept.filter(F.col("lang_pred") != language.UNDECIDED).select(*docs.columns)
+        return docs
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"))
+    kept = language.identify(rows, "text", model, strict=True)
+    return kept.filter(F.col("lang_pred") != language.UNDECIDED).select("row.*")
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word shingles, similarity of 0.8) the one with the
-    smallest doc_id. Documents without a doc_id or a word stay."""
-    copies = near_duplicates.near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    smallest doc_id; ids that several rows have come last. Texts are compared, whatever their ids: of rows that
+    repeat id and text one stays, and of several texts under one id each that copies nothing. Documents
+    without a word are near copies of nothing."""
+    keyed = _with_key(docs)
+    near = near_duplicates.near_duplicates(keyed, doc_id="key")
+    kept = near.groupBy("doc_id").agg(F.min("component_id").alias("component"), F.count("*").alias("rows")).filter(
+        "doc_id = component").select(F.col("doc_id").alias("key"), "rows")
+    rows = keyed.join(kept, "key")
+    alone, repeated = rows.filter("rows = 1").select("row"), rows.filter("rows > 1").dropDuplicates(["key"]).select("row")
+    return alone.unionByName(repeated).select("row.*")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
+    """Documents that hold no item of the benchmark; of rows under one id each is judged by its text."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    key = F.xxhash64("doc_id", "text")  # rows without a doc_id are told apart, too
-    found = decontamination.leaks(docs.select(key.alias("doc_id"), "text"), benchmark)
-    leaked = found.select(F.col("doc_id").alias("_key")).distinct()
-    return docs.withColumn("_key", key).join(leaked, "_key", "left_anti").select(*docs.columns)
+    keyed = _with_key(docs)
+    found = decontamination.leaks(keyed.select(F.col("key").alias("doc_id"), "text"), benchmark)
+    leaked = found.select(F.col("doc_id").alias("key")).distinct()
+    return keyed.join(leaked, "key", "left_anti").select("row.*")
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with [secret] in place of every secret."""
+    """All documents, with [secret] in place of every secret; a null text stays null. A column n_chars, if
+    there is one, is counted again."""
     out = secret_scan.redact(docs)
     if "n_chars" in out.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
@@ -50,7 +72,8 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents by sequence and offset, with a checksum of their ids."""
+    """Pieces of documents by sequence and offset, with a checksum of their ids. A null or empty text is
+    its end alone; rows that repeat an id are packed each."""
     return packing.pack(docs).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 

@@ -356,6 +356,7 @@ FROM counts""",
     "stream_dedupe": f"WITH {_RAW} SELECT ID, STUDENT_ID, DATE_CREATE FROM raw",
     "stream_arbitrate": _ARBITRATE,
     "stream_settle": _ARBITRATE,
+    "stream_settle_batches": _ARBITRATE,
 }
 
 _STORED_MART = _mart(_STORE_TIME)

@@ -14,7 +14,9 @@
 4. Skip: the long lists are never merged. Where two classes collide in the prefix, their equal
    coordinates are counted from four bits of each, which travel with the posting: the count is never
    too small, and a pair below the threshold goes at once.
-5. Pairs above the threshold are confirmed on the full sets.
+5. Pairs above the threshold are confirmed on the full sets, unless a bound on what the two sets share
+   rules them out before: their shingles, hashed into groups, are counted up to two in bits that both
+   must have, and what is beyond two in a group is added.
 
 Within a posting not all pairs are made. All its classes are first compared with one of them; what
 is linked becomes one component. Then a few more centres are tried for what is left. At last all
@@ -34,14 +36,25 @@ from pyspark.sql.types import LongType
 
 from rollmark.llm import text as t
 from rollmark.llm.components import components
-from rollmark.llm.stored import stored
+from rollmark.llm.stored import Scratch
 
 WORDS, SIMILARITY = 5, 0.8
 COORDINATES, MATCHES = 64, 36
 #: In each round, so many centres of every posting are compared with all its classes.
 CENTRES = (2, 64)
 #: Classes of a posting from which it is worth telling those that can have no link there.
-CROWD = 32
+CROWD = 512
+#: Groups of the bound, and the numbers of 64 bits that tell one or more, and two or more, in each.
+GROUPS = 512
+LONGS = 2 * GROUPS // 64
+#: Classes whose ids are sent to all tasks to find their texts; of more, texts are shuffled.
+SENT = 1_000_000
+
+
+SIGNED = {
+    "doc_id": "bigint", "n_shingles": "bigint", "set_lo": "bigint", "set_hi": "bigint", "postings": "array<bigint>",
+    "sketch": "array<bigint>", "bits": "array<bigint>", "beyond": "bigint",
+}
 
 
 def _four_bits(least: np.ndarray) -> np.ndarray:
@@ -50,6 +63,14 @@ def _four_bits(least: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(bits, axis=2).view(np.int64)
 
 
+def _group_bits(sets: np.ndarray, owner: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per text, bits of the groups with one shingle or more and with two or more, and what is beyond."""
+    group = (t.mix(sets ^ np.uint64(0x9216D5D98979FB1B)) & np.uint64(GROUPS - 1)).astype(np.int64)
+    counts = np.bincount(owner * GROUPS + group, minlength=rows * GROUPS).reshape(rows, GROUPS)
+    bits = np.packbits(np.concatenate([counts > 0, counts > 1], axis=1), axis=1)
+    return np.ascontiguousarray(bits).view(np.int64), np.maximum(counts - 2, 0).sum(axis=1)
+
+
 def _signed(size: int, coordinates: int, full: bool):
     """Arrow batches (doc_id, text) -> one row per document, with its whole set if `full`."""
     rng = np.random.default_rng(8)
@@ -90,9 +111,14 @@ def _signed(size: int, coordinates: int, full: bool):
                     columns["postings"] = pa.ListArray.from_arrays(
                         np.arange(j - i + 1, dtype=np.int32) * coordinates, least.view(np.int64).ravel()
                     )
+                    bits, beyond = _group_bits(sets, owner, j - i)
+                    columns["bits"] = pa.ListArray.from_arrays(
+                        np.arange(j - i + 1, dtype=np.int32) * LONGS, bits.ravel())
+                    columns["beyond"] = pa.array(beyond, pa.int64())
                     columns["sketch"] = pa.ListArray.from_arrays(
                         np.arange(j - i + 1, dtype=np.int32) * (coordinates // 16), _four_bits(least).ravel()
                     )
+                    columns = {c: columns[c] for c in SIGNED}
                 yield pa.RecordBatch.from_pydict(columns)
 
     return run
@@ -103,9 +129,7 @@ def signatures(docs: DataFrame, words: int, coordinates: int = COORDINATES) -> D
     marks are sums over the hashed set: equal for equal sets, and as good as never otherwise."""
     if coordinates & (coordinates - 1) or coordinates < 16:
         raise ValueError("coordinates must be a power of two from 16 on")
-    schema = ("doc_id bigint, n_shingles bigint, set_lo bigint, set_hi bigint, postings array<bigint>, "
-              "sketch array<bigint>")
-    return docs.mapInArrow(_signed(words, coordinates, False), schema)
+    return docs.mapInArrow(_signed(words, coordinates, False), ", ".join(f"{c} {kind}" for c, kind in SIGNED.items()))
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -122,6 +146,12 @@ def _unequal(coordinates: int) -> str:
     return " + ".join(each)
 
 
+def _may_be_linked(percent: int, a: str, b: str) -> str:
+    """SQL for the bound: may the sets with columns n_, bits_ and beyond_ of both names be similar enough?"""
+    shared = " + ".join(f"bit_count(bits{a}[{k}] & bits{b}[{k}])" for k in range(LONGS))
+    return f"({shared} + least(beyond{a}, beyond{b})) * {100 + percent} >= (n{a} + n{b}) * {percent}"
+
+
 @F.pandas_udf(LongType())
 def _in_both(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([
@@ -156,18 +186,22 @@ class _Confirm:
     """Which of the pairs (a, b) of classes are linked. A class's whole set is made when a pair has
     it for the first time."""
 
-    def __init__(self, docs: DataFrame, words: int, percent: int):
-        self.docs, self.words, self.percent = docs, words, percent
+    def __init__(self, scratch: Scratch, docs: DataFrame, classes: DataFrame, words: int, percent: int):
+        self.scratch, self.docs, self.words, self.percent = scratch, docs, words, percent
+        self.bounds = classes.select("rep", F.col("n_shingles").alias("n"), "bits", "beyond")
         self.sets: DataFrame | None = None
 
     def add(self, nodes: DataFrame) -> None:
         """Make the sets of these classes (rep) that are not there yet."""
         if self.sets is not None:
-            nodes = stored(nodes.join(self.sets, "rep", "left_anti"), "nodes")
-            if nodes.isEmpty():
-                return
-        texts = self.docs.join(nodes, self.docs["doc_id"] == nodes["rep"], "left_semi")
-        new = stored(
+            nodes = nodes.join(self.sets, "rep", "left_anti")
+        nodes = self.scratch.stored(nodes, "nodes")
+        many = nodes.count()
+        if self.sets is not None and not many:
+            return
+        texts = self.docs.join(
+            F.broadcast(nodes) if many <= SENT else nodes, self.docs["doc_id"] == nodes["rep"], "left_semi")
+        new = self.scratch.stored(
             full_sets(texts, self.words).select(F.col("doc_id").alias("rep"), "shingles").distinct(), "sets"
         )
         self.sets = new if self.sets is None else self.sets.unionByName(new)
@@ -184,7 +218,13 @@ class _Confirm:
         few = (F.col("n") - F.col("alone")) * 100 < F.col("n") * self.percent
         return sizes.join(alone, "rep").filter(few & (F.col("sets") == 1)).select("rep")
 
+    def _possible(self, pairs: DataFrame) -> DataFrame:
+        """Those of the pairs that the bound does not rule out."""
+        a, b = (self.bounds.select(*[F.col(c).alias(f"{c}_{x}" if c != "rep" else x) for c in self.bounds.columns]) for x in "ab")
+        return pairs.join(a, "a").join(b, "b").filter(_may_be_linked(self.percent, "_a", "_b")).select("a", "b").distinct()
+
     def __call__(self, pairs: DataFrame) -> DataFrame:
+        pairs = self.scratch.stored(self._possible(pairs), "possible")
         self.add(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct())
         side = [self.sets.select(F.col("rep").alias(c), F.col("shingles").alias(f"shingles_{c}")) for c in "ab"]
         both = pairs.join(side[0], "a").join(side[1], "b").withColumn("both", _in_both("shingles_a", "shingles_b"))
@@ -199,23 +239,25 @@ def _without_hopeless(posted: DataFrame, confirm: _Confirm) -> DataFrame:
     many = posted.groupBy("posting").agg(F.count("*").alias("lists")).filter(F.col("lists") >= CROWD)
     crowded = posted.join(many.select("posting", F.lit(True).alias("crowded")), "posting", "left")
     among = crowded.filter("crowded").select("rep").distinct()
-    out = stored(confirm.hopeless(stored(among, "crowd")), "hopeless").withColumn("hopeless", F.lit(True))
+    store = confirm.scratch.stored
+    out = store(confirm.hopeless(store(among, "crowd")), "hopeless").withColumn("hopeless", F.lit(True))
     return crowded.join(out, "rep", "left").filter("crowded is null or hopeless is null").drop("crowded", "hopeless")
 
 
 def class_components(
-    docs: DataFrame, signed: DataFrame, words: int, similarity: float, coordinates: int, matches: int
+    scratch: Scratch, docs: DataFrame, signed: DataFrame, words: int, similarity: float, coordinates: int, matches: int
 ) -> tuple[DataFrame, DataFrame]:
     """(set_lo, set_hi, rep) of every class, and (node, component) of the linked ones."""
-    spark, percent = docs.sparkSession, round(100 * similarity)
+    spark, percent, stored = docs.sparkSession, round(100 * similarity), scratch.stored
     classes = stored(
         signed.filter("n_shingles > 0 and doc_id is not null").groupBy("set_lo", "set_hi").agg(
             F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"),
-            F.first("postings").alias("postings"), F.first("sketch").alias("sketch"),
+            F.first("postings").alias("postings"), F.first("sketch").alias("sketch"), F.first("bits").alias("bits"),
+            F.first("beyond").alias("beyond"),
         ), "classes",
     )
     prefix = stored(_prefixes(classes, matches), "prefix")
-    confirm = _Confirm(docs, words, percent)
+    confirm = _Confirm(scratch, docs, classes, words, percent)
     close = F.expr(f"least(n, n_2) * 100 >= greatest(n, n_2) * {percent} and "
                    f"{_unequal(coordinates)} <= {coordinates - matches}")
     found = spark.createDataFrame([], "node bigint, component bigint")
@@ -230,11 +272,13 @@ def class_components(
             ).filter("least < most").select("posting")
             posted = stored(posted.join(mixed, "posting", "left_semi"), "posted")
             if centres is None:
-                posted = stored(_without_hopeless(posted, confirm), "hopeful")
+                posted = _without_hopeless(posted, confirm).join(confirm.bounds.drop("n"), "rep")
+                posted = stored(posted, "hopeful")
         whole = ("rep", "n", "s", "component")
         if centres is None:
+            whole = (*whole, "bits", "beyond")
             other = posted.select("posting", *(F.col(c).alias(f"{c}_2") for c in whole))
-            apart = F.expr("component != component_2 and rep < rep_2")
+            apart = F.expr(f"component != component_2 and rep < rep_2 and {_may_be_linked(percent, '', '_2')}")
         else:
             order = F.xxhash64(F.lit(turn), "rep")
             other = posted.groupBy("posting", F.pmod(order, F.lit(centres)).alias("k")).agg(
@@ -271,8 +315,12 @@ def near_duplicates(
     texts. Other columns of docs are not read. No rows give no rows.
     """
     own = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    signed = stored(signatures(own, words, coordinates), "signed")
-    classes, found = class_components(own, signed, words, similarity, coordinates, matches)
+    scratch = Scratch(docs.sparkSession)
+    signed = scratch.stored(signatures(own, words, coordinates), "signed")
+    classes, found = class_components(scratch, own, signed, words, similarity, coordinates, matches)
+    classes, found = scratch.stored(classes, "reps"), scratch.stored(found, "found")
+    signed = scratch.stored(signed.select("doc_id", "n_shingles", "set_lo", "set_hi"), "sizes")
+    scratch.drop_all(classes, found, signed)
     named = classes.join(found, F.col("rep") == F.col("node"), "left").select(
         "set_lo", "set_hi", F.coalesce("component", "rep").alias("class_component")
     )

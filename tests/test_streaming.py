@@ -64,6 +64,7 @@ def test_enrichment_over_files_and_restart(spark, options):
     counts = []
     first = run_enrichment(spark, path, out, checkpoint, on_metrics=lambda i, m: counts.append(m), **options)
     assert sorted(int(r["ID"]) for r in first) == list(range(9))
+    counts = [m for m in counts if "rows" in m]  # reports of late rows come beside
     assert sum(m["rows"] for m in counts) == 9 and sum(m["teacher_found"] for m in counts) == 4
     put(spark, path, rows)
     done = run_enrichment(spark, path, out, checkpoint, **options)

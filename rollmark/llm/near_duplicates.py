@@ -41,7 +41,7 @@ from rollmark.llm.stored import Scratch
 WORDS, SIMILARITY = 5, 0.8
 COORDINATES, MATCHES = 64, 36
 #: In each round, so many centres of every posting are compared with all its classes.
-CENTRES = (2, 64)
+CENTRES = (2, 16)
 #: Classes of a posting from which it is worth telling those that can have no link there.
 CROWD = 512
 #: Groups of the bound, and the numbers of 64 bits that tell one or more, and two or more, in each.

@@ -16,7 +16,7 @@ from rollmark.sinks.latest import compact_non_null, read_mart, read_non_null, up
 from rollmark.sinks.messages import to_messages, write_messages
 from rollmark.sources.messages import MESSAGE, decode_requests
 from rollmark.sources.school import TABLES
-from rollmark.streaming.admission import SchoolSnapshots, start_admission
+from rollmark.streaming.admission import SchoolSnapshots
 from rollmark.streaming.figures import CELLS, read_report, start_figures, table as figures_table
 from rollmark.streaming.run import start_batches, supervise
 from rollmark.streaming.settlement import settle_batch

@@ -1,6 +1,5 @@
 from datetime import date
 
-import pytest
 from pyspark.sql import functions as F
 
 from rollmark.operators import latest

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollmark.llm.fill_middle import Marks, fill_middle, line_ends, point_starts, restored
-from tests.llm.rows import ODD, documents, frame
+from tests.llm.rows import ODD, frame
 
 
 def plainly(doc_id, text, rate=100, spm_rate=50):

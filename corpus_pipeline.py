@@ -15,13 +15,31 @@ from rollmark.llm import decontamination, language, near_duplicates, packing, se
 from rollmark.llm.stored import stored
 
 
+#: Keys that are sent to all tasks, 16 bytes each; more are joined by a shuffle of the documents.
+SENT = 1_000_000
+
+
+def _sendable(keys: DataFrame) -> DataFrame | None:
+    """A stored table of keys, marked for broadcast if it is small; None if it has no rows."""
+    keys = stored(keys, "keys")
+    n = keys.count()
+    return None if n == 0 else F.broadcast(keys) if n <= SENT else keys
+
+
+def _without(docs: DataFrame, keys: DataFrame | None) -> DataFrame:
+    return docs if keys is None else docs.join(keys, "key", "left_anti")
+
+
 def _with_key(docs: DataFrame) -> DataFrame:
     """(row, key, text): each row as a whole, so its columns clash with nothing, and the bigint it is told
     apart by. That is its doc_id where no other row has the same, and otherwise a number above 2**62 that
     follows from doc_id and text: texts under one id are told apart, and rows that repeat both are not."""
     ids = docs.groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("rows"))
-    shared = ids.filter("rows > 1 or id is null or id >= 1L << 62").select("id", F.lit(True).alias("shared"))
+    shared = _sendable(ids.filter("rows > 1 or id is null or id >= 1L << 62").select(
+        F.col("id").cast("bigint").alias("id"), F.lit(True).alias("shared")))
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("bigint").alias("id"), "text")
+    if shared is None:
+        return rows.select("row", F.col("id").alias("key"), "text")
     both = rows.alias("r").join(shared.alias("s"), F.col("r.id").eqNullSafe(F.col("s.id")), "left")
     other = F.xxhash64("r.id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
     return both.select("row", F.when(F.col("shared"), other).otherwise(F.col("r.id")).alias("key"), "text")
@@ -45,12 +63,15 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     repeat id and text one stays, and of several texts under one id each that copies nothing. Documents
     without a word are near copies of nothing."""
     keyed = _with_key(docs)
-    near = near_duplicates.near_duplicates(keyed, doc_id="key")
-    kept = near.groupBy("doc_id").agg(F.min("component_id").alias("component"), F.count("*").alias("rows")).filter(
-        "doc_id = component").select(F.col("doc_id").alias("key"), "rows")
-    rows = keyed.join(kept, "key")
-    alone, repeated = rows.filter("rows = 1").select("row"), rows.filter("rows > 1").dropDuplicates(["key"]).select("row")
-    return alone.unionByName(repeated).select("row.*")
+    near = stored(near_duplicates.near_duplicates(keyed, doc_id="key").select(
+        F.col("doc_id").alias("key"), "component_id"), "near")
+    copies = _sendable(near.filter("key != component_id").select("key").distinct())
+    kept = _without(keyed, copies)
+    repeated = _sendable(near.filter("key = component_id").groupBy("key").count().filter("count > 1").select("key"))
+    if repeated is not None:
+        once = kept.join(repeated, "key", "left_semi").dropDuplicates(["key"])
+        kept = _without(kept, repeated).unionByName(once)
+    return kept.select("row.*")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,8 +79,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     keyed = _with_key(docs)
     found = decontamination.leaks(keyed.select(F.col("key").alias("doc_id"), "text"), benchmark)
-    leaked = found.select(F.col("doc_id").alias("key")).distinct()
-    return keyed.join(leaked, "key", "left_anti").select("row.*")
+    leaked = _sendable(found.select(F.col("doc_id").alias("key")).distinct())
+    return _without(keyed, leaked).select("row.*")
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -278,16 +278,21 @@ def _nests(at: list[int], size: int, other: list[int], n: int) -> bool:
     return True
 
 
+def _said(token: str, run: Run) -> str:
+    """The text of a run, which its token ends with."""
+    return token[len(run.path) + 1 :]
+
+
 def page_text(page: str, template: dict[int, int]) -> str:
     """The kept blocks of a page, with an empty line between two."""
     read = list(tokens(page))
     marks = [_mark(token) for token, _ in read]
     fixed = _template_places(marks, template)
-    differing = [(place, run) for place, (_, run) in enumerate(read)
+    differing = [(token, run) for place, (token, run) in enumerate(read)
                  if run is not None and not run.furniture and place not in fixed]
     # A name is a weak sign: without an article, it does not outweigh most of the text that differs.
-    own = sum(len(run.text()) - run.linked for _, run in differing if run.named)
-    rest = sum(len(run.text()) - run.linked for _, run in differing if not run.named)
+    own = sum(len(_said(token, run)) - run.linked for token, run in differing if run.named)
+    rest = own and sum(len(_said(token, run)) - run.linked for token, run in differing if not run.named)
     outweighed = own > rest and not any(run.main for _, run in differing)
     varying = {run.path for _, run in differing if run.main and not run.named}
     main: list[str] = []
@@ -312,12 +317,12 @@ def page_text(page: str, template: dict[int, int]) -> str:
                     main.append(text)
         slot.clear()
 
-    for place, (_, run) in enumerate(read):
+    for place, (token, run) in enumerate(read):
         if run is None:
             if place in fixed:
                 close()
         elif stays(place, run):
-            slot.append((run, run.text()))
+            slot.append((run, _said(token, run)))
     close()
     within = sum(map(len, main))
     beside = sum(map(len, anywhere)) - within

@@ -4,8 +4,9 @@ A text is its ids and then an end id. In a window of WINDOW ids each position at
 those before it (one head, learned position scores); what it gathers, added to its own vector and
 rectified, predicts the class of the next id. An id's probability is its class's, times its share
 of the class after ids of the current class, drawn to its share in all ids. Classes group ids that are
-alike in what is around them. All these counts are of all training texts. The weights begin with a fit on
-a bounded sample; then every task goes on with its part of FITTED of the texts, and the mean is taken.
+alike in what is around them. All these counts are of all training texts. So are the weights: a few texts
+give them a common start, then every task goes on with each window of its training texts, and the mean by
+ids is taken.
 
 Windows overlap: a window scores only its last STRIDE positions (the first window all of them), so
 every id is scored once, and with at least WINDOW - STRIDE ids before it wherever there are so many.
@@ -34,10 +35,10 @@ END_ID, IDS = 50256, 50257
 WINDOW, STRIDE = 32, 24
 #: Ids with a vector of their own; classes; widths.
 OWN, CLASSES, KEY, VALUE = 2048, 128, 16, 32
-#: Ids of training texts that the first weights are fitted on; steps and windows of a step.
+#: Ids of training texts that the weights start from; steps and windows of a step.
 SAMPLE, STEPS, BATCH = 1_000_000, 800, 128
-#: Share of the training texts that the tasks fit the weights on, and their rate.
-FITTED, RATE = 0.05, 0.002
+#: Rate of the tasks, which fit the weights on all training texts, and the ids they take at a time.
+RATE, AT_A_TIME = 0.002, 1_000_000
 #: Ids with a context, and the frequent ids that it is counted by, on either side.
 KNOWN, NEAR = 4096, 255
 #: Weight of the share in all texts, in occurrences.
@@ -76,8 +77,10 @@ class Model:
         weight = counts + 0.05
         share = weight / np.bincount(self.class_of, weight, CLASSES)[self.class_of]
         pair = pair.reshape(CLASSES, IDS)
-        both = np.stack([np.bincount(self.class_of, row, CLASSES) for row in pair])
-        self.share = np.log((pair + PULL * share) / (both[:, self.class_of] + PULL)).astype(np.float32)
+        self.share = np.empty((CLASSES, IDS), np.float32)
+        for own, row in zip(self.share, pair):  # by class, as all at once takes ten times the room
+            both = np.bincount(self.class_of, row, CLASSES)
+            own[:] = np.log((row + PULL * share) / (both[self.class_of] + PULL))
         n = OWN + CLASSES
 
         def table(rows: int, width: int, scale: float) -> np.ndarray:
@@ -107,38 +110,45 @@ class Model:
         """Mean loss over the used positions, and its gradients."""
         p = self.p
         q, k, v, a, h = self.attend(x)
-        g = np.maximum(h, 0)
-        z = g @ p["u"] + p["b"]
-        z -= z.max(axis=2, keepdims=True)
-        e = np.exp(z)
-        e /= e.sum(axis=2, keepdims=True)
-        at = np.take_along_axis(e, y[:, :, None], 2)[:, :, 0]
-        n = max(1, used.sum())
-        loss = float(-(np.log(np.maximum(at, 1e-30)) * used).sum() / n)
-        np.put_along_axis(e, y[:, :, None], (at - 1)[:, :, None], 2)
-        e *= (used / n)[:, :, None].astype(np.float32)
-        flat = e.reshape(-1, CLASSES)
-        dh = (e @ p["u"].T) * (h > 0)
+        g, target = np.maximum(h[used], 0), y[used]  # a row for each used position
+        e = g @ p["u"]
+        e += p["b"]
+        e -= e.max(axis=1, keepdims=True)
+        np.exp(e, out=e)
+        e /= e.sum(axis=1, keepdims=True)
+        rows, n = np.arange(len(target)), max(1, len(target))
+        loss = float(-np.log(np.maximum(e[rows, target], 1e-30)).sum() / n)
+        e[rows, target] -= 1
+        e /= n
+        dh = np.zeros_like(h)
+        dh[used] = (e @ p["u"].T) * (g > 0)
         da = dh @ v.transpose(0, 2, 1)
         ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-        scale = 1 / np.sqrt(KEY)
-        grads = {"u": g.reshape(-1, VALUE).T @ flat, "b": flat.sum(axis=0), "place": ds.sum(axis=0)}
+        scale = float(1 / np.sqrt(KEY))  # a numpy double would make doubles of all that follows
+        grads = {"u": g.T @ e, "b": e.sum(axis=0), "place": ds.sum(axis=0)}
+        order = np.argsort(x, axis=None, kind="stable")
+        symbols = x.ravel()[order]
+        starts = np.flatnonzero(np.diff(symbols, prepend=-1))
         for name, d in (("q", ds @ k * scale), ("k", ds.transpose(0, 2, 1) @ q * scale),
                         ("v", a.transpose(0, 2, 1) @ dh), ("r", dh)):
             grads[name] = np.zeros_like(p[name])
-            np.add.at(grads[name], x.ravel(), d.reshape(-1, d.shape[2]))
+            grads[name][symbols[starts]] = np.add.reduceat(d.reshape(-1, d.shape[2])[order], starts, axis=0)
         return loss, grads
 
     def fit(
         self, sequences: list[np.ndarray], steps: int = STEPS, batch: int = BATCH, begun: bool = False,
     ) -> list[float]:
-        """Adam over windows of the sequences, in a fixed random order; at a low rate if it has begun."""
+        """Adam over windows of the sequences, drawn in a fixed random order; if it has begun, at a low
+        rate over each window once, in as many steps as that takes."""
         x, y, used = self._laid_out(sequences)
         rng, losses = np.random.default_rng(12), []
+        if begun:
+            parts = np.array_split(rng.permutation(len(x)), -(-len(x) // batch))
+            steps = len(parts)
         m = {c: np.zeros_like(w) for c, w in self.p.items()}
         s = {c: np.zeros_like(w) for c, w in self.p.items()}
         for i in range(1, steps + 1):
-            rows = rng.integers(0, len(x), batch)
+            rows = parts[i - 1] if begun else rng.integers(0, len(x), batch)
             loss, grads = self.step(x[rows], y[rows], used[rows])
             losses.append(loss)
             rate = (RATE if begun else 0.02) * min(1, i / 30) * (1 - 0.9 * i / steps)
@@ -158,7 +168,7 @@ class Model:
         at = starts[owner][:, None] + np.where(inside, place, 0)
         return self.symbol[flat[at]], self.class_of[flat[at + 1]], inside & (np.arange(WINDOW) >= done[:, None])
 
-    def log10(self, sequences: list[np.ndarray], most: int = 1024) -> np.ndarray:
+    def log10(self, sequences: list[np.ndarray], most: int = 128) -> np.ndarray:
         """Decimal logarithm of each sequence's probability; a sequence begins with the end id,
         which is not scored."""
         out = np.zeros(len(sequences))
@@ -355,10 +365,10 @@ def _sums(read: DataFrame, add, size: int, block: int) -> np.ndarray:
     return out
 
 
-def _fitted(chosen: DataFrame, model: Model) -> None:
-    """Every task goes on with the weights over its texts, some megabytes at a time; the model gets
+def _fitted(read: DataFrame, model: Model) -> None:
+    """Every task goes on with the weights over all its texts, some megabytes at a time; the model gets
     the mean, by ids."""
-    shared = chosen.sparkSession.sparkContext.broadcast(model)  # a fixed size
+    shared = read.sparkSession.sparkContext.broadcast(model)  # a fixed size
     names = sorted(model.p)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,14 +376,14 @@ def _fitted(chosen: DataFrame, model: Model) -> None:
         own.p = {c: w.copy() for c, w in own.p.items()}
 
         def go_on() -> None:
-            own.fit(held, max(1, size // (STRIDE * BATCH)), begun=True)
+            own.fit(held, begun=True)
             held.clear()
 
         for batch in batches:
             for ids in batch.column(0).to_pylist():
                 held.append(_sequence(ids))
                 size, total = size + len(held[-1]), total + len(held[-1])
-                if size > 1_000_000:
+                if size > AT_A_TIME:
                     go_on()
                     size = 0
         if size:
@@ -386,10 +396,13 @@ def _fitted(chosen: DataFrame, model: Model) -> None:
 
     def added(frame: pd.DataFrame) -> pd.DataFrame:
         w = sum(np.frombuffer(x, np.float64) for x in frame["w"])
-        return pd.DataFrame({"n": [int(frame["n"].sum())], "w": [w.tobytes()]})
+        return pd.DataFrame({"lane": [int(frame["lane"].iloc[0]) // 8], "n": [int(frame["n"].sum())], "w": [w.tobytes()]})
 
-    lanes = chosen.select("ids").mapInArrow(run, "lane int, n bigint, w binary")
-    got = lanes.groupBy("lane").applyInPandas(added, "n bigint, w binary").toPandas()  # at most 64 rows
+    kind = "lane int, n bigint, w binary"
+    lanes = read.select("ids").mapInArrow(run, kind)
+    for _ in range(2):  # of many tasks, 64 sums and then 8
+        lanes = lanes.groupBy("lane").applyInPandas(added, kind)
+    got = lanes.toPandas()
     if len(got):
         got = added(got)
         flat, at = np.frombuffer(got["w"][0], np.float64) / got["n"][0], 0
@@ -400,7 +413,7 @@ def _fitted(chosen: DataFrame, model: Model) -> None:
 
 def train(read: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> Model:
     """Fit on the rows (doc_id, ids) of training texts: counts over all of them, first weights on
-    about `sample` ids of texts chosen by a hash, then weights on a share of all texts."""
+    about `sample` ids of texts chosen by a hash, then weights on all texts."""
     counts = np.zeros(IDS, np.int64)
     for r in read.select("ids").mapInArrow(_id_counts, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[r["id"]] = r["n"]
@@ -416,8 +429,8 @@ def train(read: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> Model:
         if taken > 2 * sample:
             break
     model.fit(got or [np.array([END_ID, END_ID])], steps)
-    if share < 1:
-        _fitted(read.filter(place >= int(1_000_000 * (1 - FITTED))), model)
+    got.clear()
+    _fitted(read, model)
     return model
 
 

@@ -156,3 +156,25 @@ def test_counts_and_weights_follow_all_texts(spark):
     finally:
         attention_lm._fitted = before
     assert chosen[0] > 0 and not np.allclose(start.p["u"], small.p["u"])
+
+
+def test_weights_are_fitted_on_every_training_text(spark):
+    # whatever the share of the first weights, each window of every text takes part once
+    rng = np.random.default_rng(5)
+    rows = [(k, rng.integers(0, 300, 40 + k).astype("<u2").tobytes()) for k in range(60)]
+    read = spark.createDataFrame(rows, "doc_id bigint, ids binary").repartition(3)
+    before, seen = attention_lm._fitted, []
+    attention_lm._fitted = lambda texts, model: seen.extend(r["doc_id"] for r in texts.collect())
+    try:
+        attention_lm.train(read, sample=200, steps=2)
+        attention_lm.train(read, sample=1_000_000, steps=2)
+    finally:
+        attention_lm._fitted = before
+    assert sorted(seen) == sorted([k for k, _ in rows] * 2)
+
+    model, used = small_model(), []
+    step = model.step
+    model.step = lambda x, y, inside: (used.append(inside.sum()), step(x, y, inside))[1]
+    sequences = [np.arange(n) % 300 for n in (5, 33, 700, 1200)]
+    model.fit(sequences, steps=1, batch=8, begun=True)
+    assert sum(used) == sum(len(x) - 1 for x in sequences)

@@ -31,9 +31,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows over all cores: a table may be one file with one row group, which one task reads."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream of files."""
-    return (
+    return spread(
         spark.readStream.schema(TABLES["events"]).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     )
 
@@ -115,7 +120,7 @@ def directory_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
       'WORK', array(named_struct(
         'job_title', CASE WHEN s_suppkey % 3 <> 0 THEN concat('position ', CAST(s_suppkey % 3 AS STRING)) END,
         'department', named_struct('FACULTY_NAME_DECANAT', r_name, 'title', n_name))))) AS document"""
-    students = table(spark, sf_dir, "customer").join(
+    students = spread(table(spark, sf_dir, "customer")).join(
         nation, F.col("c_nationkey") == F.col("n_nationkey")
     ).selectExpr(student)
     employees = (

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import date
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -68,14 +69,17 @@ def update_figures(
     """Take the marks of one batch (store types) into the latest state and into the figures. A batch
     that is done again changes nothing: it meets the state that the other batches left."""
     spark = rows.sparkSession
-    new = latest_rows(rows.select(*STORE_COLUMNS))
-    # At most as many as there are lesson days.
-    days = {str(r[0]) for r in new.select(latest_sink.DAY).distinct().collect()}
-    kept = latest_sink.table(state).read(spark, days.__contains__, but=(run, batch)).select(*STORE_COLUMNS)
-    before = kept.join(new.select(*MARK_KEY), MARK_KEY, "left_semi")
-    after = merge_latest(before, new)
-    table(figures).add(cells(changed_rows(before, after)), run, batch)
-    latest_sink.upsert_latest(rows, state, run, batch)
+    new = latest_rows(rows.select(*STORE_COLUMNS)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # At most as many as there are lesson days.
+        days = {str(r[0]) for r in new.select(latest_sink.DAY).distinct().collect()}
+        kept = latest_sink.table(state).read(spark, days.__contains__, but=(run, batch)).select(*STORE_COLUMNS)
+        before = kept.join(new.select(*MARK_KEY), MARK_KEY, "left_semi")
+        after = merge_latest(before, new)
+        table(figures).add(cells(changed_rows(before, after)), run, batch)
+        latest_sink.upsert_latest(new, state, run, batch)
+    finally:
+        new.unpersist()
 
 
 def start_figures(

@@ -382,11 +382,18 @@ def _message_stream(spark: SparkSession, d: str) -> DataFrame:
     return c.to_messages(c.to_raw_events(c.event_stream(spark, d)))
 
 
+# Messages of a file, which is what one task decodes.
+_ROWS_A_FILE = 100_000
+
+
 def _written_stream(spark: SparkSession, d: str) -> DataFrame:
-    """Enriched messages written to files in three parts, as a stream of those files."""
+    """Enriched messages written to files in three parts, as a stream of those files. A part has as many
+    files as its rows ask for, so no part is left to one task."""
     path = scratch_path(spark, "enriched")
-    write_messages(to_messages(_enriched(spark, d)).repartition(3, "key"), "parquet", path=path)
-    return read_messages(spark, "parquet", stream=True, path=path, maxFilesPerTrigger="1")
+    files = max(1, -(-c.table(spark, d, "events").count() // (3 * _ROWS_A_FILE)))
+    enriched = enrich_events(c.valid_marks(c.spread(c.raw_events(spark, d))), **c.lookups(spark, d))
+    write_messages(to_messages(enriched).repartition(3 * files, "key"), "parquet", path=path)
+    return read_messages(spark, "parquet", stream=True, path=path, maxFilesPerTrigger=str(files))
 
 
 def stream_enrich(spark, d):

@@ -21,7 +21,9 @@
 Within a posting not all pairs are made. All its classes are first compared with one of them; what
 is linked becomes one component. Then a few more centres are tried for what is left. At last all
 classes that still are in different components are compared with each other; in large postings but
-for those that share too few shingles with all the others there. So no component is missed, while a large group of near copies costs about its size instead of its square.
+for those that share too few shingles with all the others there. A posting all whose classes, but for one,
+have been centres has no pair left to compare. So no component is missed, while a large group of near copies
+costs about its size instead of its square.
 """
 
 from __future__ import annotations
@@ -29,10 +31,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rollmark.llm import text as t
 from rollmark.llm.components import components
@@ -42,11 +42,10 @@ WORDS, SIMILARITY = 5, 0.8
 COORDINATES, MATCHES = 64, 36
 #: In each round, so many centres of every posting are compared with all its classes.
 CENTRES = (2, 16)
+#: Of the postings of a class, so many tell where a pair that meets in several is made.
+LEAST = 4
 #: Classes of a posting from which it is worth telling those that can have no link there.
 CROWD = 512
-#: Groups of the bound, and the numbers of 64 bits that tell one or more, and two or more, in each.
-GROUPS = 512
-LONGS = 2 * GROUPS // 64
 #: Classes whose ids are sent to all tasks to find their texts; of more, texts are shuffled.
 SENT = 1_000_000
 
@@ -63,14 +62,6 @@ def _four_bits(least: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(bits, axis=2).view(np.int64)
 
 
-def _group_bits(sets: np.ndarray, owner: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per text, bits of the groups with one shingle or more and with two or more, and what is beyond."""
-    group = (t.mix(sets ^ np.uint64(0x9216D5D98979FB1B)) & np.uint64(GROUPS - 1)).astype(np.int64)
-    counts = np.bincount(owner * GROUPS + group, minlength=rows * GROUPS).reshape(rows, GROUPS)
-    bits = np.packbits(np.concatenate([counts > 0, counts > 1], axis=1), axis=1)
-    return np.ascontiguousarray(bits).view(np.int64), np.maximum(counts - 2, 0).sum(axis=1)
-
-
 def _signed(size: int, coordinates: int, full: bool):
     """Arrow batches (doc_id, text) -> one row per document, with its whole set if `full`."""
     rng = np.random.default_rng(8)
@@ -98,10 +89,8 @@ def _signed(size: int, coordinates: int, full: bool):
                     "set_hi": pa.array(marks[:, 1].view(np.int64)),
                 }
                 if full:
-                    bounds = np.concatenate([[0], np.cumsum(n)]).astype(np.int32) * 8
-                    columns["shingles"] = pa.Array.from_buffers(
-                        pa.binary(), j - i, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(sets)]
-                    )
+                    bounds = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                    columns["shingles"] = pa.ListArray.from_arrays(bounds, sets.view(np.int64))
                 else:
                     least = np.zeros((j - i, coordinates), np.uint64)
                     for c in range(coordinates):
@@ -111,9 +100,9 @@ def _signed(size: int, coordinates: int, full: bool):
                     columns["postings"] = pa.ListArray.from_arrays(
                         np.arange(j - i + 1, dtype=np.int32) * coordinates, least.view(np.int64).ravel()
                     )
-                    bits, beyond = _group_bits(sets, owner, j - i)
+                    bits, beyond = t.group_bits(sets, owner, j - i)
                     columns["bits"] = pa.ListArray.from_arrays(
-                        np.arange(j - i + 1, dtype=np.int32) * LONGS, bits.ravel())
+                        np.arange(j - i + 1, dtype=np.int32) * t.LONGS, bits.ravel())
                     columns["beyond"] = pa.array(beyond, pa.int64())
                     columns["sketch"] = pa.ListArray.from_arrays(
                         np.arange(j - i + 1, dtype=np.int32) * (coordinates // 16), _four_bits(least).ravel()
@@ -133,7 +122,7 @@ def signatures(docs: DataFrame, words: int, coordinates: int = COORDINATES) -> D
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
-    schema = "doc_id bigint, n_shingles bigint, set_lo bigint, set_hi bigint, shingles binary"
+    schema = "doc_id bigint, n_shingles bigint, set_lo bigint, set_hi bigint, shingles array<bigint>"
     return docs.mapInArrow(_signed(words, 2, True), schema)
 
 
@@ -148,20 +137,12 @@ def _unequal(coordinates: int) -> str:
 
 def _may_be_linked(percent: int, a: str, b: str) -> str:
     """SQL for the bound: may the sets with columns n_, bits_ and beyond_ of both names be similar enough?"""
-    shared = " + ".join(f"bit_count(bits{a}[{k}] & bits{b}[{k}])" for k in range(LONGS))
+    shared = " + ".join(f"bit_count(bits{a}[{k}] & bits{b}[{k}])" for k in range(t.LONGS))
     return f"({shared} + least(beyond{a}, beyond{b})) * {100 + percent} >= (n{a} + n{b}) * {percent}"
 
 
-@F.pandas_udf(LongType())
-def _in_both(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([
-        len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-        for x, y in zip(a, b)
-    ], dtype="int64")
-
-
 def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
-    """(rep, posting, n) for the rarest postings of classes that may have a partner."""
+    """(rep, n, s, w, posting) for the rarest postings of classes that may have a partner; w are the least of them."""
     each = classes.select("rep", "set_lo", F.col("n_shingles").alias("n"), F.explode("postings").alias("posting"))
     shared = each.groupBy("posting").agg(F.count("*").alias("lists")).filter("lists > 1")
     kept = (
@@ -170,16 +151,9 @@ def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
         .filter(F.size("p") >= matches)
     )
     sketches = classes.select("rep", "set_lo", F.col("sketch").alias("s"))
-    return kept.join(sketches, ["rep", "set_lo"]).select(
-        "rep", "n", "s", F.explode(F.slice("p", 1, F.size("p") - matches + 1)).alias("p")
-    ).select("rep", "n", "s", F.col("p.posting").alias("posting"))
-
-
-def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for rep, shingles in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            own = np.frombuffer(shingles, np.int64)
-            yield pa.RecordBatch.from_pydict({"rep": pa.array(np.full(len(own), rep)), "shingle": pa.array(own)})
+    prefix = kept.select("rep", "set_lo", "n", F.slice("p", 1, F.size("p") - matches + 1)["posting"].alias("p"))
+    return prefix.join(sketches, ["rep", "set_lo"]).select(
+        "rep", "n", "s", F.slice(F.sort_array("p"), 1, LEAST).alias("w"), F.explode("p").alias("posting"))
 
 
 class _Confirm:
@@ -211,10 +185,10 @@ class _Confirm:
         is at most what one of them shares with any, and must reach `percent` of its size."""
         self.add(nodes)
         sets = self.sets.join(nodes, "rep", "left_semi")
-        each = sets.mapInArrow(_exploded, "rep bigint, shingle bigint")
+        each = sets.select("rep", F.explode("shingles").alias("shingle"))
         alone = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("rep").alias("rep")).filter("n = 1")
         alone = alone.groupBy("rep").agg(F.count("*").alias("alone"))
-        sizes = sets.groupBy("rep").agg(F.count("*").alias("sets"), F.sum(F.length("shingles") / 8).alias("n"))
+        sizes = sets.groupBy("rep").agg(F.count("*").alias("sets"), F.sum(F.size("shingles")).alias("n"))
         few = (F.col("n") - F.col("alone")) * 100 < F.col("n") * self.percent
         return sizes.join(alone, "rep").filter(few & (F.col("sets") == 1)).select("rep")
 
@@ -227,8 +201,9 @@ class _Confirm:
         pairs = self.scratch.stored(self._possible(pairs), "possible")
         self.add(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct())
         side = [self.sets.select(F.col("rep").alias(c), F.col("shingles").alias(f"shingles_{c}")) for c in "ab"]
-        both = pairs.join(side[0], "a").join(side[1], "b").withColumn("both", _in_both("shingles_a", "shingles_b"))
-        union = (F.length("shingles_a") + F.length("shingles_b")) / 8 - F.col("both")
+        both = pairs.join(side[0], "a").join(side[1], "b").withColumn(
+            "both", t.in_both("shingles_a", "shingles_b"))
+        union = F.size("shingles_a") + F.size("shingles_b") - F.col("both")
         return both.filter(F.col("both") * 100 >= union * self.percent).select(
             F.col("a").alias("u"), F.col("b").alias("v"))
 
@@ -244,6 +219,26 @@ def _without_hopeless(posted: DataFrame, confirm: _Confirm) -> DataFrame:
     return crowded.join(out, "rep", "left").filter("crowded is null or hopeless is null").drop("crowded", "hopeless")
 
 
+def _open(posted: DataFrame, turn: int) -> DataFrame:
+    """The postings of several components in which two classes or more have been no centre so far. (A centre
+    was compared with all classes of its posting.)"""
+    been = [F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), _slot(k, n).cast("int")))
+            for k, n in enumerate(CENTRES[:turn])]
+    most = F.greatest(*map(F.bit_count, been), F.lit(0))
+    return posted.groupBy("posting").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), (F.count("*") - most).alias("others")
+    ).filter("least < most and others > 1").select("posting")
+
+
+def _order(turn: int) -> Column:
+    return F.xxhash64(F.lit(turn), "rep")
+
+
+def _slot(turn: int, centres: int) -> Column:
+    """Of the classes with the same slot in a posting, the first by _order is a centre in this round."""
+    return F.pmod(_order(turn), F.lit(centres))
+
+
 def class_components(
     scratch: Scratch, docs: DataFrame, signed: DataFrame, words: int, similarity: float, coordinates: int, matches: int
 ) -> tuple[DataFrame, DataFrame]:
@@ -263,26 +258,25 @@ def class_components(
     found = spark.createDataFrame([], "node bigint, component bigint")
     tried = None
     for turn, centres in enumerate((*CENTRES, None)):
-        posted = prefix.withColumn("component", F.col("rep"))
+        rows = prefix if centres is None else prefix.drop("w")
+        posted = rows.withColumn("component", F.col("rep"))
         if turn:
-            posted = prefix.join(found, F.col("rep") == F.col("node"), "left").withColumn(
+            posted = rows.join(found, F.col("rep") == F.col("node"), "left").withColumn(
                 "component", F.coalesce("component", "rep")).drop("node")
-            mixed = posted.groupBy("posting").agg(
-                F.min("component").alias("least"), F.max("component").alias("most")
-            ).filter("least < most").select("posting")
-            posted = stored(posted.join(mixed, "posting", "left_semi"), "posted")
+            posted = stored(posted.join(_open(posted, turn), "posting", "left_semi"), "posted")
             if centres is None:
                 posted = _without_hopeless(posted, confirm).join(confirm.bounds.drop("n"), "rep")
                 posted = stored(posted, "hopeful")
         whole = ("rep", "n", "s", "component")
         if centres is None:
-            whole = (*whole, "bits", "beyond")
+            whole = (*whole, "w", "bits", "beyond")
             other = posted.select("posting", *(F.col(c).alias(f"{c}_2") for c in whole))
-            apart = F.expr(f"component != component_2 and rep < rep_2 and {_may_be_linked(percent, '', '_2')}")
+            # A pair that meets in several postings is made in the first that both have among their least.
+            once = "coalesce(array_min(array_intersect(w, w_2)), posting) = posting"
+            apart = F.expr(f"component != component_2 and rep < rep_2 and {_may_be_linked(percent, '', '_2')} and {once}")
         else:
-            order = F.xxhash64(F.lit(turn), "rep")
-            other = posted.groupBy("posting", F.pmod(order, F.lit(centres)).alias("k")).agg(
-                F.min_by(F.struct(*whole), order).alias("c")
+            other = posted.groupBy("posting", _slot(turn, centres).alias("k")).agg(
+                F.min_by(F.struct(*whole), _order(turn)).alias("c")
             ).select("posting", *(F.col(f"c.{c}").alias(f"{c}_2") for c in whole))
             apart = F.expr("component != component_2")
         pairs = posted.join(other, "posting").filter(apart & close).select(

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column, functions as F
 
 #: Bytes of text worked on at once; a longer text makes a slice of its own.
 SLICE_BYTES = 1 << 17
@@ -132,3 +133,24 @@ def segment_starts(owner: np.ndarray) -> np.ndarray:
     if not len(owner):
         return np.zeros(0, np.int64)
     return np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+
+
+def in_both(a: str, b: str) -> Column:
+    """How many shingles two columns of whole sets share. Counted where the sets are: batches of pairs of
+    sets, copied for Python, were what filled an executor's memory."""
+    return F.size(F.array_intersect(a, b))
+
+
+#: Groups of hashes that the bound on what two sets share counts in, and the numbers of 64 bits that tell one or
+#: more, and two or more, in each.
+GROUPS = 1024
+LONGS = 2 * GROUPS // 64
+
+
+def group_bits(sets: np.ndarray, owner: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per text, bits of the groups with one shingle or more and with two or more, and what is beyond. Two
+    sets share at most as many shingles as they have bits in common, and the smaller of what is beyond."""
+    group = (mix(sets ^ np.uint64(0x9216D5D98979FB1B)) & np.uint64(GROUPS - 1)).astype(np.int64)
+    counts = np.bincount(owner * GROUPS + group, minlength=rows * GROUPS).reshape(rows, GROUPS)
+    bits = np.packbits(np.concatenate([counts > 0, counts > 1], axis=1), axis=1)
+    return np.ascontiguousarray(bits).view(np.int64), np.maximum(counts - 2, 0).sum(axis=1)

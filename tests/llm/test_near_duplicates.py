@@ -4,6 +4,8 @@ import re
 import pytest
 
 from rollmark.llm.components import components
+from rollmark.llm import near_duplicates as module
+from rollmark.llm import text as t
 from rollmark.llm.near_duplicates import near_duplicates
 from tests.llm.rows import ODD, documents, frame, prose
 
@@ -66,3 +68,16 @@ def test_components_of_chains_and_stars(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(50)] + [(7, 7), (300, 299)]
     got = dict(components(spark.createDataFrame(links, "u bigint, v bigint")).collect())
     assert got == {**{k: 0 for k in range(41)}, **{100 + k: 100 for k in range(50)}, 299: 299, 300: 299}
+
+
+def test_postings_whose_pairs_were_all_compared_are_not_compared_again(spark):
+    rows = [("two", 1, 1), ("two", 2, 2), ("linked", 1, 1), ("linked", 5, 1)] + [("many", k, k) for k in range(40)]
+    posted = spark.createDataFrame(rows, "posting string, rep bigint, component bigint")
+    assert {r.posting for r in module._open(posted, 1).collect()} <= {"two", "many"}
+    assert [r.posting for r in module._open(posted, 2).collect()] == ["many"]
+
+
+def test_what_sets_share_is_counted_without_python(spark):
+    both = spark.createDataFrame([([3, 1, 9, -4], [9, 2, 3])], "a array<bigint>, b array<bigint>").select(t.in_both("a", "b"))
+    assert both.first()[0] == 2
+    assert "Python" not in both._jdf.queryExecution().executedPlan().toString()

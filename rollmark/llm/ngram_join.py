@@ -11,7 +11,9 @@
    greatest count per group of hashes. The tree is joined with itself from the root on: a pair of nodes
    goes on only if the summed minima of their counts reach what their smallest sets would have to share,
    their sizes fit, and they are not of one component already. What is left at the leaves are pairs of
-   points, to which the same bound applies.
+   points, to which the same bound applies. Where all pairs are wanted, pairs of points also have to pass the
+   same bound over many more groups, counted up to two in bits, and a pair that meets under several members
+   is made under the first that both have among their least.
 4. Pairs that survive are verified on the whole sets.
 
 Many points of one member are cut into chunks of bounded size, and every pair of chunks is joined in a
@@ -25,10 +27,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import LongType
 
 from rollmark.llm import text as t
 from rollmark.llm.components import components
@@ -45,6 +45,8 @@ LEAF, FANOUT, CHUNK = 32, 4, 2048
 MORE = 16
 #: Members by which a point is dealt in the first round.
 FIRST = 2
+#: Of the members a class is dealt by, so many tell where a pair that meets under several is made.
+LEAST = 4
 #: Classes whose ids are sent to all tasks to find their texts; of more, texts are shuffled.
 SENT = 1_000_000
 #: Rounds in which each point keeps its best partners only, after the first.
@@ -96,6 +98,7 @@ def _pointed(size: int, percent: int, levels: np.ndarray):
                 group = (t.mix(sets) & np.uint64(GROUPS - 1)).astype(np.int64)
                 points = np.bincount(owner * GROUPS + group, minlength=(j - i) * GROUPS)
                 points = np.minimum(points, _MANY).astype(np.uint8)
+                bits, beyond = t.group_bits(sets, owner, j - i)
                 order = np.lexsort((sets, levels[_bucket(sets)], owner))
                 begins = np.concatenate([[0], np.cumsum(n)])
                 place = np.arange(len(sets)) - begins[owner]
@@ -112,23 +115,32 @@ def _pointed(size: int, percent: int, levels: np.ndarray):
                     "point": pa.Array.from_buffers(
                         pa.binary(), j - i,
                         [None, pa.py_buffer(np.arange(j - i + 1, dtype=np.int32) * GROUPS), pa.py_buffer(points)]),
+                    "bits": pa.Array.from_buffers(
+                        pa.binary(), j - i,
+                        [None, pa.py_buffer(np.arange(j - i + 1, dtype=np.int32) * t.LONGS * 8), pa.py_buffer(bits)]),
+                    "beyond": pa.array(beyond, pa.int64()),
                 })
 
     return run
 
 
 def points(docs: DataFrame, size: int, percent: int, levels: np.ndarray) -> DataFrame:
-    """(doc_id, n_shingles, set_lo, set_hi, members, point) of each row of (doc_id, text). The two marks
+    """(doc_id, n_shingles, set_lo, set_hi, members, point, bits, beyond) of each row of (doc_id, text). The two marks
     are sums over the hashed set: equal for equal sets, and as good as never otherwise."""
-    schema = "doc_id bigint, n_shingles bigint, set_lo bigint, set_hi bigint, members array<bigint>, point binary"
+    schema = ("doc_id bigint, n_shingles bigint, set_lo bigint, set_hi bigint, members array<bigint>, point binary, "
+              "bits binary, beyond bigint")
     return docs.mapInArrow(_pointed(size, percent, levels), schema)
 
 
 class _Join:
-    """Self-join of the points of one batch: counts, set sizes, components, and the chunk of each."""
+    """Self-join of the points of one batch: counts, set sizes, components, and the chunk of each. If there are
+    any: the bits of many more groups with what is beyond, the member, and the least members of each."""
 
-    def __init__(self, percent: int, counts: np.ndarray, n: np.ndarray, component: np.ndarray, side: np.ndarray):
+    def __init__(self, percent: int, counts: np.ndarray, n: np.ndarray, component: np.ndarray, side: np.ndarray,
+                 bits: np.ndarray | None = None, beyond: np.ndarray | None = None, member: np.ndarray | None = None,
+                 least: np.ndarray | None = None):
         self.percent, self.counts, self.n, self.component, self.side = percent, counts, n, component, side
+        self.bits, self.beyond, self.member, self.least = bits, beyond, member, least
 
     def _shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         least = np.minimum(a, b)
@@ -146,7 +158,24 @@ class _Join:
         i, j = i[fits], j[fits]
         shared = self._shared(self.counts[i], self.counts[j])
         fits = self._enough(shared, self.n[i], self.n[j])
-        return i[fits], j[fits], shared[fits]
+        i, j, shared = i[fits], j[fits], shared[fits]
+        if self.bits is not None and len(i):
+            fits = np.concatenate([self._here(i[k : k + 4096], j[k : k + 4096]) for k in range(0, len(i), 4096)])
+            i, j, shared = i[fits], j[fits], shared[fits]
+        if self.bits is not None and len(i):
+            shared = np.minimum(shared, np.concatenate([
+                np.bitwise_count(self.bits[i[k : k + 4096]] & self.bits[j[k : k + 4096]]).sum(axis=1, dtype=np.int64)
+                for k in range(0, len(i), 4096)]) + np.minimum(self.beyond[i], self.beyond[j]))
+            fits = self._enough(shared, self.n[i], self.n[j])
+            i, j, shared = i[fits], j[fits], shared[fits]
+        return i, j, shared
+
+    def _here(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which of the pairs have no other member where they are made."""
+        a, b = self.least[i], self.least[j]
+        both = (a[:, :, None] == b[:, None, :]).any(axis=2)
+        first = np.where(both, a, np.iinfo(np.int64).max).min(axis=1)
+        return ~both.any(axis=1) | (first == self.member[i])
 
     def _packed(self, at: np.ndarray) -> Iterator[np.ndarray]:
         """Leaves of close points: halves along the group in which the counts differ most."""
@@ -233,13 +262,19 @@ def _best(i: np.ndarray, j: np.ndarray, likeness: np.ndarray) -> np.ndarray:
 
 
 def _joined(percent: int, all_pairs: bool):
-    """Rows (dealt, rep, n, component, side, point), ordered by dealt -> surviving pairs (a, b)."""
+    """Rows (dealt, rep, n, component, side, point), for all pairs also (member, least_0 and on, bits,
+    beyond), ordered by dealt -> surviving pairs (a, b)."""
 
     def pairs(rows: pa.Table) -> pa.RecordBatch:
         dealt, rep, n, component, side = (
             rows.column(c).to_numpy() for c in ("dealt", "rep", "n", "component", "side"))
         counts = np.frombuffer(b"".join(rows.column("point").to_pylist()), np.uint8).reshape(-1, GROUPS)
-        join = _Join(percent, counts, n, component, side)
+        wide = ()
+        if all_pairs:
+            bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), np.uint64).reshape(-1, t.LONGS)
+            least = np.stack([rows.column(f"least_{k}").to_numpy() for k in range(LEAST)], axis=1)
+            wide = bits, rows.column("beyond").to_numpy(), rows.column("member").to_numpy(), least
+        join = _Join(percent, counts, n, component, side, *wide)
         begin = t.segment_starts(dealt)
         size = np.diff(np.append(begin, len(dealt)))
         found = []
@@ -284,22 +319,14 @@ def _sets(size: int):
         for batch in batches:
             for i, j, data, offsets in t.slices(batch.column(1)):
                 sets, owner = t.shingles(*t.hashed_words(data, offsets), size)
-                edges = (np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=j - i))]) * 8).astype(np.int32)
+                edges = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=j - i))]).astype(np.int32)
                 yield pa.RecordBatch.from_pydict({
                     "rep": batch.column(0).slice(i, j - i),
-                    "members": pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(edges), pa.py_buffer(sets)])})
+                    "members": pa.ListArray.from_arrays(edges, sets.view(np.int64))})
 
     return run
 
 
-@F.pandas_udf(LongType())
-def _in_both(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([
-        len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-        for x, y in zip(a, b)
-    ], dtype="int64")
-
-
 class _Verify:
     """Which of the pairs (a, b) of classes are similar, by their whole sets. A class's set is made when a
     pair has it for the first time."""
@@ -316,12 +343,12 @@ class _Verify:
         few = nodes.count() <= SENT
         texts = self.docs.join(
             F.broadcast(nodes) if few else nodes, self.docs["doc_id"] == nodes["rep"], "left_semi")
-        made = texts.mapInArrow(_sets(self.size), "rep bigint, members binary").distinct()
+        made = texts.mapInArrow(_sets(self.size), "rep bigint, members array<bigint>").distinct()
         new = self.scratch.stored(made, "member-sets")
         self.sets = new if self.sets is None else self.sets.unionByName(new)
         a, b = (self.sets.select(F.col("rep").alias(c), F.col("members").alias(f"members_{c}")) for c in "ab")
-        both = pairs.join(a, "a").join(b, "b").withColumn("both", _in_both("members_a", "members_b"))
-        union = (F.length("members_a") + F.length("members_b")) / 8 - F.col("both")
+        both = pairs.join(a, "a").join(b, "b").withColumn("both", t.in_both("members_a", "members_b"))
+        union = F.size("members_a") + F.size("members_b") - F.col("both")
         return both.filter(F.col("both") * 100 >= union * self.percent).select(
             F.col("a").alias("u"), F.col("b").alias("v"))
 
@@ -332,8 +359,8 @@ def _shared_members(each: DataFrame) -> DataFrame:
 
 
 def _posted(pointed: DataFrame, percent: int) -> DataFrame:
-    """(member, rep, n, point, first): the members that each class's point is dealt by; `first` marks those
-    of the first round. What similar sets share at least follows from the smaller size that a partner may have."""
+    """(member, rep, n, point, first, least): the members that each class's point is dealt by, and the least of
+    them; `first` marks those of the first round. What similar sets share at least follows from the smaller size that a partner may have."""
     classes = pointed.filter("n_shingles > 0 and doc_id is not null").groupBy("set_lo", "set_hi").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("members").alias("members"))
     least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100) / MORE)).cast("int")
@@ -347,10 +374,11 @@ def _posted(pointed: DataFrame, percent: int) -> DataFrame:
     kept = own.select("rep", F.slice("m", 1, F.size("m") - least + 1)["member"].alias("m"))
     marked = F.transform("m", lambda x: F.struct(
         x.alias("member"), F.array_contains(F.slice(F.sort_array("m"), 1, FIRST), x).alias("first")))
-    dealt = _shared_members(kept.select("rep", F.inline(marked)).distinct()).drop("k")
+    smallest = F.slice(F.sort_array("m"), 1, LEAST).alias("least")
+    dealt = _shared_members(kept.select("rep", smallest, F.inline(marked)).distinct()).drop("k")
     shapes = pointed.filter("n_shingles > 0").select(
         F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "point").distinct()
-    return dealt.join(shapes, "rep").select("member", "rep", "n", "point", "first")
+    return dealt.join(shapes, "rep").select("member", "rep", "n", "point", "first", "least")
 
 
 def _chunked(posted: DataFrame, chunk: int) -> DataFrame:
@@ -360,8 +388,10 @@ def _chunked(posted: DataFrame, chunk: int) -> DataFrame:
     return posted.join(many, "member", "left").withColumn("part", part).drop("parts")
 
 
-def _round(posted: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
-    """Surviving pairs of posted (member, rep, n, point, component, part): within chunks, or between all."""
+def _round(posted: DataFrame, percent: int, wide: DataFrame | None) -> DataFrame:
+    """Surviving pairs of posted (member, rep, n, point, component, part, least): the best ones within chunks, or, if
+    there is a table of (rep, bits, beyond), all of them."""
+    all_pairs = wide is not None
     own = posted.withColumns({"dealt": F.xxhash64("member", "part"), "side": F.lit(0)})
     if all_pairs:
         # Chunks that are one component, the same one, have nothing to find; few members have chunks.
@@ -375,7 +405,12 @@ def _round(posted: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
             F.struct(F.col("y.part").alias("part"), F.lit(2).alias("side"))))
         met = two.select("member", F.xxhash64("member", "x.part", "y.part").alias("dealt"), ends.alias("e"))
         own = own.unionByName(posted.join(met.select("member", "dealt", "e.*"), ["member", "part"]))
-    rows = own.select("dealt", "rep", "n", "component", "side", "point")
+    columns = ["dealt", "rep", "n", "component", "side", "point"]
+    if all_pairs:
+        columns += ["member", *(f"least_{k}" for k in range(LEAST)), "bits", "beyond"]
+        own = own.join(wide, "rep").withColumns({
+            f"least_{k}": F.col("least")[F.least(F.lit(k), F.size("least") - 1)] for k in range(LEAST)})
+    rows = own.select(*columns)
     rows = rows.repartition("dealt").sortWithinPartitions("dealt")
     return rows.mapInArrow(_joined(percent, all_pairs), "a bigint, b bigint").distinct()
 
@@ -386,17 +421,22 @@ def linked_classes(
     """(node, component) of the classes that have a similar one, named by their smallest doc_id."""
     posted = scratch.stored(_posted(pointed, percent), "posted")
     verify = _Verify(scratch, docs, size, percent)
+    wide = pointed.filter("n_shingles > 0").select(F.col("doc_id").alias("rep"), "bits", "beyond").distinct()
     found = docs.sparkSession.createDataFrame([], "node bigint, component bigint")
     tried = None
     for turn in range(rounds + 2):
         last = turn == rounds + 1
         now = posted.filter("first") if turn == 0 else posted
         now = now.join(found, F.col("rep") == F.col("node"), "left").select(
-            "member", "rep", "n", "point", F.coalesce("component", "rep").alias("component"))
+            "member", "rep", "n", "point", F.coalesce("component", "rep").alias("component"), *(["least"] if last else []))
         if turn:
-            mixed = now.groupBy("member").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            now = now.join(mixed.filter("low < high").select("member"), "member", "left_semi")
-        pairs = _round(_chunked(now, chunk), percent, last)
+            mixed = now.groupBy("member").agg(
+                F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("k"))
+            # A member of two points had its only pair in the round before, if that had all members.
+            least = 3 if last and turn > 1 else 2
+            mixed = mixed.filter((F.col("low") < F.col("high")) & (F.col("k") >= least))
+            now = now.join(mixed.select("member"), "member", "left_semi")
+        pairs = _round(_chunked(now, chunk), percent, wide if last else None)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = scratch.stored(pairs, "pairs")

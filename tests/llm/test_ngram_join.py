@@ -55,3 +55,24 @@ def test_the_tree_loses_no_pair_of_points():
     assert want
     found = [key(part) for part in join.tree(np.arange(700))]
     assert set().union(*found) == want
+
+
+def test_a_pair_that_meets_under_several_members_is_made_once():
+    n, member = np.full(6, 10), np.array([4, 4, 7, 7, 9, 9])
+    least = np.array([[4, 7, 9, 9], [2, 4, 7, 9]] * 3)
+    bits = np.ones((6, 4), np.uint64)
+    join = _Join(80, np.full((6, GROUPS), 1), n, np.arange(6), np.zeros(6), bits, np.full(6, 9), member, least)
+    made = [join.among(np.array([k]), np.array([k + 1]))[0].tolist() for k in (0, 2, 4)]
+    assert made == [[0], [], []]
+    join.least = np.array([[4, 4, 4, 4], [2, 2, 2, 2]] * 3)  # nothing to tell by: made under each
+    assert [len(join.among(np.array([k]), np.array([k + 1]))[0]) for k in (0, 2, 4)] == [1, 1, 1]
+
+
+def test_many_groups_rule_out_what_few_groups_cannot():
+    n = np.array([10, 10])
+    bits = np.array([[1023], [1023 << 4]], np.uint64)  # six in common
+    few = _Join(80, np.full((2, GROUPS), 1), n, np.arange(2), np.zeros(2))
+    many = _Join(80, np.full((2, GROUPS), 1), n, np.arange(2), np.zeros(2), bits, np.zeros(2, int),
+                 np.ones(2, int), np.array([[1] * 4, [2] * 4]))
+    assert len(few.among(np.array([0]), np.array([1]))[0]) == 1
+    assert len(many.among(np.array([0]), np.array([1]))[0]) == 0

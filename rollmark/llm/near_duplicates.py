@@ -273,13 +273,14 @@ def class_components(
             other = posted.select("posting", *(F.col(c).alias(f"{c}_2") for c in whole))
             # A pair that meets in several postings is made in the first that both have among their least.
             once = "coalesce(array_min(array_intersect(w, w_2)), posting) = posting"
-            apart = F.expr(f"component != component_2 and rep < rep_2 and {_may_be_linked(percent, '', '_2')} and {once}")
+            apart = F.expr("component != component_2 and rep < rep_2")
+            near = close & F.expr(f"{_may_be_linked(percent, '', '_2')} and {once}")  # the cheapest first
         else:
             other = posted.groupBy("posting", _slot(turn, centres).alias("k")).agg(
                 F.min_by(F.struct(*whole), _order(turn)).alias("c")
             ).select("posting", *(F.col(f"c.{c}").alias(f"{c}_2") for c in whole))
-            apart = F.expr("component != component_2")
-        pairs = posted.join(other, "posting").filter(apart & close).select(
+            apart, near = F.expr("component != component_2"), close
+        pairs = posted.join(other, "posting").filter(apart & near).select(
             F.least("rep", "rep_2").alias("a"), F.greatest("rep", "rep_2").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")

@@ -52,29 +52,36 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def separator(x: np.ndarray, y: np.ndarray, strength: float = 10.0, steps: int = 150) -> np.ndarray:
     """A linear support vector machine (squared hinge loss, both classes of equal weight) for y of
-    -1 and 1, by accelerated gradient steps; the last weight is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
+    -1 and 1, by accelerated gradient steps. The last column of x is all 1, its weight the bias."""
     c = strength / np.where(y > 0, (y > 0).sum(), (y < 0).sum())
     w = last = np.zeros(x.shape[1], np.float32)
     rate = 1 / (1 + 2 * 4 * strength)  # rows have a squared length of at most 2
     for k in range(steps):
         ahead = w + (k / (k + 3)) * (w - last)
         slack = np.maximum(0, 1 - y * (x @ ahead))
-        last, w = w, ahead - rate * (ahead - 2 * x.T @ (c * slack * y).astype(np.float32))
+        last, w = w, ahead - rate * (ahead - 2 * (x.T @ (c * slack * y).astype(np.float32)))
     return w
 
 
+def _with_bias(x: np.ndarray, rows: np.ndarray, most: int = 256) -> np.ndarray:
+    """These rows and a column of 1, copied once."""
+    out = np.ones((len(rows), x.shape[1] + 1), np.float32)
+    for i in range(0, len(rows), most):
+        out[i : i + most, :-1] = x[rows[i : i + most]]
+    return out
+
+
 class OneVersusOne:
-    """Votes of linear machines between each two of the given classes."""
+    """Votes of linear machines between each two of the given classes; rows of other labels are left out."""
 
     def __init__(self, classes: list[str], x: np.ndarray, labels: np.ndarray):
         self.classes = classes
         self.pairs = list(combinations(range(len(classes)), 2))
         self.weights = np.zeros((len(self.pairs), x.shape[1] + 1), np.float32)
         for k, (a, b) in enumerate(self.pairs):
-            of_two = np.isin(labels, [classes[a], classes[b]])
+            of_two = np.flatnonzero(np.isin(labels, [classes[a], classes[b]]))
             y = np.where(labels[of_two] == classes[a], 1, -1).astype(np.float32)
-            self.weights[k] = separator(x[of_two], y)
+            self.weights[k] = separator(_with_bias(x, of_two), y)
 
     def decide(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(class number, confidence between 0 and 1) of each row."""
@@ -104,19 +111,17 @@ class Hierarchy:
     def __init__(self, x: np.ndarray, labels: np.ndarray, sizes: np.ndarray | None = None):
         family = np.array([FAMILY.get(c, c) for c in labels], dtype=object)
         self.families = OneVersusOne(sorted(set(family)), x, family)
-        self.languages = [
-            OneVersusOne(sorted(set(labels[family == f])), x[family == f], labels[family == f])
-            for f in self.families.classes
-        ]
+        self.languages = [OneVersusOne(sorted(set(labels[family == f])), x, labels) for f in self.families.classes]
 
         self.floors = np.full(len(FLOORS_OF) + 1, -1.0)
         aside = np.zeros(len(x), bool)
         for c in set(labels):
             aside[np.flatnonzero(labels == c)[ASIDE - 1 :: ASIDE]] = True
-        self.means = np.stack([x[(labels == c) & ~aside].mean(axis=0) for c in sorted(set(labels))])
+        self.means = np.stack([
+            x[(labels == c) & ~aside].astype(np.float32).mean(axis=0) for c in sorted(set(labels))])
         self.means /= np.maximum(np.linalg.norm(self.means, axis=1, keepdims=True), 1e-9)
         if sizes is not None and aside.any():
-            like, size = self.likeness(x[aside]), np.digitize(sizes[aside], FLOORS_OF)
+            like, size = self.likeness(x[aside].astype(np.float32)), np.digitize(sizes[aside], FLOORS_OF)
             lowest = np.quantile(like, LEAST) / 2  # of small sizes without enough rows
             for k in range(len(self.floors)):
                 if (size == k).sum() >= ENOUGH:
@@ -159,8 +164,12 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Hierarchy | None:
     got = rows.select("label", "text").mapInArrow(_vectors, "label string, x binary, size bigint").collect()
     if not got:
         return None
-    x = np.stack([np.frombuffer(r.x, np.float16) for r in got]).astype(np.float32)
-    return Hierarchy(x, np.array([r.label for r in got], dtype=object), np.array([r.size for r in got]))
+    x = np.empty((len(got), 1 << BITS), np.float16)  # the driver's memory is tight
+    for own, r in zip(x, got):
+        own[:] = np.frombuffer(r.x, np.float16)
+    labels, sizes = np.array([r.label for r in got], dtype=object), np.array([r.size for r in got])
+    got.clear()
+    return Hierarchy(x, labels, sizes)
 
 
 def identify(docs: DataFrame, text: str, model: Hierarchy | None, strict: bool = False) -> DataFrame:

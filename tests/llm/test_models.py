@@ -49,6 +49,19 @@ def test_unknown_languages_are_families_of_their_own():
     assert model.decide(x)[0].tolist() == ["en"] * 4 + ["xx"] * 4 + ["de"] * 4
 
 
+def test_languages_are_learned_with_one_copy_of_the_rows():
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    x = rng.random((600, 1 << language.BITS), dtype=np.float32)
+    labels = np.array(["en", "de", "nl"] * 200, dtype=object)
+    tracemalloc.start()
+    language.Hierarchy(x, labels, np.full(600, 200))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 1.5 * x.nbytes
+
+
 def test_toxicity_of_held_out_rows(spark, folder):
     got = {r.doc_id: r for r in queries.op9_toxicity(spark, folder).collect()}
     right = [r.predicted == int(i % 5 in (1, 2)) for i, r in got.items() if i is not None and i < 800 and r.held_out]

@@ -56,10 +56,17 @@ SIGNED = {
 }
 
 
+def _longs(coordinates: int) -> int:
+    """Numbers of 64 bits that hold one bit of each coordinate."""
+    return -(-coordinates // 64)
+
+
 def _four_bits(least: np.ndarray) -> np.ndarray:
-    """Four bits of each minimum, sixteen to a number."""
-    bits = (t.mix(least) & np.uint64(15)).reshape(len(least), -1, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))
-    return np.bitwise_or.reduce(bits, axis=2).view(np.int64)
+    """Four bits of each minimum: first the lowest bit of all of them, then the next, and so on."""
+    rows, coordinates = least.shape
+    planes = np.zeros((rows, 4, 64 * _longs(coordinates)), np.uint8)
+    planes[:, :, :coordinates] = (t.mix(least)[:, None, :] >> np.arange(4, dtype=np.uint64)[:, None]) & np.uint64(1)
+    return np.packbits(planes, axis=2).reshape(rows, -1).view(np.int64)
 
 
 def _signed(size: int, coordinates: int, full: bool):
@@ -105,7 +112,7 @@ def _signed(size: int, coordinates: int, full: bool):
                         np.arange(j - i + 1, dtype=np.int32) * t.LONGS, bits.ravel())
                     columns["beyond"] = pa.array(beyond, pa.int64())
                     columns["sketch"] = pa.ListArray.from_arrays(
-                        np.arange(j - i + 1, dtype=np.int32) * (coordinates // 16), _four_bits(least).ravel()
+                        np.arange(j - i + 1, dtype=np.int32) * (4 * _longs(coordinates)), _four_bits(least).ravel()
                     )
                     columns = {c: columns[c] for c in SIGNED}
                 yield pa.RecordBatch.from_pydict(columns)
@@ -127,32 +134,33 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _unequal(coordinates: int) -> str:
-    """SQL for the number of coordinates whose four bits differ, of the sketches s and s_2."""
-    each = []
-    for k in range(coordinates // 16):
-        x = f"(s[{k}] ^ s_2[{k}])"
-        each.append(f"bit_count(({x} | shiftright({x}, 1) | shiftright({x}, 2) | shiftright({x}, 3)) & 1229782938247303441L)")
-    return " + ".join(each)
+    """SQL for the number of coordinates whose four bits differ, of the sketches s and s_2. It is evaluated for
+    each two classes of a posting, and the JVM only compiles a join whose code is short."""
+    n = _longs(coordinates)
+    return " + ".join(
+        "bit_count(" + " | ".join(f"(s[{k + n * bit}] ^ s_2[{k + n * bit}])" for bit in range(4)) + ")" for k in range(n))
 
 
 def _may_be_linked(percent: int, a: str, b: str) -> str:
-    """SQL for the bound: may the sets with columns n_, bits_ and beyond_ of both names be similar enough?"""
-    shared = " + ".join(f"bit_count(bits{a}[{k}] & bits{b}[{k}])" for k in range(t.LONGS))
+    """SQL for the bound: may the sets with columns n_, bits_ and beyond_ of both names be similar enough? (As a
+    sum of so many terms, its code was too long for the JVM to compile.)"""
+    shared = f"aggregate(zip_with(bits{a}, bits{b}, (x, y) -> bit_count(x & y)), 0, (sum, x) -> sum + x)"
     return f"({shared} + least(beyond{a}, beyond{b})) * {100 + percent} >= (n{a} + n{b}) * {percent}"
 
 
 def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
     """(rep, n, s, w, posting) for the rarest postings of classes that may have a partner; w are the least of them."""
-    each = classes.select("rep", "set_lo", F.col("n_shingles").alias("n"), F.explode("postings").alias("posting"))
+    each = classes.select("number", F.explode("postings").alias("posting"))
     shared = each.groupBy("posting").agg(F.count("*").alias("lists")).filter("lists > 1")
     kept = (
         each.join(shared, "posting")
-        .groupBy("rep", "set_lo", "n").agg(F.sort_array(F.collect_list(F.struct("lists", "posting"))).alias("p"))
+        .repartition("number")  # rows are smaller than lists of one or two of them
+        .groupBy("number").agg(F.sort_array(F.collect_list(F.struct("lists", "posting"))).alias("p"))
         .filter(F.size("p") >= matches)
     )
-    sketches = classes.select("rep", "set_lo", F.col("sketch").alias("s"))
-    prefix = kept.select("rep", "set_lo", "n", F.slice("p", 1, F.size("p") - matches + 1)["posting"].alias("p"))
-    return prefix.join(sketches, ["rep", "set_lo"]).select(
+    sketches = classes.select("number", "rep", F.col("n_shingles").alias("n"), F.col("sketch").alias("s"))
+    prefix = kept.select("number", F.slice("p", 1, F.size("p") - matches + 1)["posting"].alias("p"))
+    return prefix.join(sketches, "number").select(
         "rep", "n", "s", F.slice(F.sort_array("p"), 1, LEAST).alias("w"), F.explode("p").alias("posting"))
 
 
@@ -165,6 +173,12 @@ class _Confirm:
         self.bounds = classes.select("rep", F.col("n_shingles").alias("n"), "bits", "beyond")
         self.sets: DataFrame | None = None
 
+    def _ends(self, pairs: DataFrame) -> tuple[DataFrame, bool]:
+        """The classes of the pairs, marked for broadcast if there are few; and whether there are."""
+        nodes = self.scratch.stored(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "ends")
+        few = nodes.count() <= SENT
+        return (F.broadcast(nodes) if few else nodes), few
+
     def add(self, nodes: DataFrame) -> None:
         """Make the sets of these classes (rep) that are not there yet."""
         if self.sets is not None:
@@ -194,13 +208,19 @@ class _Confirm:
 
     def _possible(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs that the bound does not rule out."""
-        a, b = (self.bounds.select(*[F.col(c).alias(f"{c}_{x}" if c != "rep" else x) for c in self.bounds.columns]) for x in "ab")
+        nodes, few = self._ends(pairs)
+        bounds = self.bounds.join(nodes, "rep", "left_semi") if few else self.bounds
+        a, b = (bounds.select(*[F.col(c).alias(f"{c}_{x}" if c != "rep" else x) for c in bounds.columns]) for x in "ab")
         return pairs.join(a, "a").join(b, "b").filter(_may_be_linked(self.percent, "_a", "_b")).select("a", "b").distinct()
 
-    def __call__(self, pairs: DataFrame) -> DataFrame:
-        pairs = self.scratch.stored(self._possible(pairs), "possible")
-        self.add(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct())
-        side = [self.sets.select(F.col("rep").alias(c), F.col("shingles").alias(f"shingles_{c}")) for c in "ab"]
+    def __call__(self, pairs: DataFrame, bounded: bool = False) -> DataFrame:
+        """`bounded`: whether the pairs have passed the bound."""
+        if not bounded:
+            pairs = self.scratch.stored(self._possible(pairs), "possible")
+        nodes, few = self._ends(pairs)
+        self.add(nodes)
+        sets = self.sets.join(nodes, "rep", "left_semi") if few else self.sets
+        side = [sets.select(F.col("rep").alias(c), F.col("shingles").alias(f"shingles_{c}")) for c in "ab"]
         both = pairs.join(side[0], "a").join(side[1], "b").withColumn(
             "both", t.in_both("shingles_a", "shingles_b"))
         union = F.size("shingles_a") + F.size("shingles_b") - F.col("both")
@@ -249,7 +269,7 @@ def class_components(
             F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"),
             F.first("postings").alias("postings"), F.first("sketch").alias("sketch"), F.first("bits").alias("bits"),
             F.first("beyond").alias("beyond"),
-        ), "classes",
+        ).withColumn("number", F.monotonically_increasing_id()), "classes",
     )
     prefix = stored(_prefixes(classes, matches), "prefix")
     confirm = _Confirm(scratch, docs, classes, words, percent)
@@ -274,7 +294,7 @@ def class_components(
             # A pair that meets in several postings is made in the first that both have among their least.
             once = "coalesce(array_min(array_intersect(w, w_2)), posting) = posting"
             apart = F.expr("component != component_2 and rep < rep_2")
-            near = close & F.expr(f"{_may_be_linked(percent, '', '_2')} and {once}")  # the cheapest first
+            near = close & F.expr(f"{once} and {_may_be_linked(percent, '', '_2')}")  # the cheapest first
         else:
             other = posted.groupBy("posting", _slot(turn, centres).alias("k")).agg(
                 F.min_by(F.struct(*whole), _order(turn)).alias("c")
@@ -288,7 +308,7 @@ def class_components(
         if pairs.isEmpty():
             continue
         tried = pairs if tried is None else tried.unionByName(pairs)
-        links = found.selectExpr("node as u", "component as v").unionByName(confirm(pairs))
+        links = found.selectExpr("node as u", "component as v").unionByName(confirm(pairs, centres is None))
         found = components(stored(links, "linked"))
     return classes.select("set_lo", "set_hi", "rep"), found
 

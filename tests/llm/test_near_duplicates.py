@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from rollmark.llm.components import components
@@ -81,3 +82,35 @@ def test_what_sets_share_is_counted_without_python(spark):
     both = spark.createDataFrame([([3, 1, 9, -4], [9, 2, 3])], "a array<bigint>, b array<bigint>").select(t.in_both("a", "b"))
     assert both.first()[0] == 2
     assert "Python" not in both._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("coordinates", [16, 64, 128])
+def test_unequal_coordinates_are_counted_in_few_terms(spark, coordinates):
+    least = np.random.default_rng(coordinates).integers(0, 40, (30, coordinates), dtype=np.uint64)
+    bits, sketch = t.mix(least) & np.uint64(15), module._four_bits(least).tolist()
+    pairs = spark.createDataFrame([(i, j, sketch[i], sketch[j]) for i in range(30) for j in range(30)], "i int, j int, s array<bigint>, s_2 array<bigint>")
+    for r in pairs.selectExpr("i", "j", f"{module._unequal(coordinates)} as n").collect():
+        assert r.n == (bits[r.i] != bits[r.j]).sum()
+    assert module._unequal(coordinates).count("s_2") == 4 * -(-coordinates // 64)
+
+
+def test_the_bound_on_shared_shingles_is_one_term(spark):
+    """As a sum of 32 terms, the code of the join was too long for the JVM to compile."""
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 500, n).astype(np.uint64)) for n in (1, 40, 300, 480)]
+    bits, beyond = t.group_bits(np.concatenate(sets), np.repeat(np.arange(4), [len(x) for x in sets]), 4)
+    rows = [(len(x), b.tolist(), int(m)) for x, b, m in zip(sets, bits, beyond)]
+    both = spark.createDataFrame([(*x, *y) for x in rows for y in rows], "n bigint, bits array<bigint>, beyond bigint, n_2 bigint, bits_2 array<bigint>, beyond_2 bigint")
+    sql = module._may_be_linked(80, "", "_2")
+    got = [r[0] for r in both.selectExpr(sql).collect()]
+    for k, (x, y) in enumerate((x, y) for x in rows for y in rows):
+        shared = sum(bin((a & b) & (2**64 - 1)).count("1") for a, b in zip(x[1], y[1])) + min(x[2], y[2])
+        assert got[k] == (shared * 180 >= (x[0] + y[0]) * 80)
+    assert sql.count("bit_count") == 1
+
+
+def test_a_row_is_shuffled_for_each_posting_without_the_marks_of_its_set(spark):
+    rows = [(k, k, 3, [10, 20, 30 + k], [0] * 4) for k in range(4)]
+    classes = spark.createDataFrame(rows, "number bigint, rep bigint, n_shingles bigint, postings array<bigint>, sketch array<bigint>")
+    got = module._prefixes(classes, 2).collect()
+    assert {(r.rep, r.n, r.posting) for r in got} == {(k, 3, 10) for k in range(4)}

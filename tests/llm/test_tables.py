@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from rollmark.llm import neighbours, queries, url_templates as u
@@ -179,3 +180,22 @@ def test_stages_of_no_rows_repeats_and_clashing_columns(spark, tmp_path, name):
 def test_without_labels_the_language_stage_keeps_all(spark):
     rows = [(1, "some text", None), (2, None, None)]
     assert keep(spark, corpus_pipeline.identified, rows) == sorted(rows, key=str)
+
+
+def test_stages_send_small_batches_to_python(spark):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes], pa.int64())})
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(1500, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 1000).alias("text"))
+    docs = docs.withColumn("lang", F.lit(None).cast("string"))
+    for stage in (corpus_pipeline.identified, corpus_pipeline.redacted):
+        spark.conf.unset(name)
+        try:
+            out = stage(spark, docs, "")
+            assert out.select("text").mapInArrow(sizes, "n bigint").agg(F.max("n")).first()[0] < 4_000_000
+        finally:
+            spark.conf.unset(name)

@@ -41,6 +41,8 @@ SAMPLE, STEPS, BATCH = 1_000_000, 800, 128
 RATE, AT_A_TIME = 0.002, 1_000_000
 #: Ids with a context, and the frequent ids that it is counted by, on either side.
 KNOWN, NEAR = 4096, 255
+#: Logarithms within these bounds, either way, are taken as they are by exp; of others the largest is subtracted.
+REACH = 80.0
 #: Weight of the share in all texts, in occurrences.
 PULL = 10.0
 HEAD = 1 << 16
@@ -95,45 +97,72 @@ class Model:
         self.p["b"] = np.where(held, np.log(seen / seen.sum()), -1e4).astype(np.float32)
         self.mask = np.where(np.tri(WINDOW, dtype=bool), 0, -1e9).astype(np.float32)
 
-    def attend(self, x: np.ndarray) -> tuple[np.ndarray, ...]:
+    def table(self) -> np.ndarray:
+        """What is looked up for a symbol: q (scaled), k, v, a 1 that counts the weights, and r."""
         p = self.p
-        q, k, v = p["q"][x], p["k"][x], p["v"][x]
+        ones = np.ones((OWN + CLASSES, 1), np.float32)
+        return np.concatenate([p["q"] * float(1 / np.sqrt(KEY)), p["k"], p["v"], ones, p["r"]], axis=1)
+
+    def attend(self, x: np.ndarray, table: np.ndarray, lo: int = 0) -> tuple[np.ndarray, ...]:
+        """For the positions of each window from lo on: weights that are not divided by their sum, what they gather
+        and their sum, and what predicts the next class before it is rectified."""
+        own = table.take(x, axis=0)
+        q, k, v, r = own[:, lo:, :KEY], own[:, :, KEY : 2 * KEY], own[:, :, 2 * KEY : -VALUE], own[:, lo:, -VALUE:]
         a = q @ k.transpose(0, 2, 1)
-        a *= 1 / np.sqrt(KEY)
-        a += p["place"] + self.mask
-        a -= a.max(axis=2, keepdims=True)
+        a += self.p["place"][lo:]
+        beyond = a.size and (a.max() > REACH or a.min() < -REACH)
+        a += self.mask[lo:]
+        if beyond:
+            a -= a.max(axis=2, keepdims=True)
         np.exp(a, out=a)
-        a /= a.sum(axis=2, keepdims=True)
-        return q, k, v, a, p["r"][x] + a @ v
+        o = a @ v
+        o[:, :, :VALUE] /= o[:, :, VALUE:]
+        return q, k, v, a, o, r + o[:, :, :VALUE]
+
+    def classes(self, g: np.ndarray) -> np.ndarray:
+        """For each row what the classes' probabilities are in proportion to, as logarithms that exp can take."""
+        z = g @ self.p["u"]
+        z += self.p["b"]
+        if len(z) and (z.max() > REACH or z[:, np.argmax(self.p["b"])].min() < -REACH):
+            z -= z.max(axis=1, keepdims=True)
+        return z
 
     def step(self, x: np.ndarray, y: np.ndarray, used: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss over the used positions, and its gradients."""
-        p = self.p
-        q, k, v, a, h = self.attend(x)
+        p, lo = self.p, int(used.any(axis=0).argmax())
+        used, y = used[:, lo:], y[:, lo:]
+        q, k, v, a, o, h = self.attend(x, self.table(), lo)
         g, target = np.maximum(h[used], 0), y[used]  # a row for each used position
-        e = g @ p["u"]
-        e += p["b"]
-        e -= e.max(axis=1, keepdims=True)
+        e = self.classes(g)
         np.exp(e, out=e)
-        e /= e.sum(axis=1, keepdims=True)
         rows, n = np.arange(len(target)), max(1, len(target))
-        loss = float(-np.log(np.maximum(e[rows, target], 1e-30)).sum() / n)
-        e[rows, target] -= 1
-        e /= n
+        total = e @ np.ones(CLASSES, np.float32)
+        loss = float(-np.log(np.maximum(e[rows, target] / total, 1e-30)).sum() / n)
+        e *= (1 / (total * n))[:, None]
+        e[rows, target] -= 1 / n
         dh = np.zeros_like(h)
         dh[used] = (e @ p["u"].T) * (g > 0)
-        da = dh @ v.transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-        scale = float(1 / np.sqrt(KEY))  # a numpy double would make doubles of all that follows
-        grads = {"u": g.T @ e, "b": e.sum(axis=0), "place": ds.sum(axis=0)}
-        order = np.argsort(x, axis=None, kind="stable")
+        do = np.empty_like(o)
+        np.divide(dh, o[:, :, VALUE:], out=do[:, :, :VALUE])
+        do[:, :, VALUE] = -np.einsum("btv,btv->bt", do[:, :, :VALUE], o[:, :, :VALUE])
+        ds = do @ v.transpose(0, 2, 1)
+        ds *= a
+        d = np.zeros((*x.shape, 2 * KEY + 2 * VALUE), np.float32)
+        d[:, lo:, :KEY] = ds @ k
+        d[:, :, KEY : 2 * KEY] = ds.transpose(0, 2, 1) @ q
+        d[:, :, 2 * KEY : -VALUE] = a.transpose(0, 2, 1) @ do[:, :, :VALUE]
+        d[:, lo:, -VALUE:] = dh
+        order = np.argsort(x.astype(np.int16), axis=None, kind="stable")
         symbols = x.ravel()[order]
         starts = np.flatnonzero(np.diff(symbols, prepend=-1))
-        for name, d in (("q", ds @ k * scale), ("k", ds.transpose(0, 2, 1) @ q * scale),
-                        ("v", a.transpose(0, 2, 1) @ dh), ("r", dh)):
-            grads[name] = np.zeros_like(p[name])
-            grads[name][symbols[starts]] = np.add.reduceat(d.reshape(-1, d.shape[2])[order], starts, axis=0)
-        return loss, grads
+        sums = np.zeros((OWN + CLASSES, d.shape[2]), np.float32)
+        sums[symbols[starts]] = np.add.reduceat(d.reshape(-1, d.shape[2]).take(order, axis=0), starts, axis=0)
+        place = np.zeros_like(p["place"])
+        place[lo:] = ds.sum(axis=0)
+        return loss, {
+            "u": g.T @ e, "b": np.ones(len(e), np.float32) @ e, "place": place,
+            "q": sums[:, :KEY] * float(1 / np.sqrt(KEY)), "k": sums[:, KEY : 2 * KEY],
+            "v": sums[:, 2 * KEY : -VALUE], "r": sums[:, -VALUE:]}
 
     def fit(
         self, sequences: list[np.ndarray], steps: int = STEPS, batch: int = BATCH, begun: bool = False,
@@ -143,7 +172,11 @@ class Model:
         x, y, used = self._laid_out(sequences)
         rng, losses = np.random.default_rng(12), []
         if begun:
-            parts = np.array_split(rng.permutation(len(x)), -(-len(x) // batch))
+            parts = []
+            for rows in (np.flatnonzero(used[:, 0]), np.flatnonzero(~used[:, 0])):  # first windows, and the others
+                if len(rows):
+                    parts += np.array_split(rng.permutation(rows), -(-len(rows) // batch))
+            parts = [parts[i] for i in rng.permutation(len(parts))]
             steps = len(parts)
         m = {c: np.zeros_like(w) for c, w in self.p.items()}
         s = {c: np.zeros_like(w) for c, w in self.p.items()}
@@ -153,9 +186,16 @@ class Model:
             losses.append(loss)
             rate = (RATE if begun else 0.02) * min(1, i / 30) * (1 - 0.9 * i / steps)
             for c, d in grads.items():
-                m[c] += 0.1 * (d - m[c])
-                s[c] += 0.01 * (d * d - s[c])
-                self.p[c] -= (rate / (1 - 0.9**i)) * m[c] / (np.sqrt(s[c] / (1 - 0.99**i)) + 1e-8)
+                m[c] *= 0.9
+                m[c] += 0.1 * d
+                s[c] *= 0.99
+                s[c] += 0.01 * (d * d)
+                by = np.sqrt(s[c])
+                by *= (1 - 0.99**i) ** -0.5
+                by += 1e-8
+                np.divide(m[c], by, out=by)
+                by *= rate / (1 - 0.9**i)
+                self.p[c] -= by
         return losses
 
     def _laid_out(self, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -176,23 +216,23 @@ class Model:
         flat = np.concatenate(sequences).astype(np.int64)
         starts = np.cumsum(lengths + 1) - lengths - 1
         owner, first, done = windows(lengths)
-        for lo in range(0, len(owner), most):
-            o, f, d = owner[lo : lo + most], first[lo : lo + most], done[lo : lo + most]
-            place = f[:, None] + np.arange(WINDOW)
-            inside = place < lengths[o][:, None]
-            at = starts[o][:, None] + np.where(inside, place, 0)
-            *_, h = self.attend(self.symbol[flat[at]])
-            scored = inside & (np.arange(WINDOW) >= d[:, None])
-            row, _ = np.nonzero(scored)
-            target = flat[at[scored] + 1]
-            z = np.maximum(h[scored], 0) @ self.p["u"]
-            z += self.p["b"]
-            top = z.max(axis=1)
-            hit = z[np.arange(len(z)), self.class_of[target]] - top
-            z -= top[:, None]
-            np.exp(z, out=z)
-            score = hit - np.log(z.sum(axis=1)) + self.share[self.class_of[flat[at[scored]]], target]
-            out += np.bincount(o[row], score, len(out))
+        table, ones = self.table(), np.ones(CLASSES, np.float32)
+        for skip in (0, WINDOW - STRIDE):  # first windows, and the others, of which so many positions are not scored
+            kind = np.flatnonzero(done == skip)
+            for i in range(0, len(kind), most):
+                o, f = owner[kind[i : i + most]], first[kind[i : i + most]]
+                place = f[:, None] + np.arange(WINDOW)
+                inside = place < lengths[o][:, None]
+                at = starts[o][:, None] + np.where(inside, place, 0)
+                *_, h = self.attend(self.symbol[flat[at]], table, skip)
+                scored, at = inside[:, skip:], at[:, skip:]
+                row, _ = np.nonzero(scored)
+                target = flat[at[scored] + 1]
+                z = self.classes(np.maximum(h[scored], 0))
+                score = z[np.arange(len(z)), self.class_of[target]]
+                np.exp(z, out=z)
+                score = score - np.log(z @ ones) + self.share[self.class_of[flat[at[scored]]], target]
+                out += np.bincount(o[row], score, len(out))
         return out / np.log(10)
 
 

@@ -191,3 +191,34 @@ def test_weights_are_fitted_on_every_training_text(spark):
     sequences = [np.arange(n) % 300 for n in (5, 33, 700, 1200)]
     model.fit(sequences, steps=1, batch=8, begun=True)
     assert sum(used) == sum(len(x) - 1 for x in sequences)
+
+
+def test_attention_is_worked_out_where_it_is_scored():
+    model, worked = small_model(), []
+    attend = model.attend
+    model.attend = lambda *a: _noted(attend(*a), worked)
+    sequences = [np.arange(n) % 300 for n in (33, 2401, 4801)]
+    model.log10(sequences)
+    ids = sum(len(x) - 1 for x in sequences)
+    assert ids <= sum(worked) <= 1.05 * ids
+    worked.clear()
+    model.fit(sequences, steps=1, batch=8, begun=True)
+    assert ids <= sum(worked) <= 1.05 * ids
+
+
+def _noted(out, worked):
+    worked.append(out[-1].shape[0] * out[-1].shape[1])
+    return out
+
+
+def test_large_weights_leave_probabilities():
+    model, end = small_model(), attention_lm.END_ID
+    for name, by in (("q", 200), ("k", 200), ("u", 500)):
+        model.p[name] *= by
+    got = np.concatenate([10 ** model.log10([np.array([end, 5, 9, i]) for i in range(a, min(a + 5000, attention_lm.IDS))])
+                          for a in range(0, attention_lm.IDS, 5000)])
+    assert np.isfinite(got).all()
+    assert got.sum() == pytest.approx(10 ** model.log10([np.array([end, 5, 9])])[0], rel=1e-3)
+    x, y, used = model._laid_out([np.arange(400) % 300])
+    loss, grads = model.step(x, y, used)
+    assert np.isfinite(loss) and all(np.isfinite(g).all() for g in grads.values())
